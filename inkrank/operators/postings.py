@@ -74,7 +74,8 @@ def tf_idf(
 
     score = _posting_score(n_docs)
     near = counts.join(F.broadcast(frequent), "term").select("term", "doc", score)
-    rest = counts.join(F.broadcast(frequent.select("term", "df")), "term", "left_anti")
+    # An anti join would be moved below the counting and repeat the tokenizing.
+    rest = counts.join(F.broadcast(frequent), "term", "left").where("df IS NULL").drop("df")
     far = rest.join(rare, "term").select("term", "doc", score)
     return near.unionByName(far)
 
