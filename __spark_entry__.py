@@ -52,6 +52,7 @@ def _page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _wiki_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One wiki page line per line item: the supplier links to part and order."""
     items = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_orderkey")
+    items = spread(items)
     line = F.format_string(
         '<page><title>S%d</title><text xml:space="preserve">x [[P%d]] y [[O%d]]</text></page>',
         "l_suppkey",
@@ -86,7 +87,7 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 
 def corpus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = ink.table_lines(_documents(spark, sf_dir))
+    lines = ink.table_lines(spread(_documents(spark, sf_dir)))
     return lines.groupBy(F.col("doc").alias("doc_id")).agg(F.count("*").alias("n_lines"))
 
 

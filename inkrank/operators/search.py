@@ -66,21 +66,26 @@ def search_many(
 ) -> DataFrame:
     """``(query_id, doc, score)`` for a table of queries, in one job.
 
-    The query terms are broadcast when they measure at most ``broadcast_bytes``;
-    beyond that both sides are shuffled, hot terms in a grid of cells.
+    Query terms that measure at most ``broadcast_bytes`` are broadcast. The
+    postings they match are then partitioned by document before they meet the
+    queries, so the far more numerous matches are added up where they arise; a
+    document has at most one posting per query term to bring along. Beyond the
+    limit both sides are shuffled, hot terms in a grid of cells.
     """
     if not folded:
         index = index.withColumn("term", F.lower("term"))
+    postings = index.select(_result_doc(), "term", "tf_idf")
     terms = queries.select(query_id, F.explode(query_terms_of(F.col(text))).alias("term"))
     wanted = terms.groupBy(query_id, "term").agg(F.count("*").alias("times"))
     size = wanted.agg(F.sum(F.octet_length("term") + _ROW_OVERHEAD)).first()[0] or 0
     if size <= broadcast_bytes:
-        matches = index.join(F.broadcast(wanted), "term")
+        # Not a semi join, which would be moved below the counting of the index.
+        hits = postings.join(F.broadcast(wanted.select("term").distinct()), "term")
+        matches = hits.repartition("doc").join(F.broadcast(wanted), "term")
     else:
-        matches = grid_join(index, wanted, "term", "doc", query_id)
-    return matches.groupBy(query_id, _result_doc()).agg(
-        F.sum(F.col("tf_idf") * F.col("times")).alias("score")
-    )
+        matches = grid_join(postings, wanted, "term", "doc", query_id)
+    score = F.sum(F.col("tf_idf") * F.col("times")).alias("score")
+    return matches.groupBy(query_id, "doc").agg(score)
 
 
 def in_document_order(result: DataFrame) -> DataFrame:

@@ -1,0 +1,140 @@
+"""Counting, weighting and the ways to build the index."""
+
+import math
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import inkrank as ink
+
+DOCS = [
+    ("a.txt", "The cat. The dog!"),
+    ("a.txt", "the # end"),
+    ("B.txt", "cat cat cat #"),
+    ("empty.txt", ""),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(DOCS, "doc STRING, text STRING")
+
+
+@pytest.fixture(scope="module")
+def counts(docs):
+    return ink.doc_word_count(ink.tokenize(docs))
+
+
+def rows(df, *names):
+    return {tuple(row) for row in df.select(*names).collect()}
+
+
+def test_word_counts(counts):
+    assert rows(counts, "term", "doc", "n") == {
+        ("the", "a.txt", 3),
+        ("cat", "a.txt", 1),
+        (".", "a.txt", 1),
+        ("dog", "a.txt", 1),
+        ("!", "a.txt", 1),
+        ("#", "a.txt", 1),
+        ("end", "a.txt", 1),
+        ("cat", "B.txt", 3),
+        ("#", "B.txt", 1),
+    }
+
+
+def test_counts_add_up_to_tokens(docs, counts):
+    total = counts.agg(F.sum("n")).first()[0]
+    assert total == ink.tokenize(docs).count()
+
+
+def test_term_frequency(counts):
+    tf = {(r.term, r.doc): r.tf for r in ink.term_frequency(counts).collect()}
+    assert tf["the", "a.txt"] == pytest.approx(1 + math.log10(3), abs=1e-15)
+    assert tf["dog", "a.txt"] == 1.0
+
+
+def test_doc_frequency(counts):
+    df = {r.term: (r.df, r.idf) for r in ink.doc_frequency(counts, 3).collect()}
+    assert df["cat"] == (2, pytest.approx(math.log10(1 + 3 / 2), abs=1e-15))
+    assert df["the"] == (1, pytest.approx(math.log10(4), abs=1e-15))
+    assert max(n for n, _ in df.values()) <= 3
+
+
+def expected_index(counts, n_docs):
+    found = counts.collect()
+    df = {}
+    for row in found:
+        df[row.term] = df.get(row.term, 0) + 1
+    return {
+        (r.term, r.doc): math.log10(1 + n_docs / df[r.term]) * (1 + math.log10(r.n)) for r in found
+    }
+
+
+def index_of(df):
+    return {(r.term, r.doc): r.tf_idf for r in df.collect()}
+
+
+# From every term in the shuffle join, over a mixture, to every term broadcast.
+@pytest.mark.parametrize("broadcast_bytes", [0, 60, 100, 200, 1 << 20])
+def test_index(counts, broadcast_bytes):
+    index = index_of(ink.tf_idf(counts, 3, broadcast_bytes))
+    assert index == pytest.approx(expected_index(counts, 3), abs=1e-12)
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 7, None])
+def test_index_by_window(counts, buckets):
+    index = index_of(ink.tf_idf_window(counts, 3, buckets))
+    assert index == pytest.approx(expected_index(counts, 3), abs=1e-12)
+
+
+def test_index_of_some_terms(counts):
+    index = index_of(ink.tf_idf_of_terms(counts, 3, ["cat", "absent"]))
+    expected = {k: v for k, v in expected_index(counts, 3).items() if k[0] == "cat"}
+    assert index == pytest.approx(expected, abs=1e-12)
+
+
+def test_corpus_size_as_a_frame(docs, counts):
+    # Rows of one name are one document but each counts.
+    size = ink.corpus_size(docs)
+    assert size.first().n_docs == 4
+    assert index_of(ink.tf_idf(counts, size)) == pytest.approx(expected_index(counts, 4), abs=1e-12)
+
+
+def test_hash_term_keeps_its_document(counts):
+    assert ("#", "a.txt") in index_of(ink.tf_idf(counts, 3))
+
+
+def test_empty_corpus(spark):
+    docs = spark.createDataFrame([], "doc STRING, text STRING")
+    counts = ink.doc_word_count(ink.tokenize(docs))
+    assert ink.tf_idf(counts, ink.corpus_size(docs)).count() == 0
+
+
+def test_frequent_terms_fit_the_broadcast_limit(spark):
+    """The bound of the broadcast, on a corpus with one term in every document."""
+    limit = 4000
+    texts = [(i, f"common w{i} v{i % 40}") for i in range(400)]
+    counts = ink.doc_word_count(ink.tokenize(spark.createDataFrame(texts, "doc INT, text STRING")))
+    df = counts.groupBy("term").count().collect()
+    row_bytes = {r.term: len(r.term) + 32 for r in df}
+    copied = sum(r["count"] * row_bytes[r.term] for r in df)
+    frequent = [r.term for r in df if r["count"] * limit >= copied]
+    assert "common" in frequent
+    assert len(frequent) < len(df)
+    assert sum(row_bytes[t] for t in frequent) <= limit
+    index = index_of(ink.tf_idf(counts, 400, limit))
+    assert index == pytest.approx(expected_index(counts, 400), abs=1e-12)
+
+
+def test_tokens_are_shuffled_once(spark, small):
+    """All uses of the counts read the same shuffle: one plan, one tokenizing."""
+    docs = ink.table_corpus(spark.read.parquet(f"{small}/documents.parquet"), "doc_id")
+    index = ink.tf_idf(ink.doc_word_count(ink.tokenize(docs)), ink.corpus_size(docs))
+    index.collect()
+    executed = index._jdf.queryExecution().executedPlan().toString()
+    final = executed.split("\n+- == Initial Plan ==")[0]
+    # Only operators that ran carry the number of their generated stage.
+    assert len(re.findall(r"\*\(\d+\) Generate explode", final)) == 1
+    assert "CartesianProduct" not in executed

@@ -1,0 +1,112 @@
+"""Token rules, line rules and weights."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import inkrank as ink
+from inkrank.functions.text import (
+    SPELLED_OUT_EDGE,
+    inverse_frequency,
+    lines_of,
+    log_weight,
+    query_terms_of,
+    tokens_of,
+    word_edge,
+)
+
+CASES = {
+    "punctuation runs are tokens": ("foo, bar", ["foo", ",", "bar"]),
+    "blanks inside a run stay": ("a. (b", ["a", ". (", "b"]),
+    "leading blanks before punctuation stay": ("   (foo", ["   (", "foo"]),
+    "trailing blanks after punctuation stay": ("foo); ", ["foo", "); "]),
+    "a blank line is one token": ("     ", ["     "]),
+    "an empty line has none": ("", []),
+    "apostrophes split": ("don't stop", ["don", "'", "t", "stop"]),
+    "underscore and digits are word characters": ("x_1 + y", ["x_1", "+", "y"]),
+    "accented letters are word characters": ("naïve café", ["naïve", "café"]),
+    "hash runs are tokens": ("#ifndef lint", ["#", "ifndef", "lint"]),
+    "five hashes are a token": ("a ##### b", ["a", "#####", "b"]),
+    "a no-break space is no blank": ("a b", ["a", " ", "b"]),
+    "upper case is folded": ("Foo BAR", ["foo", "bar"]),
+    "lines end tokens": ("foo\nbar", ["foo", "bar"]),
+    "blanks stay with their line": ("foo) \n  (bar", ["foo", ") ", "  (", "bar"]),
+    "a blank line between words": ("foo\n  \nbar", ["foo", "  ", "bar"]),
+    "all three line ends": ("a.\r\nb.\rc.\nd", ["a", ".", "b", ".", "c", ".", "d"]),
+    "vertical tab and form feed are blanks": ("a\x0b\x0cb", ["a", "b"]),
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_token_case(spark, name):
+    text, expected = CASES[name]
+    df = spark.createDataFrame([(1, text)], "doc INT, text STRING")
+    assert [row.term for row in ink.tokenize(df).collect()] == expected
+
+
+def test_missing_text_has_no_tokens(spark):
+    df = spark.createDataFrame([(1, None)], "doc INT, text STRING")
+    assert ink.tokenize(df).count() == 0
+
+
+def _random_texts(alphabet, count, seed):
+    rng = random.Random(seed)
+    return [("".join(rng.choices(alphabet, k=rng.randint(0, 24))),) for _ in range(count)]
+
+
+def test_whole_text_equals_line_by_line(spark):
+    """The one split of a whole text against the rule as it is stated: lines
+    first, then each line cut at word edges with the white space around them."""
+    texts = _random_texts("ab_1é (.#'\t\r\n\n  ", 4000, 1)
+    df = spark.createDataFrame(texts, "text STRING")
+    by_line = F.transform(
+        F.split("text", r"\r\n|\r|\n"), lambda line: F.split(F.lower(line), r"\s*\b\s*")
+    )
+    whole = F.filter(tokens_of(F.col("text")), lambda t: t != "").alias("whole")
+    lined = F.filter(F.flatten(by_line), lambda t: t != "").alias("lined")
+    assert df.select("text", whole, lined).where("whole <> lined").collect() == []
+
+
+def test_spelled_out_edge_equals_built_in_one(spark):
+    """For JVMs whose own word edge is ASCII-only. Runs against the built-in
+    one where that is the Unicode kind."""
+    if word_edge() != r"\b":
+        pytest.skip("this JVM has no Unicode word edge to compare with")
+    texts = _random_texts("aß_7٣é́́ .\n 漢𝒳", 4000, 2)
+    df = spark.createDataFrame(texts, "text STRING")
+    built_in = tokens_of(F.col("text"), r"\b").alias("b")
+    spelled = tokens_of(F.col("text"), SPELLED_OUT_EDGE).alias("s")
+    assert df.select("text", built_in, spelled).where("b <> s").collect() == []
+
+
+@pytest.mark.parametrize(
+    "text, lines",
+    [
+        ("", None),
+        ("a", ["a"]),
+        ("a\n", ["a"]),
+        ("a\n\n", ["a", ""]),
+        ("\n", [""]),
+        ("a\r\nb\rc\nd", ["a", "b", "c", "d"]),
+    ],
+)
+def test_lines_as_in_a_file(spark, text, lines):
+    df = spark.createDataFrame([(text,)], "text STRING")
+    assert df.select(lines_of(F.col("text"))).first()[0] == lines
+
+
+def test_query_terms_are_cut_at_white_space_only(spark):
+    df = spark.createDataFrame([("  Don't stop\tdon't \n",)], "q STRING")
+    assert df.select(query_terms_of(F.col("q"))).first()[0] == ["don't", "stop", "don't"]
+
+
+def test_weights(spark):
+    df = spark.createDataFrame([(100, 10, 10)], "n BIGINT, n_docs BIGINT, df BIGINT")
+    row = df.select(
+        log_weight(F.col("n")).alias("wf"),
+        inverse_frequency(F.col("n_docs"), F.col("df")).alias("idf"),
+    ).first()
+    assert row.wf == 3.0
+    assert row.idf == pytest.approx(math.log10(2), abs=1e-15)
