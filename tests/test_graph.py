@@ -1,0 +1,119 @@
+"""Links, pages and the initial graph."""
+
+import pytest
+
+import inkrank as ink
+from inkrank.functions.markup import HTML_BODY, HTML_LINK
+
+WIKI = [
+    '<page><title>A</title><text xml:space="preserve">x [[B]] [[C]] [[B]]</text></page>',
+    "<page><title>B</title><text>[[A]] [[B]]</text></page>",
+    "<page><title>C</title><text></text></page>",
+    "<page><title>D</title><text>[[A]] [[Zed|z]]</text></page>",
+    "<page><title>A</title><text>[[D]]</text></page>",
+    "<text>[[A]]</text>",
+    "<page><title>E</title></page>",
+]
+
+
+def frame(spark, lines):
+    return spark.createDataFrame([(line,) for line in lines], "line STRING")
+
+
+@pytest.fixture(scope="module")
+def wiki(spark):
+    return frame(spark, WIKI)
+
+
+@pytest.mark.parametrize(
+    "line, title, links",
+    [
+        (
+            '<title>A</title><text xml:space="preserve">'
+            "x [[B]] [[C|c]] [[B]] [[]] [[File:x [[y]] z]]</text>",
+            "A",
+            ["B", "C|c", "B", "", "File:x [[y"],
+        ),
+        ("<text>[[Q]]</text>", "", ["Q"]),
+        ("<title>Z</title><text></text>", "Z", []),
+        ("<title>T</title>[[outside]]<text>none</text>", "T", []),
+        ("<title>T</title><text>[[a]]</text><text>[[b]]</text>", "T", ["a"]),
+        ("<title>T</title><title>U</title><text>[[tab\there ###@@@$$]]</text>", "T", ["tab\there ###@@@$$"]),
+    ],
+)
+def test_links_of_a_line(spark, line, title, links):
+    found = ink.extract_links(frame(spark, [line])).collect()
+    assert [(row.src, row.dst) for row in found] == [(title, link) for link in links]
+
+
+@pytest.mark.parametrize(
+    "lines, count",
+    [(WIKI, 6), (["<title></title>"], 0), ([], 0), (["<title>A</title>"] * 3, 3)],
+)
+def test_page_count(spark, lines, count):
+    assert ink.count_pages(frame(spark, lines)).first().n_pages == count
+
+
+def test_out_degree(wiki):
+    degrees = {r.src: r.out_degree for r in ink.out_degree(ink.extract_links(wiki)).collect()}
+    assert degrees == {"A": 4, "B": 2, "D": 2, "": 1}
+
+
+def test_initial_ranks(wiki):
+    ranks = ink.initial_ranks(ink.extract_links(wiki), ink.count_pages(wiki))
+    assert {r.node: r.rank for r in ranks.collect()} == dict.fromkeys(["A", "B", "D", ""], 1 / 6)
+
+
+def test_initial_graph(wiki):
+    graph = ink.initial_graph(ink.extract_links(wiki), ink.count_pages(wiki))
+    assert {(r.node, r.dst, r.n) for r in graph.collect()} == {
+        ("A", "B", 2),
+        ("A", "C", 1),
+        ("A", "D", 1),
+        ("B", "A", 1),
+        ("B", "B", 1),
+        ("D", "A", 1),
+        ("D", "Zed|z", 1),
+        ("", "A", 1),
+    }
+    assert {r.rank for r in graph.collect()} == {1 / 6}
+
+
+def test_adjacency(wiki):
+    packed = ink.adjacency(ink.extract_links(wiki), ink.count_pages(wiki))
+    lists = {(r.node, r.block): [tuple(x) for x in r.outlinks] for r in packed.collect()}
+    assert lists == {
+        ("A", 0): [("B", 2), ("C", 1), ("D", 1)],
+        ("B", 0): [("A", 1), ("B", 1)],
+        ("D", 0): [("A", 1), ("Zed|z", 1)],
+        ("", 0): [("A", 1)],
+    }
+
+
+def test_adjacency_of_a_hub_is_split_and_whole(spark):
+    rows = [("hub", f"t{i}") for i in range(1000)] * 2 + [(f"s{i}", "hub") for i in range(100)]
+    edges = spark.createDataFrame(rows, "src STRING, dst STRING")
+    packed = ink.adjacency(edges, 10, links_per_row=100).collect()
+    hub = [row for row in packed if row.node == "hub"]
+    assert {row.block for row in hub} == set(range(10))
+    assert max(len(row.outlinks) for row in hub) < 200
+    found = sorted((link.dst, link.n) for row in hub for link in row.outlinks)
+    assert found == sorted((f"t{i}", 2) for i in range(1000))
+    assert sorted(r.node for r in packed if r.block == 0 and r.node != "hub") == sorted(
+        f"s{i}" for i in range(100)
+    )
+
+
+def test_no_titled_page_gives_an_empty_graph(spark):
+    lines = frame(spark, ["<text>[[A]]</text>"])
+    edges, pages = ink.extract_links(lines), ink.count_pages(lines)
+    assert ink.initial_graph(edges, pages).count() == 0
+    assert ink.initial_ranks(edges, pages).count() == 0
+    assert ink.adjacency(edges, pages).count() == 0
+    assert ink.page_rank(edges, pages).count() == 0
+
+
+def test_html_links(spark):
+    page = '<title>T</title><a href="/x">x</a> <a class="c" href="/no">n</a><a href="">e</a>'
+    found = ink.extract_links(frame(spark, [page]), body=HTML_BODY, link=HTML_LINK).collect()
+    assert [(r.src, r.dst) for r in found] == [("T", "/x"), ("T", "")]
