@@ -46,8 +46,12 @@ def token_break(edge: str) -> str:
     always separate and the blanks around them stay with their own line. An edge
     takes a directly following line end along, because a zero-width match makes
     the matcher step over the next character.
+
+    Blanks are tried from the start of their run only and never given back, so
+    long runs of them cost linear time.
     """
-    return f"{BLANK}*{edge}{BLANK}*{LINE_END}?|{LINE_END}"
+    blanks_before = f"(?:(?<!{BLANK}){BLANK}++)?"
+    return f"{blanks_before}{edge}{BLANK}*+{LINE_END}?|{LINE_END}"
 
 
 def tokens_of(text: Column, edge: str | None = None) -> Column:
@@ -55,6 +59,12 @@ def tokens_of(text: Column, edge: str | None = None) -> Column:
     return F.split(F.lower(text), token_break(edge or word_edge()))
 
 
+def pieces_of(text: Column, whole_up_to: int = 1 << 20) -> Column:
+    """The text itself, or its lines if it is very long: token arrays of long
+    texts would not fit a task, and tokens never cross lines."""
+    return F.when(F.length(text) > whole_up_to, F.split(text, LINE_END)).otherwise(F.array(text))
+
+
 def lines_of(text: Column) -> Column:
     """The lines a text file of this content has: the last line end adds none."""
     body = F.regexp_replace(text, LINE_END + r"\z", "")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from inkrank.functions.text import inverse_frequency, log_weight, tokens_of
+from inkrank.functions.text import inverse_frequency, log_weight, pieces_of, tokens_of
 from inkrank.operators.scalars import scalar
 from inkrank.session import shuffle_width
 
@@ -17,7 +17,8 @@ _ROW_OVERHEAD = 32
 def tokenize(texts: DataFrame, text: str = "text") -> DataFrame:
     """One row per token: the other columns of ``texts`` and ``term``."""
     others = [F.col(name) for name in texts.columns if name != text]
-    return texts.select(*others, F.explode(tokens_of(F.col(text))).alias("term")).where("term != ''")
+    pieces = texts.select(*others, F.explode(pieces_of(F.col(text))).alias(text))
+    return pieces.select(*others, F.explode(tokens_of(F.col(text))).alias("term")).where("term != ''")
 
 
 def doc_word_count(tokens: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from inkrank.functions.text import (
     inverse_frequency,
     lines_of,
     log_weight,
+    pieces_of,
     query_terms_of,
     tokens_of,
     word_edge,
@@ -69,6 +70,24 @@ def test_whole_text_equals_line_by_line(spark):
     assert df.select("text", whole, lined).where("whole <> lined").collect() == []
 
 
+def test_long_texts_are_cut_into_lines(spark):
+    texts = _random_texts("ab .(\r\n\n ", 500, 4)
+    df = spark.createDataFrame(texts, "text STRING")
+    whole = F.filter(tokens_of(F.col("text")), lambda t: t != "")
+    for limit in (0, 10):
+        by_piece = F.flatten(F.transform(pieces_of(F.col("text"), limit), lambda p: tokens_of(p)))
+        pieced = F.filter(by_piece, lambda t: t != "")
+        assert df.where(whole != pieced).collect() == []
+
+
+def test_long_runs_of_blanks(spark):
+    """Quadratic matching would take hours here."""
+    text = " " * 500_000 + "(" + " " * 500_000 + "a" + "\t" * 500_000 + ")"
+    df = spark.createDataFrame([(1, text)], "doc INT, text STRING")
+    lengths = [r[0] for r in ink.tokenize(df).select(F.length("term")).collect()]
+    assert lengths == [500_001, 1, 1]
+
+
 def test_spelled_out_edge_equals_built_in_one(spark):
     """For JVMs whose own word edge is ASCII-only. Runs against the built-in
     one where that is the Unicode kind."""
