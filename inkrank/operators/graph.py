@@ -31,8 +31,13 @@ def extract_links(
 
 
 def link_counts(edges: DataFrame) -> DataFrame:
-    """``(src, dst, n)``: each distinct link with its multiplicity."""
-    return edges.groupBy("src", "dst").agg(F.count("*").alias("n"))
+    """``(src, dst, n)``: each distinct link with its multiplicity.
+
+    Links have no null ends. Stating it here keeps joins from adding the check to
+    some uses only, which would count the links once more for them.
+    """
+    whole = edges.where("src IS NOT NULL AND dst IS NOT NULL")
+    return whole.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
 def out_degree(edges: DataFrame) -> DataFrame:

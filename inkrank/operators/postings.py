@@ -90,7 +90,9 @@ def tf_idf_window(counts: DataFrame, n_docs: int | DataFrame, buckets: int | Non
     to the postings of that term and bucket.
     """
     buckets = buckets or shuffle_width(counts.sparkSession)
-    placed = counts.withColumn("bucket", F.pmod(F.xxhash64("doc"), F.lit(buckets)))
+    # Never null, and said so: a null check on one use alone would part it from the other.
+    bucket = F.coalesce(F.pmod(F.xxhash64("doc"), F.lit(buckets)), F.lit(0))
+    placed = counts.withColumn("bucket", bucket)
     partial = placed.groupBy("term", "bucket").agg(F.count_if(F.col("n") > 0).alias("part"))
     whole_term = Window.partitionBy("term")
     frequency = partial.select("term", "bucket", F.sum("part").over(whole_term).alias("df"))

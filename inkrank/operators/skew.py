@@ -43,7 +43,8 @@ def deal(df: DataFrame, key: str, by: str | Column, hot: DataFrame, cell: str =
     """Give each row the one cell its ``by`` column hashes to."""
     by = F.col(by) if isinstance(by, str) else by
     place = F.pmod(F.xxhash64(by), F.coalesce("cells", F.lit(1))).cast("int")
-    return _with_cells(df, key, hot).withColumn(cell, place).drop("cells")
+    dealt = _with_cells(df, key, hot).withColumn(cell, F.coalesce(place, F.lit(0)))
+    return dealt.drop("cells")
 
 
 def repeat(df: DataFrame, key: str, hot: DataFrame, cell: str = "cell") -> DataFrame:
