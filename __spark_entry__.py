@@ -123,7 +123,8 @@ def tf_idf_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _searched(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
-    result = ink.search_tokens(_tokens(spark, sf_dir), _n_docs(spark, sf_dir), query)
+    texts = spread(_documents(spark, sf_dir))
+    result = ink.search_texts(texts, _n_docs(spark, sf_dir), query)
     return _rounded(ink.in_document_order(result), "score")
 
 
@@ -138,8 +139,7 @@ def search_repeated_term(spark: SparkSession, sf_dir: str) -> DataFrame:
 def search_case_insensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     by_source = documents.select(F.upper("source").alias("doc"), "text")
-    found = ink.tokenize(spread(by_source))
-    result = ink.search_tokens(found, _n_docs(spark, sf_dir), MIXED_CASE)
+    result = ink.search_texts(spread(by_source), _n_docs(spark, sf_dir), MIXED_CASE)
     return _rounded(result, "score")
 
 

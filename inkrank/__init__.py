@@ -26,7 +26,13 @@ from inkrank.operators.rank import (
     rank_step,
     sort_ranks,
 )
-from inkrank.operators.search import in_document_order, search, search_many, search_tokens
+from inkrank.operators.search import (
+    in_document_order,
+    search,
+    search_many,
+    search_texts,
+    search_tokens,
+)
 from inkrank.sources.corpus import (
     corpus_size,
     count_files,
@@ -62,6 +68,7 @@ __all__ = [
     "read_pages",
     "search",
     "search_many",
+    "search_texts",
     "search_tokens",
     "sort_ranks",
     "table_corpus",

@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from inkrank.plans.link_jobs import page_rank_job
+from inkrank.plans.link_jobs import initial_graph_job, page_count_job, page_rank_job
 from inkrank.plans.text_jobs import (
     search_index_job,
     search_job,
@@ -21,6 +21,8 @@ JOBS = {
     "tf-idf": (tf_idf_job, ["inputs", "output", "index_path"]),
     "search": (search_job, ["index_path", "output", "query"]),
     "search-index": (search_index_job, ["index_path", "output", "query"]),
+    "page-count": (page_count_job, ["inputs", "output"]),
+    "initial-graph": (initial_graph_job, ["inputs", "output"]),
     "page-rank": (page_rank_job, ["inputs", "output"]),
 }
 

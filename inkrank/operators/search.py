@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkrank.functions.text import query_terms_of
-from inkrank.operators.postings import doc_word_count, tf_idf_of_terms
+from inkrank.operators.postings import doc_word_count, tf_idf_of_terms, tokenize
 from inkrank.operators.skew import grid_join
 
 # Bytes a row of the broadcast query terms needs beside its term.
 _ROW_OVERHEAD = 48
 
+# Beyond this many terms, looking for each costs more than it saves.
+_SUBSTRING_TERMS = 16
+
 
 def query_weights(query: str) -> dict[str, int]:
     """Lower-cased terms of a query with the number of times each occurs."""
@@ -56,6 +61,19 @@ def search_tokens(tokens: DataFrame, n_docs: int | DataFrame, query: str) -> Dat
     return search(index, query, folded=True)
 
 
+def search_texts(texts: DataFrame, n_docs: int | DataFrame, query: str) -> DataFrame:
+    """Search ``(doc, text)`` rows that have no index.
+
+    A text that does not contain any query term as a plain substring cannot hold
+    it as a token, so only the others are split into tokens at all.
+    """
+    terms = list(query_weights(query))
+    if 0 < len(terms) <= _SUBSTRING_TERMS:
+        folded = F.lower("text")
+        texts = texts.where(reduce(or_, [F.contains(folded, F.lit(term)) for term in terms]))
+    return search_tokens(tokenize(texts), n_docs, query)
+
+
 def search_many(
     index: DataFrame,
     queries: DataFrame,

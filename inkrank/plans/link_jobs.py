@@ -3,14 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from inkrank.operators.graph import count_pages, extract_links
+from inkrank.operators.graph import count_pages, extract_links, initial_graph
 from inkrank.operators.rank import ITERATIONS, page_rank, sort_ranks
 from inkrank.plans.text_jobs import Paths
 from inkrank.sources.corpus import read_pages
 from inkrank.sources.sinks import write_tsv
 
 
+def page_count_job(spark: SparkSession, inputs: Paths, output: str) -> None:
+    """One line: ``Pages<TAB>count``."""
+    count = count_pages(read_pages(spark, inputs))
+    write_tsv(count.select(F.lit("Pages").alias("key"), "n_pages"), output)
+
+
+def initial_graph_job(spark: SparkSession, inputs: Paths, output: str) -> None:
+    """The ranked graph as lines of node, rank, link target and its multiplicity."""
+    lines = read_pages(spark, inputs)
+    write_tsv(initial_graph(extract_links(lines), count_pages(lines)), output, overwrite=True)
+
+
 def ranked_dump(spark: SparkSession, inputs: Paths, iterations: int = ITERATIONS) -> DataFrame:
     """``(node, rank)`` of a dump with one page per line."""
     lines = read_pages(spark, inputs)

@@ -102,6 +102,14 @@ def test_table_of_queries_equals_single_queries(spark, small):
         assert found == pytest.approx(one_by_one, abs=1e-9)
 
 
+@pytest.mark.parametrize("query", ["the", "thtion attion", "THE the.", ". ,", "nowhere", ""])
+def test_texts_without_the_terms_can_be_skipped(spark, small, query):
+    docs = ink.table_corpus(spark.read.parquet(f"{small}/documents.parquet"), "doc_id")
+    size = ink.corpus_size(docs)
+    skipping = scores(ink.search_texts(docs, size, query))
+    assert skipping == pytest.approx(scores(ink.search_tokens(ink.tokenize(docs), size, query)), abs=1e-9)
+
+
 def test_matches_are_added_up_without_another_shuffle(spark, index, plan):
     queries = spark.createDataFrame([(1, "data")], "query_id BIGINT, query_text STRING")
     after_documents = plan(ink.search_many(index, queries)).split("REPARTITION_BY_COL")[0]
@@ -145,7 +153,7 @@ def test_packed_text_index(spark, tmp_path):
 
 def test_search_reads_two_columns_of_text_only(spark, small, plan):
     docs = ink.table_corpus(spark.read.parquet(f"{small}/documents.parquet"), "doc_id")
-    result = ink.search_tokens(ink.tokenize(docs), ink.corpus_size(docs), "thtion")
+    result = ink.search_texts(docs, ink.corpus_size(docs), "thtion")
     text = plan(result)
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
     assert "Python" not in text

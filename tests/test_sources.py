@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import inkrank as ink
 from inkrank.__main__ import JOBS
-from inkrank.plans.link_jobs import page_rank_job
+from inkrank.plans.link_jobs import initial_graph_job, page_count_job, page_rank_job
 from inkrank.plans.text_jobs import (
     search_index_job,
     search_job,
@@ -121,6 +121,16 @@ def test_rank_job(spark, tmp_path):
     assert {n: float(r) for n, r in ranked} == pytest.approx(STEPS[10], abs=1e-12)
 
 
+def test_graph_jobs(spark, tmp_path):
+    dump = tmp_path / "dump.xml"
+    dump.write_text("\n".join(WIKI) + "\n")
+    page_count_job(spark, str(dump), str(tmp_path / "count"))
+    assert lines_in(tmp_path / "count") == ["Pages\t6"]
+    initial_graph_job(spark, str(dump), str(tmp_path / "graph"))
+    lines = lines_in(tmp_path / "graph")
+    assert f"A\t{1 / 6}\tB\t2" in lines and len(lines) == 8
+
+
 def test_missing_input_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         word_count_job(spark, str(tmp_path / "none"), str(tmp_path / "out"))
