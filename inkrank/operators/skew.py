@@ -2,8 +2,8 @@
 
 A key's rows are dealt into numbered cells so that no task gets more than about
 its share; the other side's rows of that key are repeated for each cell. Only
-keys above the fair share get more than one cell, and there are fewer of those
-than there are shuffle partitions. The table of cells is keyed by a 64-bit hash,
+keys above the fair share get more than one cell, and their number is bounded by
+the number of shares. The table of cells is keyed by a 64-bit hash,
 so its size in bytes is bounded too; two keys of equal hash merely share a cell
 count, which both sides of a join see alike.
 """
@@ -18,14 +18,18 @@ from inkrank.session import shuffle_width
 
 _SLOT = "_slot"
 
+# Shares per task: cells smaller than a task's share even out better.
+_GRAIN = 4
+
 
 def hot_keys(sizes: DataFrame, key: str, rows: str, width: int | None = None) -> DataFrame:
     """``(_slot, cells)`` of the keys that exceed a fair share of all rows.
 
     ``sizes`` has one row per key with its number of ``rows``; fewer than
-    ``width`` keys can exceed the sum divided by ``width``.
+    ``width`` keys can exceed the sum divided by ``width``, which is by default
+    a small multiple of the shuffle partitions.
     """
-    width = width or shuffle_width(sizes.sparkSession)
+    width = width or _GRAIN * shuffle_width(sizes.sparkSession)
     total = sizes.agg(F.sum(F.col(rows).cast("double")).alias("total"))
     by_slot = sizes.groupBy(F.xxhash64(key).alias(_SLOT)).agg(
         F.sum(F.col(rows).cast("double")).alias("_rows")
@@ -35,7 +39,7 @@ def hot_keys(sizes: DataFrame, key: str, rows: str, width: int | None = None) ->
 
 
 def _with_cells(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    # At most shuffle_width rows of 12 bytes: see hot_keys.
+    # Fewer rows than shares, of 12 bytes each: see hot_keys.
     return df.withColumn(_SLOT, F.xxhash64(key)).join(F.broadcast(hot), _SLOT, "left").drop(_SLOT)
 
 
@@ -54,11 +58,21 @@ def repeat(df: DataFrame, key: str, hot: DataFrame, cell: str = "cell") -> DataF
 
 
 def lookup(
-    rows: DataFrame, table: DataFrame, key: str, by: str, how: str = "inner", width: int | None = None
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    by: str,
+    how: str = "inner",
+    hot: DataFrame | None = None,
+    width: int | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to ``table``, which holds each key once; ``rows`` may be skewed."""
-    sizes = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    hot = hot_keys(sizes, key, "_n", width)
+    """Join ``rows`` to ``table``, which holds each key once; ``rows`` may be skewed.
+
+    ``hot`` can be given if the hot keys of ``rows`` are known.
+    """
+    if hot is None:
+        sizes = rows.groupBy(key).agg(F.count("*").alias("_n"))
+        hot = hot_keys(sizes, key, "_n", width)
     dealt = deal(rows, key, by, hot)
     return dealt.join(repeat(table, key, hot), [key, "cell"], how).drop("cell")
 

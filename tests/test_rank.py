@@ -161,3 +161,13 @@ def test_numbered_ranks(spark):
     numbered = ink.number_sorted(ranks).collect()
     assert [r.node for r in sorted(numbered, key=lambda r: r.position)] == expected
     assert sorted(r.position for r in numbered) == list(range(1, 3001))
+
+
+def test_links_to_non_nodes_count_in_the_out_degree_only(spark):
+    edges = [("a", "b"), ("a", "gone"), ("a", "gone"), ("b", "a"), ("b", "lost")]
+    ranks = ranks_of(ink.page_rank(spark.createDataFrame(edges, "src STRING, dst STRING"), 7))
+    assert ranks == pytest.approx(expected_ranks(edges, 7, 10), abs=1e-12)
+
+
+def test_no_links_at_all(spark):
+    assert ink.page_rank(spark.createDataFrame([], "src STRING, dst STRING"), 3).count() == 0

@@ -35,7 +35,7 @@ def test_grid_join_equals_join(left, right, width):
 @pytest.mark.parametrize("width", [1, 4, 50])
 def test_lookup_equals_join(left, right, how, width):
     table = right.groupBy("key").agg(F.max("r").alias("m"))
-    found = lookup(left, table, "key", "l", how, width).select("key", "l", "m")
+    found = lookup(left, table, "key", "l", how, width=width).select("key", "l", "m")
     assert counted(found) == counted(left.join(table, "key", how).select("key", "l", "m"))
 
 
