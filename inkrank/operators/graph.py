@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkrank.functions.markup import WIKI_BODY, WIKI_LINK, WIKI_TITLE, first_of, links_of
 from inkrank.operators.scalars import scalar
-from inkrank.operators.skew import lookup
+from inkrank.operators.skew import hot_keys, lookup
 
 
 def count_pages(lines: DataFrame, title: str = WIKI_TITLE) -> DataFrame:
@@ -78,7 +78,8 @@ def adjacency(edges: DataFrame, n_pages: int | DataFrame, links_per_row: int = 1
     blocks = F.ceil(F.col("targets") / F.lit(links_per_row)).cast("int")
     large = targets.select("src", blocks.alias("blocks")).where("blocks > 1")
     block = F.pmod(F.xxhash64("dst"), F.coalesce("blocks", F.lit(1))).cast("int")
-    placed = lookup(links, large, "src", "dst", "left").withColumn("block", block)
+    hot = hot_keys(targets, "src", "targets")
+    placed = lookup(links, large, "src", "dst", "left", hot).withColumn("block", block)
     packed = placed.groupBy(F.col("src").alias("node"), "block").agg(
         F.array_sort(F.collect_list(F.struct("dst", "n"))).alias("outlinks")
     )

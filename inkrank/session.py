@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,5 +81,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
+@contextmanager
+def shuffling_into(spark: SparkSession, width: int) -> Iterator[None]:
+    """Plan the queries of this block with ``width`` shuffle partitions."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, width)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

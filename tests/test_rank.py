@@ -125,8 +125,8 @@ def test_mass_is_kept_when_every_target_is_a_node(spark):
 def test_held_frames_need_no_shuffle(spark, plan):
     df = spark.createDataFrame(random_edges(0, 7), "src STRING, dst STRING")
     graph = ink.link_graph(ink.link_counts(df))
-    nodes = _hold(graph.nodes, ["node"], 8)
-    links = _hold(ink.link_counts(df), ["src"], 8)
+    nodes = _hold(graph.nodes, ["node"])
+    links = _hold(ink.link_counts(df), ["src"])
     joined = links.join(nodes.withColumnRenamed("node", "src").hint("merge"), "src")
     above_cache = "".join(
         line for line in plan(joined).splitlines(True) if "Exchange" in line or "Sort " in line
@@ -171,3 +171,15 @@ def test_links_to_non_nodes_count_in_the_out_degree_only(spark):
 
 def test_no_links_at_all(spark):
     assert ink.page_rank(spark.createDataFrame([], "src STRING, dst STRING"), 3).count() == 0
+
+
+def test_the_session_and_its_cache_are_left_as_they_were(spark, wiki):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        ranks = ink.page_rank(ink.extract_links(wiki), 6)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert ranks_of(ranks) == pytest.approx(STEPS[10], abs=1e-12)
