@@ -1,4 +1,4 @@
-"""``spark-submit``-able front of the jobs: ``python -m inkrank <job> …``."""
+"""The jobs on the command line: ``python -m inkrank <job> …``."""
 
 from __future__ import annotations
 

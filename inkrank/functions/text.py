@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 # not end a line.
 BLANK = r"[ \t\x0B\f]"
 LINE_END = r"(?:\r\n|\r|\n)"
-QUERY_GAP = r"\s+"
+QUERY_GAP = r"[ \t\n\x0B\f\r]+"
 
 # A word edge as \b finds it on JVMs before 19: letters, decimal digits and the
 # underscore are word characters, and so are the combining marks that follow a

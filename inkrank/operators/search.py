@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkrank.functions.text import query_terms_of
+from inkrank.functions.text import QUERY_GAP, query_terms_of
 from inkrank.operators.postings import doc_word_count, tf_idf_of_terms, tokenize
 from inkrank.operators.skew import grid_join
 
@@ -23,7 +23,7 @@ _SUBSTRING_TERMS = 16
 
 def query_weights(query: str) -> dict[str, int]:
     """Lower-cased terms of a query with the number of times each occurs."""
-    terms = re.split(r"[ \t\n\x0b\f\r]+", query.lower())
+    terms = re.split(QUERY_GAP, query.lower())
     return dict(Counter(term for term in terms if term))
 
 

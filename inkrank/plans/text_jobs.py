@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from inkrank.operators.postings import doc_word_count, term_frequency, tf_idf, tokenize
 from inkrank.operators.search import in_document_order, search
 from inkrank.sources.corpus import count_files, read_corpus
-from inkrank.sources.index import read_packed, write_index, write_packed
+from inkrank.sources.index import read_index, read_packed, write_index, write_packed
 from inkrank.sources.sinks import write_tsv
 
 Paths = str | Iterable[str]
@@ -34,9 +34,10 @@ def tf_idf_job(
     if not isinstance(inputs, str):
         inputs = list(inputs)
     index = tf_idf(counted_corpus(spark, inputs), count_files(spark, inputs))
-    write_packed(index, output)
     if index_path:
         write_index(index, index_path)
+        index = read_index(spark, index_path)
+    write_packed(index, output)
 
 
 def search_job(spark: SparkSession, index_path: str, output: str, query: str) -> None:
@@ -47,5 +48,5 @@ def search_job(spark: SparkSession, index_path: str, output: str, query: str) ->
 
 def search_index_job(spark: SparkSession, index_path: str, output: str, query: str) -> None:
     """Search a parquet index, reading little more than the query's terms."""
-    result = search(spark.read.parquet(index_path), query, folded=True)
+    result = search(read_index(spark, index_path), query, folded=True)
     write_tsv(in_document_order(result), output)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from pathlib import Path
 
 import duckdb
@@ -32,6 +31,4 @@ def same_rows(left: list[tuple], right: list[tuple]) -> bool:
 
 
 def same_cell(a, b) -> bool:
-    if isinstance(a, float) and isinstance(b, float):
-        return math.isclose(a, b, rel_tol=0, abs_tol=0)
     return type(a) is type(b) and a == b
