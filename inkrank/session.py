@@ -55,17 +55,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder of its own in the shared folder, removed when the block ends."""
+    folder = scratch_path(spark, label)
+    try:
+        yield folder
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settle(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a new path in the shared folder and read it back.
 
     The result has no lineage, so a lost executor costs a re-read rather than a
     recomputation. Unlike ``checkpoint()`` it is compressed and columnar, which
     matters for the large tables.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from inkrank.plans.text_jobs import (
     tf_idf_job,
     word_count_job,
 )
-from inkrank.session import checkpoint_folder, scratch_path, settle, spread
+from inkrank.session import checkpoint_folder, scratch_folder, scratch_path, settle, spread
 from test_graph import WIKI
 from test_rank import STEPS
 
@@ -153,9 +153,18 @@ def test_scratch_lies_in_the_checkpoint_folder(spark):
     assert one.startswith(folder.rstrip("/") + "/") and one != two
 
 
+def test_scratch_folder_is_removed(spark):
+    with scratch_folder(spark, "test") as folder:
+        settled = settle(spark.range(5), f"{folder}/five")
+        assert settled.count() == 5
+        local = Path(folder.removeprefix("file:"))
+        assert (local / "five").exists()
+    assert not local.exists()
+
+
 def test_settled_frame_has_no_lineage(spark, plan):
     df = spark.range(10).select(F.col("id") * 2)
-    settled = settle(df, "test")
+    settled = settle(df, scratch_path(spark, "test"))
     assert sorted(r[0] for r in settled.collect()) == list(range(0, 20, 2))
     assert "Range" not in plan(settled)
 
