@@ -326,7 +326,7 @@ WITH ln AS (
 """
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_sql() -> dict[str, str]:
     return {
         "corpus_lines": r"""
             SELECT doc_id, CAST(len(string_split_regex(
@@ -396,7 +396,7 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
         corpus_lines,
         tokens,
@@ -431,6 +431,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in registered}
 
 
+def _llm():
+    """The training-data operators, or nothing where their folder is absent."""
+    try:
+        import inkrank.llm.queries as registered
+    except ModuleNotFoundError:
+        return None
+    return registered
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    more = _llm()
+    return own_queries() | (more.queries() if more else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    more = _llm()
+    return _own_sql() | (more.oracle_sql() if more else {})
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Search the documents for two words."""
     return search_two_terms(spark, "/root/testdata/sf0.001")
