@@ -1,0 +1,149 @@
+"""Token files and packing against plain encoding, and the plan against its bounds."""
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from tokenizers import Tokenizer
+
+from inkrank.llm import packing, token_files
+from inkrank.llm.tokens import Encoder, default_tokenizer
+from inkrank.session import scratch_path
+
+ODD = ["", " ", "a", " a", "a ", "a  b", "a \n b", "x<|endoftext|> y", "a\nb\n", "don't  'll", "é, x",
+       "a\u0085b  c", "\x1c \x1d", "it's 12 3,4", "Ġ aĠ Ġb", "word'... (x), y_z. ²,", "," * 50, None]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    tokenizer = Tokenizer.from_file(default_tokenizer())
+    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def test_cached_words_give_the_tokenizers_ids(plain, small):
+    texts = [x or "" for x in ODD] + pq.read_table(f"{small}/documents.parquet")["text"].to_pylist()
+    found = Encoder(default_tokenizer()).encode(texts)
+    assert [[*map(int, ids), 0] for ids in found] == [plain(text) for text in texts]
+
+
+def test_cache_that_overflows(plain, monkeypatch):
+    monkeypatch.setattr("inkrank.llm.tokens.CACHE_WORDS", 3)
+    words = Encoder(default_tokenizer())
+    for text in ["a b, c d e f.", "g h a b", "a"]:
+        assert [*map(int, words.encode([text])[0]), 0] == plain(text)
+
+
+def test_files_round_trip(spark, documents, plain):
+    long = "word " * 60_000 + "x" * 5000
+    pairs = [(i * 3, text) for i, text in enumerate([*ODD, long])] + [(None, "no id"), (6, "again"), (6, "again")]
+    folder = scratch_path(spark, "test")
+    manifest = token_files.write_token_files(documents(pairs), folder)
+    rows = token_files.digests(token_files.read_token_files(manifest, folder)).collect()
+    ordered = sorted(pairs, key=lambda x: (x[0] is not None, x[0] or 0, (x[1] or "").encode()))
+    start, expected = 0, []
+    for doc, text in ordered:
+        ids = plain(text)
+        expected.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, rows), key=lambda x: x[1]) == expected
+    assert [list(x) for x in token_files.read_document(spark, folder, 6)] == [plain(t) for d, t in ordered if d == 6]
+    assert [list(x) for x in token_files.read_document(spark, folder, None)] == [plain("no id")]
+    assert token_files.read_document(spark, folder, 1) == []
+
+
+def test_dictionary_is_trained_and_checked(spark, small, plain, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    manifest = token_files.write_token_files(docs, str(tmp_path))
+    assert sum(row.rows for row in manifest.collect()) == docs.count()
+    [dictionary] = (tmp_path / "ids").glob("*.dict")
+    assert dictionary.stat().st_size > 10_000
+    row = docs.first()
+    assert [list(x) for x in token_files.read_document(spark, str(tmp_path), row.doc_id)] == [plain(row.text)]
+    dictionary.write_bytes(b"")
+    with pytest.raises(ValueError, match="dictionary"):
+        token_files.read_document(spark, str(tmp_path), row.doc_id)
+
+
+def test_no_documents(spark, documents):
+    folder = scratch_path(spark, "test")
+    manifest = token_files.write_token_files(documents([]), folder)
+    assert token_files.read_token_files(manifest, folder).count() == 0
+    assert packing.pack(packing.pieces(documents([]))).count() == 0
+
+
+def check_packed(rows, texts, plain, sequence):
+    whole = {}
+    for row in rows:
+        whole.setdefault(row.doc_id, []).append(row)
+    assert set(whole) == set(texts)
+    for doc, parts in whole.items():
+        ids, parts = plain(texts[doc]), sorted(parts, key=lambda x: x.piece)
+        assert [p.piece for p in parts] == list(range(len(parts)))
+        at = 0
+        for part in parts:
+            assert part.start == at and (part.length == sequence or part.piece == 0)
+            data = np.array(ids[at : at + part.length], "<u4").tobytes()
+            assert part.ids_crc32 == zlib.crc32(data)
+            at += part.length
+        assert at == len(ids)
+    filled = {}
+    for row in rows:
+        filled.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    for parts in filled.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= sequence
+    return len(filled)
+
+
+def test_packing(documents, plain, small):
+    texts = dict(enumerate([x or "" for x in ODD] + pq.read_table(f"{small}/documents.parquet")["text"].to_pylist()))
+    texts |= {1000 + i: "the same" for i in range(500)}
+    rows = packing.pack(packing.pieces(documents(list(texts.items())), 256), 256, salts=3).collect()
+    used = check_packed(rows, texts, plain, 256)
+    assert used <= 1.01 * sum(row.length for row in rows) / 256 + 1
+
+
+def best_fit_decreasing(lengths, sequence):
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fits = [room for room in rooms if room >= length]
+        if fits:
+            rooms.remove(min(fits))
+            rooms.append(min(fits) - length)
+        else:
+            rooms.append(sequence - length)
+    return len(rooms)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_plan_equals_best_fit_by_pieces(seed):
+    rng = random.Random(seed)
+    sequence = rng.choice([10, 64, 100])
+    lengths = [rng.randint(1, rng.choice([sequence, sequence // 3])) for _ in range(rng.randint(1, 400))]
+    histogram = {x: lengths.count(x) for x in set(lengths)}
+    taken, ranks = {}, {}
+    for length, rank, count, first, offset in packing.plan(histogram, sequence):
+        assert rank == ranks.get(length, 0)
+        ranks[length] = rank + count
+        for i in range(count):
+            taken.setdefault(first + i, []).append((offset, length))
+    assert ranks == histogram
+    for parts in taken.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= sequence
+    assert len(taken) == best_fit_decreasing(lengths, sequence)
+
+
+def test_plan_does_not_grow_with_the_counts():
+    histogram = {length: 1 + length * 7919 % 1000 for length in range(1, 2049)}
+    small = packing.plan(histogram)
+    large = packing.plan({length: n * 1_000_003 for length, n in histogram.items()})
+    assert len(large) < 3 * len(small) + 10_000
