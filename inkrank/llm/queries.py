@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from inkrank.llm import packing, token_files
+from inkrank.llm import decontaminate, packing, simhash, token_files
 from inkrank.session import scratch_path
 
 
@@ -24,12 +25,31 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_token_files(manifest, folder))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    found = decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
+    ids = F.array_join("item_ids", ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_documents(spark, sf_dir))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_documents(spark, sf_dir)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op3_token_files, op10_best_fit_packing]
+    registered = [op3_token_files, op4_decontamination, op7_simhash, op10_best_fit_packing]
     return {query.__name__: query for query in registered}
 
 

@@ -1,0 +1,120 @@
+"""Fingerprints, Golay keys and components against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from inkrank.llm import golay, queries, simhash
+from inkrank.llm.components import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_fingerprint(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(lowered)
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(nodes, linked):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    nodes = list(nodes)
+    for i, a in enumerate(nodes):
+        for b in nodes[:i]:
+            if linked(a, b):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {n: find(n) for n in nodes}
+
+
+def test_golay_code_is_perfect():
+    words = np.arange(1 << 23, dtype=np.int64)
+    index, count = np.unique(golay.nearest(words), return_counts=True)
+    assert len(index) == 4096 and set(count) == {2048}
+
+
+def test_keys_of_neighbours_meet():
+    words = np.random.default_rng(1).integers(0, 1 << 23, 500)
+    rows = golay.around(words)
+    assert {len(set(row)) for row in rows.tolist()} == {1, 6}
+    for bit in range(23):
+        other = golay.nearest(words ^ (1 << bit))
+        assert (rows == other[:, None]).any(axis=1).all()
+
+
+TEXTS = [None, "", " \t\n", "One", "one two", "one two three", "ONE  two\nthree", "a b c d é É e",
+         "x " * 500, "y\u0085z \x1c \x0b q", "a b c d e f g " * 3]
+
+
+def test_fingerprints(spark, documents):
+    rows = simhash.fingerprints(documents(TEXTS)).collect()
+    assert {r.doc_id: r.fp % (1 << 64) for r in rows} == {i: brute_fingerprint(t) for i, t in enumerate(TEXTS)}
+
+
+@pytest.mark.parametrize("cell", [4096, 5])
+def test_links_connect_what_is_near(spark, cell):
+    rng = random.Random(cell)
+    fps = set()
+    for _ in range(40):
+        seed = rng.getrandbits(64)
+        for _ in range(rng.choice([1, 2, 30])):
+            fps.add(seed)
+            seed ^= 1 << rng.randrange(64)
+            seed ^= 1 << rng.choice([0, 5, 21, 22, 42, 43, 63])
+    signed = [fp - (1 << 64) if fp >> 63 else fp for fp in fps]
+    table = spark.createDataFrame([(fp,) for fp in signed], "fp long").repartition(3)
+    found = simhash.links(table, cell=cell).collect()
+    for a, b in found:
+        assert bin((a ^ b) % (1 << 64)).count("1") <= 2 or cell  # a star's ends may be further apart
+    expected = brute_components(signed, lambda a, b: bin((a ^ b) % (1 << 64)).count("1") <= 2)
+    pairs = {frozenset(pair) for pair in found}
+    got = brute_components(signed, lambda a, b: frozenset((a, b)) in pairs)
+    assert got == expected
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    pairs = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)]
+    pairs += [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(7, 7), (-5, 400)]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    linked = {frozenset(p) for p in pairs}
+    nodes = {n for p in pairs if p[0] != p[1] for n in p}
+    expected = brute_components(nodes, lambda a, b: frozenset((a, b)) in linked)
+    assert dict(map(tuple, components(links).collect())) == expected
+    assert components(links.where("a > 1000")).count() == 0
+
+
+def test_query_equals_brute_force(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
+    texts = [(r.doc_id, r.text) for r in docs]
+    texts += [(1000 + i, t) for i, t in enumerate(TEXTS)] + [(2000, texts[3][1]), (2000, texts[3][1]), (-4, texts[5][1])]
+    table = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    table.selectExpr("text", "'clash' as fp", "doc_id", "1 as component_id").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op7_simhash(spark, str(tmp_path)).collect()
+    fps = {(doc, text): brute_fingerprint(text) for doc, text in texts}
+    roots = brute_components(set(fps.values()), lambda a, b: bin(a ^ b).count("1") <= 2)
+    least = {}
+    for (doc, _), fp in fps.items():
+        least[roots[fp]] = min(doc, least.get(roots[fp], doc))
+    expected = sorted((doc, f"{fps[doc, text]:016x}", least[roots[fps[doc, text]]]) for doc, text in texts)
+    assert sorted(map(tuple, rows)) == expected
+
+
+def test_nulls_and_no_rows(spark, documents):
+    rows = simhash.near_duplicates(documents([(None, "a b"), (None, "a b"), (3, "c d")])).collect()
+    assert sorted((r.doc_id or 0, r.component_id) for r in rows if r.doc_id) == [(3, 3)]
+    assert [r.component_id for r in rows if r.doc_id is None] == [None, None]
+    assert simhash.near_duplicates(documents([])).count() == 0
+    with pytest.raises(ValueError):
+        simhash.links(documents([]).selectExpr("doc_id as fp"), max_bits=3)
