@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkrank.llm import decontaminate, packing, simhash, token_files
+from inkrank.llm import decontaminate, packing, pii, simhash, token_files
 from inkrank.session import scratch_path
 
 
@@ -19,6 +19,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_documents(spark, sf_dir))
+    counts = [F.regexp_count("base", F.lit(f"{kind}:")).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     manifest = token_files.write_token_files(_documents(spark, sf_dir), folder)
@@ -49,7 +55,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op3_token_files, op4_decontamination, op7_simhash, op10_best_fit_packing]
+    registered = [op2_pii, op3_token_files, op4_decontamination, op7_simhash, op10_best_fit_packing]
     return {query.__name__: query for query in registered}
 
 
