@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkrank.llm import decontaminate, packing, pii, simhash, token_files
+from inkrank.llm import decontaminate, packing, pii, quality, simhash, token_files
 from inkrank.session import scratch_path
 
 
@@ -45,6 +45,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "found.*")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -55,7 +60,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op2_pii, op3_token_files, op4_decontamination, op7_simhash, op10_best_fit_packing]
+    registered = [op2_pii, op3_token_files, op4_decontamination, op5_quality, op7_simhash, op10_best_fit_packing]
     return {query.__name__: query for query in registered}
 
 
