@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # A task holds about this much text at a time, besides its largest single text.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkrank.llm import decontaminate, packing, pii, quality, simhash, token_files
+from inkrank.llm import decontaminate, packing, pii, quality, secrets, simhash, token_files
 from inkrank.session import scratch_path
 
 
@@ -55,12 +55,25 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_documents(spark, sf_dir))
+    real = F.filter("findings", lambda x: x.score >= secrets.SECRET)
+    place = F.transform(real, lambda x: F.concat_ws(":", x.start.cast("string"), x.end.cast("string")))
+    return found.select(
+        "doc_id",
+        F.size("findings").cast("bigint").alias("n_candidates"),
+        F.size(real).cast("bigint").alias("n_secrets"),
+        F.array_join(place, ",").alias("spans"),
+        F.array_max(F.transform("findings", lambda x: x.score)).alias("top_score"),
+    )
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_documents(spark, sf_dir)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op2_pii, op3_token_files, op4_decontamination, op5_quality, op7_simhash, op10_best_fit_packing]
+    registered = [op2_pii, op3_token_files, op4_decontamination, op5_quality, op7_simhash, op9_secrets, op10_best_fit_packing]
     return {query.__name__: query for query in registered}
 
 

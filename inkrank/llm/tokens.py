@@ -8,8 +8,8 @@ from itertools import repeat
 
 import numpy as np
 
-#: Words kept per Python worker; the cache starts anew beyond this (about 250 MB).
-CACHE_WORDS = 1_000_000
+#: Words kept per Python worker; the cache starts anew beyond this (about 120 MB).
+CACHE_WORDS = 500_000
 
 #: A blank as byte-level vocabularies write it.
 _BLANK = "Ġ"
