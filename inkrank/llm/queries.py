@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkrank.llm import decontaminate, packing, pii, quality, secrets, simhash, token_files
+from inkrank.llm import decontaminate, neighbours, packing, pii, quality, secrets, simhash, token_files
 from inkrank.session import scratch_path
 
 
@@ -50,6 +50,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "found.*")
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    asked = vectors.where(F.pmod("vec_id", F.lit(50)) == 0)
+    return neighbours.search(neighbours.build_index(vectors), asked)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -73,7 +79,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op2_pii, op3_token_files, op4_decontamination, op5_quality, op7_simhash, op9_secrets, op10_best_fit_packing]
+    registered = [op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op9_secrets, op10_best_fit_packing]
     return {query.__name__: query for query in registered}
 
 
