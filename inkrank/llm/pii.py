@@ -405,3 +405,27 @@ def redacted(text: str, spans: str) -> str:
             out += [text[done:a], f"[{kind}]"]
         done = max(done, b)
     return "".join([*out, text[done:]])
+
+
+def redact(docs: DataFrame, field: Field | None = None) -> DataFrame:
+    """The documents with personal data replaced in ``text``; null texts stay null,
+    and ``n_chars``, where there is one, follows a changed text."""
+    held = docs.sparkSession.sparkContext.broadcast(field or fit(docs))
+    names = docs.columns
+    at = names.index("text")
+    size_at = names.index("n_chars") if "n_chars" in names else None
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, at):
+            columns = list(batch.columns)
+            old = columns[at].to_pylist()
+            found = spans_of([text or "" for text in old], held.value)
+            new = [t and redacted(t, _text_of(a + b)) for t, (a, b) in zip(old, found, strict=True)]
+            columns[at] = pa.array(new, columns[at].type)
+            if size_at is not None:
+                sizes = columns[size_at].to_pylist()
+                sizes = [len(b) if a != b else n for a, b, n in zip(old, new, sizes, strict=True)]
+                columns[size_at] = pa.array(sizes, columns[size_at].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.mapInArrow(replace, docs.schema)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from inkrank.llm import decontaminate, neighbours, packing, pii, quality, secrets, simhash, token_files
 from inkrank.session import scratch_path
 
@@ -80,7 +81,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op9_secrets, op10_best_fit_packing]
-    return {query.__name__: query for query in registered}
+    return {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

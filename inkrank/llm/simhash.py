@@ -183,17 +183,57 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, cell: int = CELL) -> DataFra
     return ordered.mapInArrow(_linked(max_bits), "a long, b long").distinct()
 
 
+def _rooted(marked: DataFrame, max_bits: int) -> DataFrame:
+    """``(fp, root)`` of every distinct fingerprint: its component's least."""
+    spark = marked.sparkSession
+    nodes = settle(marked.select("fp").distinct(), scratch_path(spark, "fingerprint-nodes"))
+    roots = components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
+    placed = nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return settle(placed, scratch_path(spark, "fingerprint-roots"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``(doc_id, fp, fingerprint, component_id)`` of every document."""
     spark = docs.sparkSession
     marked = settle(fingerprints(docs, shingle), scratch_path(spark, "fingerprints"))
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes = settle(nodes, scratch_path(spark, "fingerprint-nodes"))
-    roots = components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
-    placed = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    placed = settle(placed, scratch_path(spark, "fingerprint-roots"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    placed = _rooted(marked, max_bits)
     # A root may have many fingerprints, and a fingerprint many documents.
-    of_fp = lookup(placed.select("fp", "root"), least, "root", "fp").select("fp", "component_id")
+    own = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = placed.join(own, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
+    of_fp = lookup(placed, least, "root", "fp").select("fp", "component_id")
     found = lookup(marked, of_fp, "fp", "doc_id")
     return found.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One document of each component: that of least id (null ids last), of equal
+    ids the one whose text hashes lowest, of equal rows any."""
+    spark = docs.sparkSession
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    hashed = docs.select("doc_id", "text").withColumn("content", F.xxhash64(text))
+    # The fingerprint's table carries an id of its own: the row's place is (id, content).
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("bigint").alias("id"), "content")
+    keyed = hashed.select(place.alias("place"), text.alias("text"))
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            found = [fingerprint(text, shingle) for text in batch.column(1).to_pylist()]
+            fps = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["place", "fp"])
+
+    schema = keyed.select("place", F.lit(0).cast("bigint").alias("fp")).schema
+    marked = settle(keyed.mapInArrow(compute, schema), scratch_path(spark, "fingerprints"))
+    placed = _rooted(marked, max_bits)
+    own = marked.groupBy("fp").agg(F.min("place").alias("place"))
+    kept = placed.join(own, "fp").groupBy("root").agg(F.min("place").alias("place")).select("place.*")
+    kept = settle(kept.distinct(), scratch_path(spark, "representatives"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(
+        row,
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"),
+        F.xxhash64(text).alias("content"),
+    )
+    kept = kept.withColumn("id", F.coalesce("id", F.lit(0)))
+    keys = ["no_id", "id", "content"]
+    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).select("row.*")
