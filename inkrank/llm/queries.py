@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inkrank.llm import decontaminate, neighbours, packing, pii, quality, secrets, simhash, token_files
+from inkrank.llm import decontaminate, neighbours, packing, pii, quality, secrets, simhash, suffixes, token_files
 from inkrank.session import scratch_path
 
 
@@ -20,6 +20,18 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents")
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.removable(_documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x.last - x.first)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(_documents(spark, sf_dir))
     counts = [F.regexp_count("base", F.lit(f"{kind}:")).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
@@ -80,7 +92,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op9_secrets, op10_best_fit_packing]
+    registered = [op1_suffix_array, op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op9_secrets, op10_best_fit_packing]
     return {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
 
 
