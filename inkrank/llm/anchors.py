@@ -19,7 +19,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkrank.llm.common import sliced, texts
@@ -36,8 +36,13 @@ _ODD = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """``(grp, doc, packed)``: compressed texts, shuffled by group."""
+def group_of(doc: Column, groups: int) -> Column:
+    return F.pmod(F.xxhash64(doc), F.lit(groups)).cast("int")
+
+
+def grouped(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``(grp, doc, packed)``, compressed texts shuffled by group, and the number
+    of groups."""
     docs = texts(docs)
     total = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     width = shuffle_width(docs.sparkSession)
@@ -50,8 +55,8 @@ def grouped(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(packed, pa.binary())], ["grp", "doc", "packed"])
 
     key = F.coalesce("doc_id", F.lit(NO_ID))
-    dealt = docs.select(F.pmod(F.xxhash64(key), F.lit(groups)).cast("int").alias("grp"), key.alias("doc"), "text")
-    return dealt.mapInArrow(compress, "grp int, doc long, packed binary").repartition(width, "grp")
+    dealt = docs.select(group_of(key, groups).alias("grp"), key.alias("doc"), "text")
+    return dealt.mapInArrow(compress, "grp int, doc long, packed binary").repartition(width, "grp"), groups
 
 
 def slices(table: pa.Table) -> Iterator[tuple[np.ndarray, list[bytes]]]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inkrank.llm import decontaminate, neighbours, packing, pii, quality, secrets, simhash, suffixes, token_files
+from inkrank.llm import debruijn, decontaminate, neighbours, packing, pii, quality, secrets, simhash, suffixes, token_files
 from inkrank.session import scratch_path
 
 
@@ -74,6 +74,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op8_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = debruijn.removable(_documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x.last - x.first)
+    return found.select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"), "spans"
+    )
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_documents(spark, sf_dir))
     real = F.filter("findings", lambda x: x.score >= secrets.SECRET)
@@ -92,7 +100,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_suffix_array, op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op9_secrets, op10_best_fit_packing]
+    registered = [op1_suffix_array, op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op8_debruijn, op9_secrets, op10_best_fit_packing]
     return {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
 
 

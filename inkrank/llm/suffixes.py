@@ -190,7 +190,7 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     """
     if not 0 < gram <= window <= 64:
         raise ValueError("windows have up to 64 bytes, and an anchor lies in one")
-    texts = grouped(docs)
+    texts, _ = grouped(docs)
     buckets = width = shuffle_width(docs.sparkSession)
 
     def classes(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
