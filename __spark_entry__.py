@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import inkrank as ink
-from inkrank.functions.markup import HTML_BODY, HTML_LINK, first_of
+from inkrank.functions.markup import HTML_BODY, HTML_LINK, WIKI_TITLE, first_of
 from inkrank.functions.text import query_terms_of
 from inkrank.session import scratch_path, spread
 
@@ -62,6 +62,16 @@ def _wiki_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select(line.alias("line"))
 
 
+def _hub_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One wiki page line per supplier, with a link for each of its line items."""
+    items = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
+    link = F.format_string("x [[P%d]] ] y", F.col("l_partkey"))
+    text = F.array_join(F.collect_list(link), " ").alias("text")
+    start = F.format_string('<page><title>S%d</title><text xml:space="preserve">', "l_suppkey")
+    pages = items.groupBy("l_suppkey").agg(text)
+    return pages.select(F.concat(start, F.col("text"), F.lit(" [[</text></page>")).alias("line"))
+
+
 def _trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers link to the parts they ship, and parts back where a large
     shipment was returned; parts without that are targets but not nodes."""
@@ -192,7 +202,7 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    title = first_of(F.col("line"), r"<title>(.+?)</title>").alias("title")
+    title = first_of(F.col("line"), WIKI_TITLE).alias("title")
     return _page_lines(spark, sf_dir).select("page_id", title).where("title != ''")
 
 
@@ -200,6 +210,10 @@ def wiki_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ink.link_counts(ink.extract_links(_wiki_lines(spark, sf_dir)))
 
 
+def wiki_hub_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ink.link_counts(ink.extract_links(_hub_lines(spark, sf_dir)))
+
+
 def wiki_page_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ink.count_pages(_wiki_lines(spark, sf_dir))
 
@@ -373,6 +387,9 @@ def _own_sql() -> dict[str, str]:
             SELECT src, dst, CAST(count(*) AS BIGINT) AS n FROM (
               SELECT 'S' || l_suppkey AS src, 'P' || l_partkey AS dst FROM lineitem
               UNION ALL SELECT 'S' || l_suppkey, 'O' || l_orderkey FROM lineitem) GROUP BY ALL""",
+        "wiki_hub_edges": """
+            SELECT 'S' || l_suppkey AS src, 'P' || l_partkey AS dst, CAST(count(*) AS BIGINT) AS n
+            FROM lineitem GROUP BY ALL""",
         "wiki_page_count": "SELECT CAST(count(*) AS BIGINT) AS n_pages FROM lineitem",
         "wiki_initial_graph": """
             SELECT node, round(1e6 * (1.0::DOUBLE / (SELECT count(*) FROM lineitem)), 6) AS rank, dst,
@@ -419,6 +436,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         html_links,
         page_titles,
         wiki_edges,
+        wiki_hub_edges,
         wiki_page_count,
         wiki_initial_graph,
         out_degree,

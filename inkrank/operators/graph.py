@@ -26,14 +26,19 @@ def extract_links(
     """
     others = [F.col(name) for name in lines.columns if name != "line"]
     line = F.col("line")
-    links = F.explode(links_of(first_of(line, body), link)).alias("dst")
-    return lines.select(*others, first_of(line, title).alias("src"), links)
+    found = links_of(first_of(line, body), link).alias("_links")
+    pages = lines.select(*others, first_of(line, title).alias("src"), found)
+    # Title and links are found once per line, below the rows of its links. The
+    # plain explode would make the optimizer test for empty lists by finding the
+    # links a second time.
+    links = pages.select(*others, "src", F.explode_outer("_links").alias("dst"))
+    return links.where("dst IS NOT NULL")
 
 
 def link_counts(edges: DataFrame) -> DataFrame:
     """``(src, dst, n)``: each distinct link with its multiplicity.
 
-    Links have no null ends. Stating it here keeps joins from adding the check to
+    A link with a null end is no link, here and in all that follows. Stating it here keeps joins from adding the check to
     some uses only, which would count the links once more for them.
     """
     whole = edges.where("src IS NOT NULL AND dst IS NOT NULL")
@@ -41,8 +46,10 @@ def link_counts(edges: DataFrame) -> DataFrame:
 
 
 def out_degree(edges: DataFrame) -> DataFrame:
-    """``(src, out_degree)``: links per source, multiplicity included."""
-    return edges.groupBy("src").agg(F.count("*").alias("out_degree"))
+    """``(src, out_degree)``: links per source, multiplicity included. As in
+    ``link_counts``, a link with a null end is no link."""
+    whole = edges.where("src IS NOT NULL AND dst IS NOT NULL")
+    return whole.groupBy("src").agg(F.count("*").alias("out_degree"))
 
 
 def initial_rank(n_pages: int | DataFrame):
@@ -52,7 +59,8 @@ def initial_rank(n_pages: int | DataFrame):
 
 def initial_ranks(edges: DataFrame, n_pages: int | DataFrame) -> DataFrame:
     """``(node, rank)``: only pages with links are nodes, whatever else N counts."""
-    nodes = edges.select(F.col("src").alias("node")).distinct()
+    whole = edges.where("src IS NOT NULL AND dst IS NOT NULL")
+    nodes = whole.select(F.col("src").alias("node")).distinct()
     return nodes.withColumn("rank", initial_rank(n_pages)).where("rank IS NOT NULL")
 
 
