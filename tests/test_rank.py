@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import inkrank as ink
 from inkrank.operators.rank import _hold
+from inkrank.operators.skew import hot_keys
 from test_graph import WIKI, frame
 
 STEPS = {
@@ -54,6 +55,12 @@ def wiki(spark):
     return frame(spark, WIKI)
 
 
+@pytest.fixture
+def small_cells(monkeypatch):
+    """Lets the small graphs of these tests have hot sources."""
+    monkeypatch.setattr(hot_keys, "__defaults__", (None, 50))
+
+
 @pytest.mark.parametrize("steps", STEPS)
 def test_wiki_ranks(wiki, steps):
     ranks = ink.page_rank(ink.extract_links(wiki), ink.count_pages(wiki), steps)
@@ -95,7 +102,7 @@ def random_edges(hub_share, seed):
 
 
 @pytest.mark.parametrize("hub_share", [0, 0.4])
-def test_random_graph(spark, hub_share):
+def test_random_graph(spark, small_cells, hub_share):
     edges = random_edges(hub_share, 5)
     df = spark.createDataFrame(edges, "src STRING, dst STRING")
     hot = ink.link_graph(ink.link_counts(df)).hot
@@ -105,7 +112,7 @@ def test_random_graph(spark, hub_share):
     assert min(ranks.values()) >= 0.15 - 1e-12
 
 
-def test_hub_links_are_in_several_cells(spark):
+def test_hub_links_are_in_several_cells(spark, small_cells):
     df = spark.createDataFrame(random_edges(0.4, 6), "src STRING, dst STRING")
     links = ink.link_graph(ink.link_counts(df)).links
     cells = {r.src: r.n_cells for r in links.groupBy("src").agg(F.countDistinct("cell").alias("n_cells")).collect()}
