@@ -242,9 +242,8 @@ def adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pagerank_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = _trade_edges(spark, sf_dir)
-    ranks = ink.initial_ranks(edges, _n_sources(spark, sf_dir))
-    return _rounded(ink.rank_step(ink.link_graph(ink.link_counts(edges)), ranks), "rank")
+    graph = ink.link_graph(ink.link_counts(_trade_edges(spark, sf_dir)))
+    return _rounded(ink.rank_step(graph, ink.start_ranks(graph)), "rank")
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,11 +25,13 @@ from inkrank.operators.rank import (
     page_rank,
     rank_step,
     sort_ranks,
+    start_ranks,
 )
 from inkrank.operators.search import (
     in_document_order,
     search,
     search_many,
+    search_many_texts,
     search_texts,
     search_tokens,
 )
@@ -68,9 +70,11 @@ __all__ = [
     "read_pages",
     "search",
     "search_many",
+    "search_many_texts",
     "search_texts",
     "search_tokens",
     "sort_ranks",
+    "start_ranks",
     "table_corpus",
     "table_lines",
     "term_frequency",

@@ -77,6 +77,39 @@ def query_terms_of(query: Column) -> Column:
     return F.filter(F.split(F.lower(query), QUERY_GAP), lambda term: term != "")
 
 
+def _folded_char(char: Column) -> Column:
+    upper = F.upper(char)
+    upper = F.when(F.char_length(upper) == 1, upper).otherwise(char)
+    lower = F.lower(upper)
+    # The one capital whose small letter, taken alone, is written with two.
+    return F.when(F.char_length(lower) == 1, lower).when(upper == "\u0130", F.lit("i")).otherwise(upper)
+
+
+def folded(term: Column) -> Column:
+    """The form in which terms are compared without regard to case.
+
+    Character by character through the capital to the small letter, so that
+    ``ı`` meets ``i``, ``ς`` meets ``σ`` and ``ſ`` meets ``s``; a letter whose capital
+    has two characters stays as it is.
+    """
+    chars = F.split(term, "")
+    by_char = F.array_join(F.transform(chars, _folded_char), "")
+    return F.when(term.rlike(r"^[\x00-\x7F]*$"), F.lower(term)).otherwise(by_char)
+
+
+@lru_cache(maxsize=1)
+def case_variants() -> dict[str, str]:
+    """Characters that fold alike, by folded character: the small letters of which
+    more than one folds to it, as a saved index may hold either."""
+    spark = SparkSession.active()
+    # The basic plane without surrogates; 63,488 rows in one place.
+    codes = spark.range(0, 0x10000).where("id < 55296 or id > 57343")
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 4, "0")), "UTF-16BE").alias("c")
+    rows = codes.select(char).where(F.lower("c") == F.col("c")).select("c", folded(F.col("c")).alias("f"))
+    classes = rows.groupBy("f").agg(F.array_join(F.sort_array(F.collect_list("c")), "").alias("cs"), F.count("*").alias("n"))
+    return {row.f: row.cs for row in classes.where("n > 1 or cs <> f").collect()}
+
+
 def log_weight(count: Column) -> Column:
     return 1 + F.log10(count)
 

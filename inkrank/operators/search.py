@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from functools import reduce
+from itertools import product
+from math import prod
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkrank.functions.text import QUERY_GAP, query_terms_of
-from inkrank.operators.postings import doc_word_count, tf_idf_of_terms, tokenize
-from inkrank.operators.skew import grid_join
+from inkrank.functions.text import case_variants, query_terms_of
+from inkrank.functions.text import folded as folded_term
+from inkrank.operators.postings import doc_word_count, tf_idf, tf_idf_of_terms, tokenize
+from inkrank.operators.skew import grid_join, lookup
 
 # Bytes a row of the broadcast query terms needs beside its term.
 _ROW_OVERHEAD = 48
@@ -20,18 +21,49 @@ _ROW_OVERHEAD = 48
 # Beyond this many terms, looking for each costs more than it saves.
 _SUBSTRING_TERMS = 16
 
+# Beyond this many spellings of a term, the scan is not given any.
+_SPELLINGS = 256
+
 
 def query_weights(query: str) -> dict[str, int]:
-    """Lower-cased terms of a query with the number of times each occurs."""
-    terms = re.split(QUERY_GAP, query.lower())
-    return dict(Counter(term for term in terms if term))
+    """Folded terms of a query with the number of times each occurs.
+
+    Split and folded by Spark, as the terms of an index are.
+    """
+    terms = SparkSession.active().range(1).select(F.explode(query_terms_of(F.lit(query))).alias("term"))
+    found = terms.groupBy(folded_term(F.col("term")).alias("term")).agg(F.count("*").alias("n"))
+    # As many rows as the query has terms.
+    return {row.term: row.n for row in found.orderBy("term").collect()}
+
+
+def _spellings(term: str) -> list[str] | None:
+    """The small-letter spellings that fold to a term; None if they are many."""
+    variants = case_variants()
+    choices = [variants.get(char, char) for char in term]
+    if prod(map(len, choices)) > _SPELLINGS:
+        return None
+    return ["".join(chars) for chars in product(*choices)]
+
+
+def _all_spellings(weights: dict[str, int]) -> list[str] | None:
+    found = [_spellings(term) for term in weights]
+    return None if None in found else sorted({spelling for x in found for spelling in x})
+
+
+def _matches(weights: dict[str, int], lowered: bool) -> Column:
+    """Whether ``term`` is any of the query's: by its spellings where the index is
+    known to hold small letters, as a scan can use that, else by folding it."""
+    every = _all_spellings(weights) if lowered else None
+    if every is None:
+        return folded_term(F.col("term")).isin(list(weights))
+    return F.col("term").isin(every) if every else F.lit(False)
 
 
 def _times(weights: dict[str, int]) -> Column:
-    times = F.lit(1)
+    term, times = folded_term(F.col("term")), F.lit(1)
     for count in sorted({n for n in weights.values() if n > 1}):
         terms = [term for term, n in weights.items() if n == count]
-        times = F.when(F.col("term").isin(terms), F.lit(count)).otherwise(times)
+        times = F.when(term.isin(terms), F.lit(count)).otherwise(times)
     return times
 
 
@@ -45,19 +77,19 @@ def search(index: DataFrame, query: str, folded: bool = False) -> DataFrame:
     Any case matches, a repeated term counts once per repetition, and document
     names come out lower-case, names that differ in case only as one. ``folded``
     states that the index has lower-case terms, as ``read_index`` and the token
-    rules guarantee; the term filter then reaches the parquet scan.
+    rules guarantee; the filter on a term's spellings then reaches the parquet scan.
     """
-    if not folded:
-        index = index.withColumn("term", F.lower("term"))
     weights = query_weights(query)
-    hits = index.where(F.col("term").isin(list(weights)) if weights else F.lit(False))
+    hits = index.where(_matches(weights, folded))
     return hits.groupBy(_result_doc()).agg(F.sum(F.col("tf_idf") * _times(weights)).alias("score"))
 
 
 def search_tokens(tokens: DataFrame, n_docs: int | DataFrame, query: str) -> DataFrame:
     """Search a corpus that has no index: only the query's terms are ever counted."""
-    counts = doc_word_count(tokens)
-    index = tf_idf_of_terms(counts, n_docs, list(query_weights(query)))
+    weights = query_weights(query)
+    counts = doc_word_count(tokens.where(_matches(weights, lowered=True)))
+    every = _all_spellings(weights)
+    index = tf_idf(counts, n_docs) if every is None else tf_idf_of_terms(counts, n_docs, every)
     return search(index, query, folded=True)
 
 
@@ -67,10 +99,10 @@ def search_texts(texts: DataFrame, n_docs: int | DataFrame, query: str) -> DataF
     A text that does not contain any query term as a plain substring cannot hold
     it as a token, so only the others are split into tokens at all.
     """
-    terms = list(query_weights(query))
-    if 0 < len(terms) <= _SUBSTRING_TERMS:
-        folded = F.lower("text")
-        texts = texts.where(reduce(or_, [F.contains(folded, F.lit(term)) for term in terms]))
+    spellings = _all_spellings(query_weights(query))
+    if spellings and len(spellings) <= _SUBSTRING_TERMS:
+        small = F.lower("text")
+        texts = texts.where(reduce(or_, [F.contains(small, F.lit(term)) for term in spellings]))
     return search_tokens(tokenize(texts), n_docs, query)
 
 
@@ -90,12 +122,9 @@ def search_many(
     document has at most one posting per query term to bring along. Beyond the
     limit both sides are shuffled, hot terms in a grid of cells.
     """
-    if not folded:
-        index = index.withColumn("term", F.lower("term"))
-    postings = index.select(_result_doc(), "term", "tf_idf")
-    terms = queries.select(query_id, F.explode(query_terms_of(F.col(text))).alias("term"))
-    wanted = terms.groupBy(query_id, "term").agg(F.count("*").alias("times"))
-    size = wanted.agg(F.sum(F.octet_length("term") + _ROW_OVERHEAD)).first()[0] or 0
+    postings = index.select(_result_doc(), folded_term(F.col("term")).alias("term"), "tf_idf")
+    wanted = _wanted(queries, query_id, text)
+    size = _size(wanted)
     if size <= broadcast_bytes:
         # Not a semi join, which would be moved below the counting of the index.
         hits = postings.join(F.broadcast(wanted.select("term").distinct()), "term")
@@ -106,5 +135,41 @@ def search_many(
     return matches.groupBy(query_id, "doc").agg(score)
 
 
+def _wanted(queries: DataFrame, query_id: str, text: str) -> DataFrame:
+    """``(query_id, term, times)`` with folded terms."""
+    terms = queries.select(query_id, F.explode(query_terms_of(F.col(text))).alias("term"))
+    return terms.groupBy(query_id, folded_term(F.col("term")).alias("term")).agg(F.count("*").alias("times"))
+
+
+def _size(terms: DataFrame) -> int:
+    return terms.agg(F.sum(F.octet_length("term") + _ROW_OVERHEAD)).first()[0] or 0
+
+
+def search_many_texts(
+    texts: DataFrame,
+    n_docs: int | DataFrame,
+    queries: DataFrame,
+    query_id: str = "query_id",
+    text: str = "query_text",
+    broadcast_bytes: int = 32 * 1024 * 1024,
+) -> DataFrame:
+    """``(query_id, doc, score)`` for a table of queries on ``(doc, text)`` rows that
+    have no index: only tokens that some query asks for are ever counted.
+
+    The vocabulary of the queries is broadcast up to ``broadcast_bytes``; beyond
+    that the tokens are counted all and the counts joined.
+    """
+    vocabulary = _wanted(queries, query_id, text).select(F.col("term").alias("_term")).distinct()
+    asked = folded_term(F.col("term")) == F.col("_term")
+    tokens = tokenize(texts)
+    if _size(vocabulary.withColumnRenamed("_term", "term")) <= broadcast_bytes:
+        counts = doc_word_count(tokens.join(F.broadcast(vocabulary), asked, "left_semi"))
+    else:
+        counts = doc_word_count(tokens)
+        frequency = counts.groupBy("term").agg(F.count("*").alias("df")).join(vocabulary, asked, "left_semi")
+        counts = lookup(counts, frequency, "term", "doc").select("term", "doc", "n")
+    return search_many(tf_idf(counts, n_docs), queries, query_id, text, True, broadcast_bytes)
+
+
 def in_document_order(result: DataFrame) -> DataFrame:
     return result.orderBy("doc")

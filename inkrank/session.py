@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,6 +11,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Fewest cores per split from which a scan is rebalanced.
+_SPREAD = 4
+
+
 def local_session(cores: int | str = "*", name: str = "inkrank", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     partitions = "8" if cores == "*" else str(cores)
@@ -50,20 +55,48 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Scratch paths that this program has given out, by application.
+_given: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{checkpoint_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses.
+
+    What is written there backs frames that are still to be read, so it stays
+    until ``drop_scratch``, or until the program ends with the session running.
+    """
+    path = f"{checkpoint_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    own = _given.setdefault(spark.sparkContext.applicationId, [])
+    if not own:
+        atexit.register(_drop_at_exit, spark)
+    own.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all scratch tables; frames that read them can no longer be used."""
+    for path in _given.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+
+
+def _drop_at_exit(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        drop_scratch(spark)
 
 
 @contextmanager
 def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
     """A folder of its own in the shared folder, removed when the block ends."""
-    folder = scratch_path(spark, label)
+    folder = f"{checkpoint_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     try:
         yield folder
     finally:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
 
 
 def settle(df: DataFrame, path: str) -> DataFrame:
@@ -78,28 +111,32 @@ def settle(df: DataFrame, path: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a scan that has fewer splits than the cluster has cores.
+    """Rebalance a scan that has far fewer splits than the cluster has cores.
 
     Parsing text is CPU-bound, so a few unsplittable files (one parquet row
-    group, gzip) would leave most cores idle. A table with enough splits, which
-    is any large one, passes through without a shuffle.
+    group, gzip) would leave most cores idle. A scan that keeps one core in
+    ``_SPREAD`` busy passes through: moving the raw text would cost more than the
+    idle cores. Select the columns in use before.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() * _SPREAD > cores:
         return df
     return df.repartition(cores)
 
 
-@contextmanager
-def shuffling_into(spark: SparkSession, width: int) -> Iterator[None]:
-    """Plan the queries of this block with ``width`` shuffle partitions."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, width)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def session_with(spark: SparkSession, settings: dict[str, object]) -> SparkSession:
+    """A session beside ``spark`` that differs in some settings only.
+
+    It shares the context and the cache. Changing a setting of ``spark`` itself
+    would change what other threads plan meanwhile.
+    """
+    other = spark.newSession()
+    for row in spark.sql("SET").collect():
+        if row.key.startswith("spark.sql.") and spark.conf.isModifiable(row.key):
+            other.conf.set(row.key, row.value)
+    for name, value in settings.items():
+        other.conf.set(name, str(value))
+    return other
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -18,7 +18,9 @@ def lines(spark):
     rng = random.Random(9)
     made = ["".join(rng.choices(PARTS, k=rng.randint(0, 24))) for _ in range(20_000)]
     made += ["<text></text>x</text>", "<text >]]", "[[]]", "[[]", "<title></title>y</title>", "<title>", "<text", ""]
-    return spark.createDataFrame([(x,) for x in made], "line STRING").repartition(8).cache()
+    df = spark.createDataFrame([(x,) for x in made], "line STRING").repartition(8).cache()
+    yield df
+    df.unpersist()
 
 
 @pytest.mark.parametrize("pattern", [WIKI_TITLE, WIKI_BODY])

@@ -1,12 +1,13 @@
 """Rank steps, the full ranking and its order."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import inkrank as ink
-from inkrank.operators.rank import _hold
+from inkrank.operators.rank import LinkGraph, _advance, _hold
 from inkrank.operators.skew import hot_keys
 from test_graph import WIKI, frame
 
@@ -182,11 +183,45 @@ def test_no_links_at_all(spark):
 
 def test_the_session_and_its_cache_are_left_as_they_were(spark, wiki):
     before = spark.conf.get("spark.sql.shuffle.partitions")
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
     spark.conf.set("spark.sql.shuffle.partitions", "50")
     try:
         ranks = ink.page_rank(ink.extract_links(wiki), 6)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
-        assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert ranks_of(ranks) == pytest.approx(STEPS[10], abs=1e-12)
+
+
+@pytest.mark.parametrize("hub_share", [0, 0.4])
+def test_a_step_has_one_exchange_or_two_with_hot_sources(spark, small_cells, plan, hub_share):
+    df = spark.createDataFrame(random_edges(hub_share, 8), "src STRING, dst STRING")
+    graph = ink.link_graph(ink.link_counts(df))
+    nodes = _hold(graph.nodes.withColumn("rank", F.lit(1.0)), ["node"])
+    hot = graph.hot if hub_share else None
+    links = _hold(graph.links, ["src"] if hot is None else ["src", "cell"])
+    held = LinkGraph(nodes.drop("rank"), links, hot)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        steps = [nodes]
+        for _ in range(3):
+            steps.append(_advance(held, steps[-1], 0.85))
+        # Those by source alone lie below held frames and ran when they were filled.
+        moved = [re.findall(r"Exchange hashpartitioning\((.*?), \d+\), ENSURE", plan(s)) for s in steps]
+        counts = [sum(not re.fullmatch(r"src#\d+|_\w+#\d+L?", keys) for keys in x) for x in moved]
+        assert [b - a for a, b in zip(counts, counts[1:], strict=False)] == [2 if hub_share else 1] * 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        nodes.unpersist()
+        links.unpersist()
+
+
+def test_step_reads_the_edges_once(spark, small, tmp_path):
+    """The counted links are written once; nothing after reads the edges again."""
+    path = str(tmp_path / "edges")
+    spark.createDataFrame(random_edges(0, 9), "src STRING, dst STRING").write.parquet(path)
+    graph = ink.link_graph(ink.link_counts(spark.read.parquet(path)))
+    step = ink.rank_step(graph, ink.start_ranks(graph))
+    files = {name.split("/")[-2] for name in step.inputFiles()}
+    assert files and "edges" not in files
