@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import inkrank as ink
@@ -164,11 +164,33 @@ def query_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _table(spark, sf_dir, "benchmark")
+    texts = spread(_documents(spark, sf_dir))
+    result = ink.search_many_texts(texts, _n_docs(spark, sf_dir), items, "item_id", "text")
+    return _rounded(result, "score")
+
+
+def search_many_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _table(spark, sf_dir, "benchmark")
     result = ink.search_many(_index(spark, sf_dir), items, "item_id", "text", folded=True)
     return _rounded(result, "score")
 
 
+def search_many_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As for queries too large to broadcast."""
+    items = _table(spark, sf_dir, "benchmark")
+    index = _index(spark, sf_dir)
+    result = ink.search_many(index, items, "item_id", "text", folded=True, broadcast_bytes=0)
+    return _rounded(result, "score")
+
+
+def search_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each document in an ordered result, by its place in the plan's
+    sorted partitions."""
+    result = ink.in_document_order(_searched(spark, sf_dir, TWO_TERMS))
+    return _numbered(spark, result.select("doc"), "position")
+
+
 def saved_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "index")
     ink.write_index(_index(spark, sf_dir), path)
@@ -189,6 +211,79 @@ def word_count_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("term", F.col("doc").cast("bigint").alias("doc"), F.col("n").cast("bigint"))
 
 
+def packed_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each written file, whether its keys stand in order."""
+    path = scratch_path(spark, "packed-order")
+    ink.write_packed(_counts(spark, sf_dir), path)
+    meta = F.col("_metadata")
+    lines = spark.read.text(path).select(
+        F.regexp_extract("value", r"(?s)^(.*)\t", 1).alias("key"),
+        meta.file_path.alias("file"),
+        meta.file_block_start.alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("block", "at"))
+    checked = lines.select((F.coalesce(before, F.lit("")) <= F.col("key")).alias("ordered"))
+    return checked.groupBy("ordered").agg(F.count("*").alias("n_lines"))
+
+
+def _numbered(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows with their number from 1, in the order they have."""
+    path = scratch_path(spark, "ordered")
+    placed = rows.withColumn("_at", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    placed = spark.read.parquet(path)
+    part, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition.
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = placed.withColumn("_part", part).join(starts, "_part")
+    return numbered.select(*rows.columns, (F.col("_start") + within + 1).cast("bigint").alias(name))
+
+
+# --- text files -------------------------------------------------------------
+
+
+def _corpus_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The documents as text files named by their source, in two folders."""
+    documents = _table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    folder = F.when(F.col("doc_id") % 2 == 0, F.lit("even")).otherwise(F.lit("odd")).alias("folder")
+    rows = documents.select(folder, "source", "text").repartition("folder", "source")
+    path = scratch_path(spark, "corpus-files")
+    rows.write.partitionBy("folder", "source").text(path)
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path
+    files = hadoop_path(path).getFileSystem(context._jsc.hadoopConfiguration())
+    folders = []
+    for name in ("even", "odd"):
+        folders.append(f"{path}-{name}")
+        files.mkdirs(hadoop_path(folders[-1]))
+        for written in files.globStatus(hadoop_path(f"{path}/folder={name}/*/part-*")) or []:
+            source = written.getPath().getParent().getName().removeprefix("source=")
+            files.rename(written.getPath(), hadoop_path(f"{folders[-1]}/{source}"))
+    return folders[0], folders[1]
+
+
+def corpus_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ink.doc_word_count(ink.tokenize(ink.read_corpus(spark, ",".join(_corpus_files(spark, sf_dir)))))
+
+
+def corpus_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even, odd = _corpus_files(spark, sf_dir)
+    common = even.removesuffix("-even")
+    n_files = ink.count_files(spark, f"{common}-{{even,odd}}")
+    return spark.range(1).select(F.lit(n_files).cast("bigint").alias("n_files"))
+
+
+def wiki_file_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _wiki_lines(spark, sf_dir)
+    paths = [scratch_path(spark, "wiki-lines") for _ in range(2)]
+    for i, path in enumerate(paths):
+        lines.where(F.pmod(F.xxhash64("line"), F.lit(2)) == i).write.text(path)
+    return ink.link_counts(ink.extract_links(ink.read_pages(spark, paths)))
+
+
 # --- links ------------------------------------------------------------------
 
 
@@ -241,6 +336,19 @@ def adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows, "rank")
 
 
+def adjacency_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists cut into blocks of a few links, unpacked, with each node's list lengths."""
+    edges = _trade_edges(spark, sf_dir)
+    packed = ink.adjacency(edges, _n_sources(spark, sf_dir), links_per_row=16)
+    whole = packed.groupBy("node").agg(
+        F.sum(F.size("outlinks")).cast("bigint").alias("targets"),
+        (F.count("*") > 1).alias("split"),
+        F.min(F.size("outlinks") > 0).alias("filled"),
+    )
+    links = packed.select("node", "rank", F.explode("outlinks").alias("x")).select("node", "rank", "x.dst", "x.n")
+    return _rounded(links.join(whole, "node"), "rank")
+
+
 def pagerank_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     graph = ink.link_graph(ink.link_counts(_trade_edges(spark, sf_dir)))
     return _rounded(ink.rank_step(graph, ink.start_ranks(graph)), "rank")
@@ -282,6 +390,7 @@ cnt AS (
 
 _COUNTS = _TOKENS.format(keys="doc_id AS doc", names="doc", table="documents")
 _COUNTS_BY_SOURCE = _TOKENS.format(keys="upper(source) AS doc", names="doc", table="documents")
+_COUNTS_BY_FILE = _TOKENS.format(keys="source AS doc", names="doc", table="documents")
 _COUNTS_BY_TURN = _TOKENS.format(keys="conv_id, turn", names="conv_id, turn", table="conversations")
 
 _INDEX = """,
@@ -362,13 +471,19 @@ def _own_sql() -> dict[str, str]:
             SELECT item_id, term, CAST(count(*) AS BIGINT) AS times FROM (
               SELECT item_id, unnest(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+')) AS term
               FROM benchmark) WHERE term <> '' GROUP BY ALL""",
-        "search_many": _COUNTS
+        **dict.fromkeys(("search_many", "search_many_index", "search_many_grid"), _COUNTS
         + _INDEX
         + r""", q AS (
               SELECT item_id, unnest(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+')) AS term
               FROM benchmark)
             SELECT item_id, lower(CAST(idx.doc AS VARCHAR)) AS doc, round(sum(tf_idf), 6) AS score
-            FROM idx JOIN q ON idx.term = q.term GROUP BY ALL""",
+            FROM idx JOIN q ON idx.term = q.term GROUP BY ALL"""),
+        "search_order": _TWO_TERMS_SQL.replace("SELECT lower(", "SELECT doc, row_number() OVER (ORDER BY doc) AS position FROM (SELECT lower(", 1) + ")",
+        "packed_order": _COUNTS + "SELECT true AS ordered, CAST(count(*) AS BIGINT) AS n_lines FROM cnt",
+        "corpus_file_counts": _COUNTS_BY_FILE + "SELECT term, doc, n FROM cnt",
+        "corpus_file_count": """
+            SELECT CAST(count(DISTINCT (doc_id % 2, source)) AS BIGINT) AS n_files
+            FROM documents WHERE text IS NOT NULL""",
         "saved_index_search": _TWO_TERMS_SQL,
         "packed_index_search": _TWO_TERMS_SQL,
         "word_count_text": _COUNTS + "SELECT term, doc, n FROM cnt",
@@ -386,6 +501,10 @@ def _own_sql() -> dict[str, str]:
             SELECT src, dst, CAST(count(*) AS BIGINT) AS n FROM (
               SELECT 'S' || l_suppkey AS src, 'P' || l_partkey AS dst FROM lineitem
               UNION ALL SELECT 'S' || l_suppkey, 'O' || l_orderkey FROM lineitem) GROUP BY ALL""",
+        "wiki_file_edges": """
+            SELECT src, dst, CAST(count(*) AS BIGINT) AS n FROM (
+              SELECT 'S' || l_suppkey AS src, 'P' || l_partkey AS dst FROM lineitem
+              UNION ALL SELECT 'S' || l_suppkey, 'O' || l_orderkey FROM lineitem) GROUP BY ALL""",
         "wiki_hub_edges": """
             SELECT 'S' || l_suppkey AS src, 'P' || l_partkey AS dst, CAST(count(*) AS BIGINT) AS n
             FROM lineitem GROUP BY ALL""",
@@ -404,6 +523,11 @@ def _own_sql() -> dict[str, str]:
             SELECT node, round(rank, 6) AS rank, CAST(0 AS INTEGER) AS block,
               string_agg(dst || '*' || n, ' ' ORDER BY dst) AS links
             FROM r0 JOIN mult ON node = src GROUP BY node, rank""",
+        "adjacency_blocks": _EDGES
+        + """, mult AS (SELECT src, dst, CAST(count(*) AS BIGINT) AS n FROM ed GROUP BY src, dst),
+            whole AS (SELECT src, CAST(count(*) AS BIGINT) AS targets FROM mult GROUP BY src)
+            SELECT node, round(rank, 6) AS rank, dst, n, targets, targets > 16 AS split, true AS filled
+            FROM r0 JOIN mult ON node = mult.src JOIN whole ON node = whole.src""",
         "pagerank_step": _steps_sql(1) + "SELECT node, round(rank, 6) AS rank FROM r1",
         "pagerank_10": _steps_sql(10) + "SELECT node, round(rank, 6) AS rank FROM r10",
         "pagerank_sorted": _steps_sql(10)
@@ -428,19 +552,27 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         search_index,
         query_terms,
         search_many,
+        search_many_index,
+        search_many_grid,
+        search_order,
         saved_index_search,
         packed_index_search,
         word_count_text,
+        packed_order,
+        corpus_file_counts,
+        corpus_file_count,
         count_pages,
         html_links,
         page_titles,
         wiki_edges,
         wiki_hub_edges,
+        wiki_file_edges,
         wiki_page_count,
         wiki_initial_graph,
         out_degree,
         initial_graph,
         adjacency,
+        adjacency_blocks,
         pagerank_step,
         pagerank_10,
         pagerank_sorted,

@@ -18,10 +18,20 @@ def page_count_job(spark: SparkSession, inputs: Paths, output: str) -> None:
     write_tsv(count.select(F.lit("Pages").alias("key"), "n_pages"), output)
 
 
-def initial_graph_job(spark: SparkSession, inputs: Paths, output: str) -> None:
-    """The ranked graph as lines of node, rank, link target and its multiplicity."""
+def initial_graph_job(
+    spark: SparkSession, inputs: Paths, output: str, graph_path: str | None = None
+) -> None:
+    """The ranked graph as lines of node, rank, link target and its multiplicity.
+
+    A tab in a link's text shifts the columns of its line; the parquet table, written
+    if ``graph_path`` is given, keeps every text as it is.
+    """
     lines = read_pages(spark, inputs)
-    write_tsv(initial_graph(extract_links(lines), count_pages(lines)), output, overwrite=True)
+    graph = initial_graph(extract_links(lines), count_pages(lines))
+    if graph_path:
+        graph.write.mode("overwrite").parquet(graph_path)
+        graph = spark.read.parquet(graph_path)
+    write_tsv(graph, output, overwrite=True)
 
 
 def ranked_dump(spark: SparkSession, inputs: Paths, iterations: int = ITERATIONS) -> DataFrame:

@@ -11,9 +11,17 @@ from inkrank.functions.text import lines_of
 
 
 def path_list(paths: str | Iterable[str]) -> list[str]:
-    """One path, several, or several in one string separated by commas."""
+    """One path, several, or several in one string separated by commas.
+
+    A comma inside braces belongs to a glob, as in ``/d/{a,b}``.
+    """
     if isinstance(paths, str):
-        paths = paths.split(",")
+        cuts, depth = [-1], 0
+        for at, char in enumerate(paths):
+            depth += (char == "{") - (char == "}" and depth > 0)
+            if char == "," and not depth:
+                cuts.append(at)
+        paths = [paths[a + 1 : b] for a, b in zip(cuts, [*cuts[1:], len(paths)], strict=True)]
     return [path for path in paths if path]
 
 
@@ -36,7 +44,11 @@ def count_files(spark: SparkSession, paths: str | Iterable[str]) -> int:
     for path in path_list(paths):
         hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
         file_system = hadoop_path.getFileSystem(hadoop_conf)
-        total += file_system.getContentSummary(hadoop_path).getFileCount()
+        found = file_system.globStatus(hadoop_path)
+        if not found:
+            raise FileNotFoundError(path)
+        for status in found:
+            total += file_system.getContentSummary(status.getPath()).getFileCount()
     return total
 
 
