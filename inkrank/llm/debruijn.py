@@ -7,17 +7,18 @@ edges are taken together by the run of ``GRAM`` words that anchors them (see
 ``anchors``), and each run with what its windows hold is one path of edges.
 
 1. Each group of texts reports its distinct paths, with their first place.
-2. Joins find the runs seen again. One that always carries the same path does not
+2. The runs seen again are found. One that always carries the same path does not
    branch: the path is compacted, and all but its first place are copies. Where
-   paths differ, the first place of each is asked for its edges.
+   paths differ, the first place of each is joined with its text for its edges.
 3. Those edges are counted and joined back: the later places of each are copies.
 4. Each group joins copies that follow each other at one distance from their
    source into long spans, and sends them, with a digest of their words, to the
    group of the source, which compares them with its own words at those places.
 5. Each group cuts its texts by the spans that were confirmed.
 
-Copies within a group are one row, counts are added up before they are shuffled,
-and no step brings all places of a run into one task.
+Copies within a group are one row before they are shuffled, and edges are counted
+in the map tasks. What meets in one task is a run's different paths, one short row
+for each and group, which can spill.
 
 Edge cases: null and empty texts have no words; texts shorter than a window lose
 nothing; rows of equal id count as one document, as do all rows without an id,
@@ -30,18 +31,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkrank.llm.anchors import NO_ID, Anchors, Ranges, byte_units, group_of, grouped, merged, slices
+from inkrank.session import scratch_path, settle
 
 WINDOW = 20
-GRAM = 8
+GRAM = 6
 
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _FIRST = 0x9E3779B97F4A7C15
 _SECOND = 0xC2B2AE3D27D4EB4F
-_TOLD = "grp int, run long, path long, doc long, place int, branching boolean"
 _COPY = "source long, source_at int, size int, digest binary, grp int, doc long, at int"
 
 
@@ -91,15 +92,17 @@ class _Group:
         order = np.argsort(mine)
         return order[np.searchsorted(mine[order], wide(run, path))]
 
-    def told(self, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First document and place of each path, and whether its run branches."""
+    def first(self, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """First document and place of each path, by what the group was told."""
         doc, place = self.doc[self.paths].copy(), self.place[self.paths].copy()
-        branching = np.zeros(len(self.paths), bool)
-        run, path = (table.column(c).to_numpy().view(np.uint64) for c in ("run", "path"))
-        at = self.find(run, path)
-        doc[at], place[at] = table.column("doc").to_numpy(), table.column("place").to_numpy()
-        branching[at] = np.array(table.column("branching").to_pylist(), bool)
-        return doc, place, branching
+        at = self.find(*_paths_of(told))
+        doc[at], place[at] = told.column("doc").to_numpy(), told.column("place").to_numpy()
+        return doc, place
+
+
+def _paths_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    run, path = (table.column(c).to_numpy().view(np.uint64) for c in ("run", "path"))
+    return run, path
 
 
 def _table(schema: str, *columns) -> pa.Table:
@@ -133,11 +136,10 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
         return _table("grp int, run long, path long, doc long, place int", grp, own.run[first], own.path[first],
                       own.doc[first], own.place[first].astype(np.int32))
 
-    def edges(key: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
+    def edges(key: tuple[pa.Scalar, ...], table: pa.Table, wanted: pa.Table) -> pa.Table:
         own = _Group(table, gram, window)
-        doc, place, branching = own.told(told)
-        asked = branching[own.path_of] & (own.doc == doc[own.path_of]) & (own.place == place[own.path_of])
-        # Of several rows of one id, one is enough.
+        asked = np.zeros(len(own.doc), bool)
+        asked[own.paths[own.find(*_paths_of(wanted))]] = True
         out, done = [], 0
         for ids, words, found in own.parts:
             mine = np.flatnonzero(asked[done : done + len(found.at)])
@@ -153,8 +155,8 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
 
     def copies(key: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
         own = _Group(table, gram, window)
-        is_edge = np.array(told.column("is_edge").to_pylist(), bool)
-        doc, place, _ = own.told(told.filter(pa.array(~is_edge)))
+        is_edge = told.column("is_edge").to_numpy()
+        doc, place = own.first(told.filter(pa.array(~is_edge)))
         # Later places of known edges, as (document, first word, source, its word).
         later = [told.filter(pa.array(is_edge)).column(c).to_numpy() for c in ("own", "own_at", "doc", "place")]
         source, source_at = doc[own.path_of], place[own.path_of]
@@ -208,24 +210,29 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
         return pa.Table.from_arrays(columns, ["doc", "n_words", "spans", "kept"])
 
     seen = texts.groupBy("grp").applyInArrow(paths, "grp int, run long, path long, doc long, place int")
-    runs = seen.groupBy("run").agg(F.count("*").alias("n"), F.min("path").alias("low"), F.max("path").alias("high"))
-    runs = runs.where("n > 1").select("run", (F.col("low") != F.col("high")).alias("branching"))
-    again = seen.join(runs, "run")
-    first = again.groupBy("run", "path").agg(F.min(F.struct("doc", "place")).alias("first"))
-    own = F.struct("doc", "place")
-    told = again.join(first, ["run", "path"]).where(F.col("branching") | (F.col("first") != own))
-    told = told.select("grp", "run", "path", F.col("first.doc").alias("doc"), F.col("first.place").alias("place"), "branching")
-
-    listed = texts.groupBy("grp").cogroup(told.groupBy("grp"))
+    # One shuffle by run serves both windows. A group has one row per path, so copies
+    # of a path are few here, however many documents hold it.
+    of_run = Window.partitionBy("run")
+    of_path = Window.partitionBy("run", "path").orderBy("doc", "place")
+    again = seen.withColumns({"n": F.count("*").over(of_run), "branching": F.min("path").over(of_run) != F.max("path").over(of_run)})
+    first = {"first_doc": F.first("doc").over(of_path), "first_place": F.first("place").over(of_path)}
+    again = again.where("n > 1").drop("n").withColumns(first)
+    is_first = (F.col("doc") == F.col("first_doc")) & (F.col("place") == F.col("first_place"))
+    again = again.withColumn("is_first", is_first).where("branching or not is_first")
+    again = settle(again, scratch_path(docs.sparkSession, "paths"))
+    asked = again.where("branching and is_first").select("grp", "run", "path")
+    told = again.where("not is_first")
+    told = told.select("grp", "run", "path", F.col("first_doc").alias("doc"), F.col("first_place").alias("place"))
+
+    listed = texts.groupBy("grp").cogroup(asked.groupBy("grp"))
     listed = listed.applyInArrow(edges, "grp int, edge long, edge2 long, doc long, at int")
     place = F.struct("doc", "at")
     known = listed.groupBy("edge", "edge2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = listed.join(known.drop("n"), ["edge", "edge2"]).where(place != F.col("first"))
-    no = lambda kind: F.lit(None).cast(kind)
     later = later.select(
         "grp", F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("path"),
-        F.col("first.doc").alias("doc"), F.col("first.at").alias("place"), F.lit(False).alias("branching"),
-        F.lit(True).alias("is_edge"), F.col("doc").alias("own"), F.col("at").alias("own_at"),
+        F.col("first.doc").alias("doc"), F.col("first.at").alias("place"), F.lit(True).alias("is_edge"),
+        F.col("doc").alias("own"), F.col("at").alias("own_at"),
     )
     both = told.withColumns({"is_edge": F.lit(False), "own": F.lit(0).cast("bigint"), "own_at": F.lit(0)}).unionByName(later)
     sent = texts.groupBy("grp").cogroup(both.groupBy("grp")).applyInArrow(copies, _COPY)
