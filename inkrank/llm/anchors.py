@@ -27,7 +27,7 @@ from inkrank.session import shuffle_width
 
 #: Text in a group, about; and in one slice of a group, about.
 GROUP_BYTES = 8 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 256 << 10
 
 #: Rows without an id count as one document before all others.
 NO_ID = -(1 << 63)
@@ -117,6 +117,40 @@ def byte_units() -> np.ndarray:
     return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
 
 
+#: Hashes are compared by all but these low bits, which hold places meanwhile.
+_PLACE_BITS = 24
+
+
+def lowest_of(hashes: np.ndarray, wide: int) -> np.ndarray:
+    """For each run of ``wide`` hashes, the place of its lowest, the first of equals."""
+    count = len(hashes) - wide + 1
+    mask = np.uint64((1 << _PLACE_BITS) - 1)
+    if len(hashes) > int(mask):
+        return _lowest_of_many(hashes >> np.uint64(_PLACE_BITS), wide)
+    both = (hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)
+    # Minima of blocks from either end; a run is the end of one block and the
+    # beginning of the next.
+    blocks = -(-len(both) // wide)
+    table = np.full(blocks * wide, ~np.uint64(0))
+    table[: len(both)] = both
+    table = table.reshape(blocks, wide)
+    ahead = np.minimum.accumulate(table, axis=1).reshape(-1)
+    back = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+    return (np.minimum(back[:count], ahead[wide - 1 : wide - 1 + count]) & mask).astype(np.int64)
+
+
+def _lowest_of_many(hashes: np.ndarray, wide: int) -> np.ndarray:
+    """The same by doubling, for more places than the low bits can hold."""
+    low, place, reach = hashes, np.arange(len(hashes)), 1
+    while reach < wide:
+        step = min(reach, wide - reach)
+        right = low[step:] < low[:-step]
+        place = np.where(right, place[step:], place[:-step])
+        low = np.where(right, low[step:], low[:-step])
+        reach += step
+    return place
+
+
 class Anchors:
     """The anchors of some texts: where they are, and the windows each stands for.
 
@@ -135,14 +169,7 @@ class Anchors:
         if count <= 0:
             return
         grams = self.ranges.grams(gram)
-        low, place = grams, np.arange(len(grams), dtype=np.int32)
-        reach, wide = 1, window - gram + 1
-        while reach < wide:
-            step = min(reach, wide - reach)
-            right = low[step:] < low[:-step]
-            place = np.where(right, place[step:], place[:-step])
-            low = np.where(right, low[step:], low[:-step])
-            reach += step
+        place = lowest_of(grams, window - gram + 1)
         whole = np.ones(count, bool)
         for cut in starts[1:-1]:
             whole[max(0, cut - window + 1) : cut] = False

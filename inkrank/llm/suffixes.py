@@ -247,7 +247,7 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
         for kind, into in ((False, least), (True, marks)):
             _, anchor, context, values = _unpacked(told.filter(pa.array(marked == kind)))
             into[own.find(anchor, context)] = values if not kind else values.view(np.uint64)
-        return _cut(own, own.doc > least[own.class_of], np.where(own.doc == least[own.class_of], marks[own.class_of], 0), window)
+        return _cut(own, own.doc > least[own.class_of], np.where(own.doc == least[own.class_of], marks[own.class_of], np.uint64(0)), window)
 
     by_class = texts.groupBy("grp").applyInArrow(classes, _CLASSES)
     settled = by_class.repartition(width, "bucket").groupBy("bucket").applyInArrow(_settled, _CLASSES)
@@ -293,7 +293,10 @@ def _cut(own: _Group, whole: np.ndarray, marks: np.ndarray, window: int) -> pa.T
         some = slice(done, done + len(found.at))
         done += len(found.at)
         all_of = np.flatnonzero(whole[some])
-        row, bit = np.nonzero((marks[some][:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)) if len(found.at) else ([], [])
+        marked = np.flatnonzero(marks[some])
+        bits = (marks[some][marked][:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+        row, bit = np.nonzero(bits)
+        row = marked[row]
         starts = np.concatenate([found.first[all_of], found.first[row] + bit]).astype(np.int64)
         ends = np.concatenate([found.last[all_of] + window, found.first[row] + bit + window]).astype(np.int64)
         text = np.concatenate([found.text[all_of], found.text[row]]).astype(np.int64)

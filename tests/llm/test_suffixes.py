@@ -44,6 +44,17 @@ def test_equal_windows_have_equal_anchors():
         assert by_content.setdefault(units[i : i + 12].tobytes(), covered[i]) == covered[i]
 
 
+def test_lowest_of_runs():
+    rng = np.random.default_rng(4)
+    for size, wide in ((1, 1), (5, 5), (100, 7), (1000, 35), (64, 13)):
+        hashes = rng.integers(0, 4, size).astype(np.uint64) << np.uint64(60)
+        hashes |= rng.integers(0, 1 << 20, size).astype(np.uint64)
+        key = hashes >> np.uint64(24)
+        expected = [i + int(np.argmin(key[i : i + wide])) for i in range(size - wide + 1)]
+        assert anchors.lowest_of(hashes, wide).tolist() == expected
+        assert anchors._lowest_of_many(key, wide).tolist() == expected
+
+
 def brute(docs, window=50):
     first = {}
     for doc, text in docs:
