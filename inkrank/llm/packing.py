@@ -49,7 +49,7 @@ def pieces(
         words = encoder(tokenizer)
         for batch in sliced(batches):
             rows = []
-            found = words.encode(batch.column(1).to_pylist())
+            found = words.encode(batch.column(1))
             for doc, ids in zip(batch.column(0).to_pylist(), found, strict=True):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 over = len(ids) % sequence or sequence

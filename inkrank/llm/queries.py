@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from inkrank.llm import debruijn, decontaminate, neighbours, packing, pii, quality, secrets, simhash, suffixes, token_files
+from inkrank.llm.common import ship
 from inkrank.session import scratch_path
 
 
@@ -41,7 +43,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     manifest = token_files.write_token_files(_documents(spark, sf_dir), folder)
-    return token_files.digests(token_files.read_token_files(manifest, folder))
+    return token_files.read_token_files(manifest, folder, keep_ids=False)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,9 +101,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_documents(spark, sf_dir)))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def queries() -> dict[str, Query]:
     registered = [op1_suffix_array, op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op8_debruijn, op9_secrets, op10_best_fit_packing]
-    return {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
+    named = {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
+    return {name: _shipped(query) for name, query in named.items()}
+
+
+def _shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:

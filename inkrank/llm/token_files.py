@@ -11,7 +11,8 @@ on serialized ids of whole documents and lies beside the files under its hash;
 a file names the hash it needs.
 
 Edge cases: a null or empty text is a document of the end id alone; null ids come
-first and are found under ``None``; documents of equal id are all kept, by text;
+first and are found under ``None``; documents of equal id are all kept, in the
+order of their frames;
 an empty table makes no file and reads back as no rows.
 """
 
@@ -31,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkrank.llm.common import sliced, texts
-from inkrank.llm.tokens import default_tokenizer, encoder
+from inkrank.llm.common import lowest, shared_files, sliced, texts
+from inkrank.llm.tokens import default_tokenizer, encoder, release
 from inkrank.session import settle
 
 _MAGIC = b"IDFILE1\n"
@@ -40,22 +41,15 @@ _HEAD = "<8sB32s"
 _FOOT = "<QQ8s"
 _INDEX = np.dtype([("doc_id", "<i8"), ("is_null", "u1"), ("tokens", "<u4"), ("start", "<u8")])
 
-#: Documents, and bytes of their text, that the dictionary is trained on at most.
+#: Documents that the dictionary is trained on at most, and the longest of them.
 DICTIONARY_DOCS = 512
-DICTIONARY_TEXT_BYTES = 4 << 20
+DICTIONARY_DOC_CHARS = 32 << 10
 DICTIONARY_BYTES = 112 << 10
 LEVEL = 3
 
 END_ID = 0
 
 
-def _folder(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a folder that driver and executors share."""
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri.replace("file:///", "file:/").replace("file:/", "file:///"))
-
-
 def _put(files: fs.FileSystem, path: str, chunks: Iterator[bytes]) -> None:
     """Write under another name, then rename: readers never see half a file, and
     attempts of one task end in the same file."""
@@ -77,29 +71,23 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     """A dictionary from the ids of the whole documents whose ids hash lowest.
 
-    The sample has at most ``DICTIONARY_DOCS`` documents and, past the first,
-    ``DICTIONARY_TEXT_BYTES`` of text. Too little text to train on gives none.
+    The sample has at most ``DICTIONARY_DOCS`` documents, none of more than
+    ``DICTIONARY_DOC_CHARS``. Too little text to train on gives none.
     """
-    # Reads lengths only; the sort keeps DICTIONARY_DOCS rows a task.
-    sizes = docs.select("doc_id", F.octet_length("text").alias("n")).where("doc_id is not null and n > 0")
-    lowest = sizes.orderBy(F.xxhash64("doc_id"), "doc_id", "n").limit(DICTIONARY_DOCS).collect()
-    chosen, total = [], 0
-    for row in lowest:
-        total += row.n
-        if total > DICTIONARY_TEXT_BYTES:
-            break
-        chosen.append(row.doc_id)
+    # Ids alone; then one scan of the texts for those few.
+    chosen = lowest(docs.where("doc_id is not null").select("doc_id"), ["doc_id"], DICTIONARY_DOCS).collect()
 
     def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer)
         kind = _dtype(words.vocabulary)
         for batch in batches:
-            ids = [x.astype(kind).tobytes() for x in words.encode(batch.column(0).to_pylist())]
+            ids = [x.astype(kind).tobytes() for x in words.encode(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     if not chosen:
         return b""
-    picked = docs.where(F.col("doc_id").isin(chosen)).select("text")
+    picked = docs.where(F.col("doc_id").isin([row.doc_id for row in chosen])).select("text")
+    picked = picked.where(F.length("text").between(1, DICTIONARY_DOC_CHARS)).limit(2 * DICTIONARY_DOCS)
     samples = sorted(bytes(row.ids) for row in picked.mapInArrow(ids_of, "ids binary").collect())
     size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
     if size < 1024 or len(samples) < 16:
@@ -117,38 +105,42 @@ def write_token_files(
     """
     tokenizer = tokenizer or default_tokenizer()
     docs = texts(docs)
-    files, base = _folder(folder)
+    files, base = shared_files(folder)
     files.create_dir(f"{base}/ids")
     trained = train_dictionary(docs, tokenizer)
     digest = hashlib.sha256(trained).digest()
+    width = _dtype(encoder(tokenizer).vocabulary).itemsize
     _put(files, f"{base}/ids/{digest.hex()}.dict", iter([trained]))
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer)
         kind = _dtype(words.vocabulary)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(trained))
+        for batch in sliced(batches):
+            found = [np.append(x, np.uint32(end_id)) for x in words.encode(batch.column(1))]
+            frames = [packer.compress(ids.astype(kind).tobytes()) for ids in found]
+            columns = [pa.array([len(ids) for ids in found], pa.int64()), pa.array(frames, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "tokens", "frame"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}.ids"
         index: list[np.ndarray] = []
-        tokens = 0
 
         def chunks() -> Iterator[bytes]:
-            nonlocal tokens
-            yield struct.pack(_HEAD, _MAGIC, kind.itemsize, digest)
+            yield struct.pack(_HEAD, _MAGIC, width, digest)
             at = struct.calcsize(_HEAD)
-            for batch in sliced(batches):
-                found = words.encode(batch.column(1).to_pylist())
-                found = [np.append(ids, np.uint32(end_id)) for ids in found]
-                frames = [packer.compress(ids.astype(kind).tobytes()) for ids in found]
-                rows = np.zeros(len(found), _INDEX)
+            for batch in batches:
+                frames = batch.column(2).to_pylist()
+                rows = np.zeros(len(frames), _INDEX)
                 keys = batch.column(0)
                 rows["doc_id"] = keys.fill_null(0).to_numpy(zero_copy_only=False)
                 rows["is_null"] = keys.is_null().to_numpy(zero_copy_only=False)
-                rows["tokens"] = [len(ids) for ids in found]
+                rows["tokens"] = batch.column(1).to_numpy()
                 sizes = np.array([len(frame) for frame in frames], np.uint64)
                 rows["start"] = at + np.cumsum(sizes) - sizes
                 at += int(sizes.sum())
-                tokens += int(rows["tokens"].sum())
                 index.append(rows)
                 yield b"".join(frames)
             yield b"".join(rows.tobytes() for rows in index)
@@ -158,12 +150,15 @@ def write_token_files(
         if first is None:
             return
         batches = _after(first, batches)
-        there, path = _folder(folder)
+        there, path = shared_files(folder)
         _put(there, f"{path}/ids/{name}", chunks())
-        rows = sum(map(len, index))
+        rows, tokens = sum(map(len, index)), sum(int(x["tokens"].sum()) for x in index)
         yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "rows": [rows], "tokens": [tokens]})
 
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Ids are made and compressed where the texts are read; only frames are moved.
+    frames = docs.mapInArrow(compress, "doc_id long, tokens long, frame binary")
+    frames = settle(frames, f"{folder.rstrip('/')}/frames")
+    ordered = frames.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "frame")
     manifest = ordered.mapInArrow(write, "part long, file string, rows long, tokens long")
     return settle(manifest, f"{folder.rstrip('/')}/manifest").where("rows > 0").orderBy("part")
 
@@ -177,7 +172,7 @@ class TokenFile:
     """One file, open for reading all of it or single documents."""
 
     def __init__(self, folder: str, name: str):
-        files, base = _folder(folder)
+        files, base = shared_files(folder)
         self._file = files.open_input_file(f"{base}/ids/{name}")
         size, foot = self._file.size(), struct.calcsize(_FOOT)
         start, rows, magic = struct.unpack(_FOOT, self._file.read_at(foot, size - foot))
@@ -205,16 +200,19 @@ class TokenFile:
         return [self.ids(i) for i in np.flatnonzero(rows)]
 
 
-def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
-    """``(doc_id, start, ids)`` of every document; ``ids`` is little-endian 32 bit.
+def read_token_files(manifest: DataFrame, folder: str, keep_ids: bool = True) -> DataFrame:
+    """``(doc_id, start, n_tokens, ids_crc32[, ids])`` of every document.
 
-    ``start`` counts the ids of all documents before it, in file order.
+    ``start`` counts the ids of all documents before it, in file order; ``ids`` are
+    little-endian 32-bit integers.
     """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per file, so this window holds no data of the documents.
     placed = manifest.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * keep_ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for name, base in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 file = TokenFile(folder, name)
@@ -222,30 +220,20 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                 starts = base + np.cumsum(rows["tokens"], dtype=np.int64) - rows["tokens"]
                 for at in range(0, len(rows), 1000):
                     some = slice(at, at + 1000)
-                    ids = [file.ids(i).tobytes() for i in range(at, min(at + 1000, len(rows)))]
-                    keys = pa.array(rows["doc_id"][some], mask=rows["is_null"][some] == 1)
-                    columns = [keys, pa.array(starts[some], pa.int64()), pa.array(ids, pa.large_binary())]
-                    columns[2] = columns[2].cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "ids"])
+                    ids = [file.ids(i) for i in range(at, min(at + 1000, len(rows)))]
+                    columns = [
+                        pa.array(rows["doc_id"][some], mask=rows["is_null"][some] == 1),
+                        pa.array(starts[some], pa.int64()),
+                        pa.array([len(x) for x in ids], pa.int64()),
+                        pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                    ]
+                    columns += [pa.array([x.tobytes() for x in ids], pa.binary())] * keep_ids
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     # As many tasks as files, each with some rows of the manifest.
     width = max(1, manifest.count())
-    return placed.repartition(width, "file").mapInArrow(read, "doc_id long, start long, ids binary")
-
-
-def digests(ids: DataFrame) -> DataFrame:
-    """``n_tokens`` and ``ids_crc32`` in place of the ids."""
-
-    def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [zlib.crc32(x.as_buffer()) for x in batch.column(2)]
-            names = ["doc_id", "start", "n_tokens", "ids_crc32"]
-            counts = [len(x.as_buffer()) // 4 for x in batch.column(2)]
-            columns = [*batch.columns[:2], pa.array(counts, pa.int64()), pa.array(sums, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    return ids.mapInArrow(crc, schema)
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids
+    return placed.repartition(width, "file").mapInArrow(read, schema)
 
 
 def read_document(spark: SparkSession, folder: str, doc_id: int | None) -> list[np.ndarray]:

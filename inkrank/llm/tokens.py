@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words kept per Python worker; the cache starts anew beyond this (about 120 MB).
-CACHE_WORDS = 500_000
+#: Words kept per Python worker (about 150 MB); beyond this, those seen once go.
+CACHE_WORDS = 600_000
 
 #: A blank as byte-level vocabularies write it.
 _BLANK = "Ġ"
@@ -37,6 +38,13 @@ def joined(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - (ends - counts), counts) + np.arange(total)]
 
 
+class _Places(dict):
+    """Places of words; -1 for a word that is not there."""
+
+    def __missing__(self, word: str) -> int:
+        return -1
+
+
 class Encoder:
     """``encode`` of a byte-level BPE file, each distinct word encoded once.
 
@@ -65,9 +73,19 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._places: dict[str, int] = {}
+        self._places = _Places()
         self._starts = np.zeros(1, np.int64)
         self._ids = np.zeros(0, np.uint32)
+        self._seen = np.zeros(0, np.int64)
+
+    def _shrink(self) -> None:
+        """Keep the words seen again, or none if those are most of the cache."""
+        again = np.flatnonzero(self._seen > 1)
+        places, starts, ids = list(self._places), self._starts, self._ids
+        self._forget()
+        if 2 * len(again) <= CACHE_WORDS:
+            counts = starts[again + 1] - starts[again]
+            self._add([places[i] for i in again], joined(ids, starts[again], counts), counts)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -97,6 +115,7 @@ class Encoder:
         self._places.update(zip(keys, range(base, base + len(keys)), strict=True))
         self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(counts)])
         self._ids = np.concatenate([self._ids, ids])
+        self._seen = np.append(self._seen, np.zeros(len(keys), np.int64))
 
     def _learn(self, keys: set[str]) -> None:
         cut = {}
@@ -118,39 +137,52 @@ class Encoder:
             self._add(list(cut), ids, counts.reshape(-1, 2).sum(axis=1))
 
     def _at(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self._places.get, words, repeat(-1)), np.int64, len(words))
+        return np.fromiter(map(self._places.__getitem__, words), np.int64, len(words))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, as 32-bit unsigned arrays."""
-        words: list[str] = []
-        sizes = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            parts = text.split(" ")
-            parts[0] = " " + parts[0]
-            words += parts
-            sizes[i] = len(parts)
-        if not words:
-            return []
+    def _known(self, words: list[str]) -> np.ndarray:
+        """Places of distinct words, learning the new; -1 for the unclean."""
         at = self._at(words)
         missing = np.flatnonzero(at < 0)
         new = {words[i] for i in missing}
         new -= self._unclean(new)
-        if len(self._places) + len(new) > CACHE_WORDS and self._places:
-            self._forget()
-            return self.encode(texts)
+        # A word with closing marks brings its letters along.
+        if len(self._places) + 2 * len(new) > CACHE_WORDS and self._places:
+            self._shrink()
+            if len(self._places) + 2 * len(new) > CACHE_WORDS:
+                self._forget()
+            return self._known(words)
         self._learn(new)
         at[missing] = self._at([words[i] for i in missing])
+        return at
+
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        """The ids of each text, as 32-bit unsigned arrays."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return []
+        cut = pc.split_pattern(texts, " ")
+        starts_of = cut.offsets.to_numpy().astype(np.int64)
+        sizes, heads = np.diff(starts_of), starts_of[:-1]
+        coded = cut.flatten().dictionary_encode()
+        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        first = [" " + distinct[i] for i in at[heads]]
+        places = self._known(distinct + first)
+        at = places[at]
+        at[heads] = places[len(distinct) :]
         text_of = np.repeat(np.arange(len(texts)), sizes)
         whole = np.unique(text_of[at < 0])
-        at[np.isin(text_of, whole)] = -1
-        kept = at[at >= 0]
+        if len(whole):
+            at[np.isin(text_of, whole)] = -1
+        kept = at[at >= 0] if len(whole) else at
+        self._seen += np.bincount(kept, minlength=len(self._seen))
         starts = self._starts[kept]
+        lengths = self._starts[kept + 1] - starts
+        ids = joined(self._ids, starts, lengths)
         counts = np.zeros(len(at), np.int64)
-        counts[at >= 0] = self._starts[kept + 1] - starts
-        ids = joined(self._ids, starts, counts[at >= 0])
-        cuts = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]
+        counts[at >= 0] = lengths
+        cuts = np.concatenate([[0], np.cumsum(counts)])[starts_of]
         out = [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        for i, found in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
+        for i, found in zip(whole, self._whole([texts[int(i)].as_py() for i in whole]), strict=True):
             out[i] = found
         return out
 
@@ -163,3 +195,9 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def release() -> None:
+    """Give the worker's encoders and their memory back; for the stages after."""
+    _encoders.clear()
+    pa.default_memory_pool().release_unused()
