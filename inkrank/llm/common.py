@@ -33,10 +33,11 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
         for file in sorted(root.rglob("*.py")):
             archive.write(file, file.relative_to(root.parent))
-    path = f"{scratch_path(spark, 'code')}.zip"
-    files, local = shared_files(path)
-    with files.open_output_stream(local) as out:
-        out.write(packed.getvalue())
+    path = f"{scratch_path(spark, 'code')}/inkrank.zip"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    out.write(packed.getvalue())
+    out.close()
     spark.sparkContext.addPyFile(path)
     _shipped.add(application)
 

@@ -224,9 +224,11 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     schema = keyed.select("place", F.lit(0).cast("bigint").alias("fp")).schema
     marked = settle(keyed.mapInArrow(compute, schema), scratch_path(spark, "fingerprints"))
     placed = _rooted(marked, max_bits)
-    own = marked.groupBy("fp").agg(F.min("place").alias("place"))
-    kept = placed.join(own, "fp").groupBy("root").agg(F.min("place").alias("place")).select("place.*")
-    kept = settle(kept.distinct(), scratch_path(spark, "representatives"))
+    own = marked.groupBy("fp", "place").agg(F.count("*").alias("n"))
+    own = own.groupBy("fp").agg(F.min(F.struct("place", "n")).alias("best"))
+    kept = placed.join(own, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    kept = kept.select("best.place.*", "best.n").distinct()
+    kept = settle(kept, scratch_path(spark, "representatives"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(
         row,
@@ -236,4 +238,7 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     )
     kept = kept.withColumn("id", F.coalesce("id", F.lit(0)))
     keys = ["no_id", "id", "content"]
-    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).select("row.*")
+    # The short side is hashed, so that texts are moved but not sorted. Only rows that
+    # occur more than once have to be told apart after it.
+    one, several = (rows.join(kept.where(n).hint("shuffle_hash"), keys, "left_semi") for n in ("n = 1", "n > 1"))
+    return one.select("row.*").unionByName(several.dropDuplicates(keys).select("row.*"))
