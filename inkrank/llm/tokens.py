@@ -9,8 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words kept per Python worker (about 150 MB); beyond this, those seen once go.
-CACHE_WORDS = 600_000
+#: Words kept per Python worker (about 250 MB); beyond this, those seen once go.
+CACHE_WORDS = 1_000_000
 
 #: A blank as byte-level vocabularies write it.
 _BLANK = "Ġ"
@@ -22,6 +22,7 @@ _TOGETHER = 100
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[]^`{|}~"
 
 _SPACES = re.compile(r"\s\s|^\s|\s$")
+_ODD_EDGE = re.compile(r"\0\0|\s\s|\0\s|\s\0")
 
 
 def default_tokenizer() -> str:
@@ -92,9 +93,14 @@ class Encoder:
         return [np.asarray(x.ids, np.uint32) for x in found]
 
     def _unclean(self, keys: set[str]) -> set[str]:
-        odd = {key for key in keys if not key or key == " " or not key.isprintable()}
-        odd = {key for key in odd if len(key) < 2 or _SPACES.search(key.removeprefix(" "))}
-        if self._special and self._special.search("\n".join(keys)):
+        # One search of all at once tells whether there are any.
+        plain = [key.removeprefix(" ") for key in keys]
+        joined_keys = "\0".join(["x", *plain, "x"])
+        odd = set()
+        if _ODD_EDGE.search(joined_keys):
+            odd = {key for key in keys if len(key) < 2 or _SPACES.search(key.removeprefix(" "))}
+            odd -= {key for key in odd if len(key) == 1 and not key.isspace()}
+        if self._special and self._special.search(joined_keys):
             odd |= {key for key in keys if self._special.search(key)}
         return odd
 
