@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkrank.llm.common import sliced, texts
+from inkrank.llm.common import lowest, sliced, texts
+from inkrank.session import scratch_path, settle
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -321,8 +322,7 @@ def labelled_words(docs: DataFrame) -> list[tuple[list[str], list[int]]]:
     with marked words whose ids hash lowest (``TRAINING_DOCS``, whole)."""
     docs = texts(docs)
     marked = docs.where("doc_id is not null").where(F.col("text").rlike("[0-9@]")).select("doc_id")
-    # TRAINING_DOCS ids.
-    ids = [row.doc_id for row in marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCS).collect()]
+    ids = [row.doc_id for row in lowest(marked, ["doc_id"], TRAINING_DOCS).collect()]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -339,8 +339,8 @@ def labelled_words(docs: DataFrame) -> list[tuple[list[str], list[int]]]:
         return []
     schema = "doc_id long, n long, shapes array<string>, labels array<long>"
     table = docs.where(F.col("doc_id").isin(ids)).mapInArrow(label, schema).where(F.size("shapes") <= 200)
-    first = table.orderBy(F.xxhash64("doc_id", "n"), "doc_id", "n").limit(TRAINING_SEQUENCES).collect()
-    return [(row.shapes, row.labels) for row in first]
+    table = settle(table, scratch_path(docs.sparkSession, "labelled-words"))
+    return [(row.shapes, row.labels) for row in lowest(table, ["doc_id", "n"], TRAINING_SEQUENCES).collect()]
 
 
 def fit(docs: DataFrame) -> Field:

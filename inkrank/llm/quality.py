@@ -2,13 +2,13 @@
 
 The text view sees what the words are like; the page view sees language, source,
 size and layout. Each is a logistic regression on labelled documents. In every
-round each view labels the unlabelled documents it is surest of, and those join
-the other view's training rows. At the end both views are calibrated on labelled
+round each view labels unlabelled documents it is sure of, and those join the
+other view's training rows. At the end both views are calibrated on labelled
 rows held out from training, and one logistic regression on the two calibrated
 log-odds scores every document.
 
 Bounds, all of them parameters: ``MAX_LABELLED`` labelled rows (those whose ids
-hash lowest), and ``MAX_PSEUDO`` pseudo-labels per view, class and round. Scores
+hash lowest), and about ``MAX_PSEUDO`` pseudo-labels per view and round. Scores
 cover every document, whatever those bounds are.
 
 Edge cases: a null text counts as empty; null or absent page columns are a value
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkrank.llm.common import sliced
+from inkrank.llm.common import lowest, sliced
 from inkrank.session import scratch_path, settle
 
 MAX_LABELLED = 20_000
@@ -192,8 +192,8 @@ def _array(rows) -> np.ndarray:
     return np.stack([np.asarray(row, np.float64) for row in rows]) if len(rows) else np.zeros((0, 0))
 
 
-def _surest(pool: DataFrame, views: list[Logistic], count: tuple[int, int]) -> list:
-    """For each view, the unlabelled rows it is surest of, ``count`` of each class."""
+def _sure(pool: DataFrame, views: list[Logistic], count: tuple[int, int], turn: int) -> list:
+    """For each view, about ``count`` unlabelled rows of each class that it is sure of."""
     held = pool.sparkSession.sparkContext.broadcast(views)
 
     @F.pandas_udf("array<double>")
@@ -203,18 +203,19 @@ def _surest(pool: DataFrame, views: list[Logistic], count: tuple[int, int]) -> l
         return pd.Series(list(np.stack([_sigmoid(v.odds(c)) for v, c in zip(held.value, cut, strict=True)], axis=1)))
 
     scored = pool.withColumn("p", probabilities("views"))
+    places = [(view, y) for view in (0, 1) for y in (0, 1)]
+    sure = {(v, y): F.col("p")[v] >= SURE if y else F.col("p")[v] <= 1 - SURE for v, y in places}
+    found = scored.agg(*[F.count_if(sure[place]).alias(f"n{i}") for i, place in enumerate(places)]).first()
+    # The rows that hash lowest of each kind, cut off where they are read.
     picked = []
-    for view in (0, 1):
-        p = F.col("p")[view]
-        tie = [F.xxhash64("doc_id"), F.col("doc_id")]
-        for quality, sure, order in ((1, p >= SURE, p.desc()), (0, p <= 1 - SURE, p.asc())):
-            rows = scored.where(sure).orderBy(order, *tie).limit(count[quality])
-            picked.append(rows.select(F.lit(view).alias("view"), F.lit(quality).alias("y"), "doc_id", "views"))
-    out = picked[0]
-    for rows in picked[1:]:
-        out = out.unionByName(rows)
-    # At most four times MAX_PSEUDO rows.
-    return out.collect()
+    for i, (view, y) in enumerate(places):
+        share = min(1.0, count[y] / max(1, found[i]))
+        low = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(1 << 30)) < int(share * (1 << 30))
+        picked.append(F.when(sure[view, y] & low, F.lit(2 * view + y)))
+    kinds = F.array_compact(F.array(*picked))
+    rows = scored.select("doc_id", "views", F.explode(kinds).alias("kind"))
+    # About four times MAX_PSEUDO rows.
+    return rows.select((F.col("kind") >= 2).cast("int").alias("view"), (F.col("kind") % 2).alias("y"), "doc_id", "views").collect()
 
 
 def fit(
@@ -230,7 +231,7 @@ def fit(
     views = settle(views.select("doc_id", "views"), scratch_path(spark, "views"))
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.avg(label).alias("y"))
-    chosen = views.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).collect()
+    chosen = lowest(views.join(known, "doc_id"), ["doc_id"], max_labelled).collect()
     if not chosen:
         return Model()
     x, y = _array([row["views"] for row in chosen]), np.array([row.y for row in chosen])
@@ -252,9 +253,9 @@ def fit(
     share = binary.mean()
     count = (max(1, int(max_pseudo * (1 - share))), max(1, int(max_pseudo * share)))
     trained = [Logistic.fit(*r) for r in rows]
-    for _ in range(rounds):
+    for turn in range(rounds):
         fresh: list[list] = [[], []]
-        for row in _surest(pool, trained, count):
+        for row in sorted(_sure(pool, trained, count, turn), key=lambda row: (row.doc_id, row.view)):
             other = 1 - row.view
             if row.doc_id not in taken[other]:
                 taken[other].add(row.doc_id)

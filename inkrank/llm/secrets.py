@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkrank.llm.common import sliced
+from inkrank.llm.common import lowest, sliced
+from inkrank.session import scratch_path, settle
 
 #: Bounds of the training table and of the dictionary taken from the corpus.
 TRAINING_DOCS = 500
@@ -282,7 +283,7 @@ def fit(docs: DataFrame, findings: DataFrame | None = None) -> Forest:
     ones with those of ``TRAINING_DOCS`` documents (the lowest by hash of id)."""
     docs = _with_path(docs)
     ids = docs.where("doc_id is not null").where(F.col("text").rlike("[0-9]")).select("doc_id")
-    ids = [row.doc_id for row in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCS).collect()]
+    ids = [row.doc_id for row in lowest(ids, ["doc_id"], TRAINING_DOCS).collect()]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["kind", "text", "start", "end", "path", "secret"], "sslls"
@@ -303,8 +304,9 @@ def fit(docs: DataFrame, findings: DataFrame | None = None) -> Forest:
     if ids:
         schema = "kind string, text string, start long, end long, path string, secret long"
         table = docs.where(F.col("doc_id").isin(ids)).mapInArrow(label, schema)
-        order = [F.xxhash64("text", "start"), "text", "start", "end", "path"]
-        own = table.where("kind = 'finding'").orderBy(*order).limit(TRAINING_FINDINGS).collect()
+        table = settle(table, scratch_path(docs.sparkSession, "labelled-findings"))
+        keys = ["text", "start", "end", "path"]
+        own = lowest(table.where("kind = 'finding'"), keys, TRAINING_FINDINGS).collect()
         counts = table.where("kind = 'word'").groupBy("text").agg(F.sum("start").alias("n"))
         words = counts.where("n > 1").orderBy(F.desc("n"), "text").limit(DICTIONARY_WORDS).collect()
     dictionary = frozenset(row.text for row in words)
