@@ -10,15 +10,16 @@ edges are taken together by the run of ``GRAM`` words that anchors them (see
 2. The runs seen again are found. One that always carries the same path does not
    branch: the path is compacted, and all but its first place are copies. Where
    paths differ, the first place of each is joined with its text for its edges.
-3. Those edges are counted and joined back: the later places of each are copies.
+3. Of each of those edges, the later places are copies.
 4. Each group joins copies that follow each other at one distance from their
    source into long spans, and sends them, with a digest of their words, to the
    group of the source, which compares them with its own words at those places.
 5. Each group cuts its texts by the spans that were confirmed.
 
-Copies within a group are one row before they are shuffled, and edges are counted
-in the map tasks. What meets in one task is a run's different paths, one short row
-for each and group, which can spill.
+Copies within a group are one row before they are shuffled. What meets in one task
+is a run's different paths, or the paths that hold an edge: one short row for each
+and group, which can spill. A copy's source is the place before it, so that no
+document becomes the source of all copies.
 
 Edge cases: null and empty texts have no words; texts shorter than a window lose
 nothing; rows of equal id count as one document, as do all rows without an id,
@@ -215,23 +216,23 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     of_run = Window.partitionBy("run")
     of_path = Window.partitionBy("run", "path").orderBy("doc", "place")
     again = seen.withColumns({"n": F.count("*").over(of_run), "branching": F.min("path").over(of_run) != F.max("path").over(of_run)})
-    first = {"first_doc": F.first("doc").over(of_path), "first_place": F.first("place").over(of_path)}
-    again = again.where("n > 1").drop("n").withColumns(first)
-    is_first = (F.col("doc") == F.col("first_doc")) & (F.col("place") == F.col("first_place"))
-    again = again.withColumn("is_first", is_first).where("branching or not is_first")
+    # The source of a place is the one before it.
+    source = {"source": F.lag("doc").over(of_path), "source_at": F.lag("place").over(of_path)}
+    again = again.where("n > 1").drop("n").withColumns(source).where("branching or source is not null")
     again = settle(again, scratch_path(docs.sparkSession, "paths"))
-    asked = again.where("branching and is_first").select("grp", "run", "path")
-    told = again.where("not is_first")
-    told = told.select("grp", "run", "path", F.col("first_doc").alias("doc"), F.col("first_place").alias("place"))
+    asked = again.where("branching and source is null").select("grp", "run", "path")
+    told = again.where("source is not null")
+    told = told.select("grp", "run", "path", F.col("source").alias("doc"), F.col("source_at").alias("place"))
 
     listed = texts.groupBy("grp").cogroup(asked.groupBy("grp"))
     listed = listed.applyInArrow(edges, "grp int, edge long, edge2 long, doc long, at int")
-    place = F.struct("doc", "at")
-    known = listed.groupBy("edge", "edge2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = listed.join(known.drop("n"), ["edge", "edge2"]).where(place != F.col("first"))
+    # Of an edge, too, each place but the first is a copy of the one before it.
+    of_edge = Window.partitionBy("edge", "edge2").orderBy("doc", "at")
+    before = {"source": F.lag("doc").over(of_edge), "source_at": F.lag("at").over(of_edge)}
+    later = listed.withColumns(before).where("source < doc or source_at < at")
     later = later.select(
         "grp", F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("path"),
-        F.col("first.doc").alias("doc"), F.col("first.at").alias("place"), F.lit(True).alias("is_edge"),
+        F.col("source").alias("doc"), F.col("source_at").alias("place"), F.lit(True).alias("is_edge"),
         F.col("doc").alias("own"), F.col("at").alias("own_at"),
     )
     both = told.withColumns({"is_edge": F.lit(False), "own": F.lit(0).cast("bigint"), "own_at": F.lit(0)}).unionByName(later)
