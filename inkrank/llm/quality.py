@@ -101,28 +101,34 @@ def _page_column(docs: DataFrame, name: str, kind: str) -> Column:
     return (F.col(name) if name in docs.columns else F.lit(None)).cast(kind)
 
 
-def with_views(docs: DataFrame) -> DataFrame:
-    """``(doc_id, row, views)``: each document as it is, as one column, and the
-    features of both views. Extra columns stay within ``row``."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    taken = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        text.alias("text"),
+def _inputs(docs: DataFrame, keep_rows: bool) -> DataFrame:
+    """What the views are made of and, as one column ``row``, the document itself, so
+    that extra columns clash with nothing."""
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] * keep_rows
+    return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         _page_column(docs, "lang", "string").alias("lang"),
         _page_column(docs, "source", "string").alias("source"),
         _page_column(docs, "n_chars", "bigint").alias("n_chars"),
+        *row,
     )
 
+
+def _features(batch: pa.RecordBatch) -> list[list[float]]:
+    columns = [batch.column(i).to_pylist() for i in (2, 3, 4, 1)]
+    return [[*text_view(t), *page_view(a, b, n, t)] for a, b, n, t in zip(*columns, strict=True)]
+
+
+def views_of(docs: DataFrame) -> DataFrame:
+    """``(doc_id, views)``: the features of both views of each document."""
+
     def view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            columns = [batch.column(i).to_pylist() for i in (1, 3, 4, 5)]
-            rows = [[*text_view(t), *page_view(a, b, n, t)] for t, a, b, n in zip(*columns, strict=True)]
-            found = pa.array(rows, pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), found], ["doc_id", "row", "views"])
+            found = pa.array(_features(batch), pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "views"])
 
-    schema = taken.select("doc_id", "row", F.array(F.lit(0.0).cast("float")).alias("views")).schema
-    return taken.mapInArrow(view, schema)
+    return _inputs(docs, keep_rows=False).mapInArrow(view, "doc_id long, views array<float>")
 
 
 # --- the classifiers --------------------------------------------------------
@@ -275,20 +281,24 @@ def fit(
     return model
 
 
-def score(views: DataFrame, model: Model) -> DataFrame:
-    """Add ``found``: ``score``, ``p_text``, ``p_page`` and ``keep``."""
-    held = views.sparkSession.sparkContext.broadcast(model)
+def classify(docs: DataFrame, labels: DataFrame, keep_rows: bool = True, **bounds: int) -> DataFrame:
+    """``(doc_id, found[, row])`` of every document: ``found`` has ``score``, ``p_text``,
+    ``p_page`` and ``keep``, ``row`` the document as it is."""
+    model = fit(views_of(docs), labels, **bounds)
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    kinds = [("score", pa.float64()), ("p_text", pa.float64()), ("p_page", pa.float64()), ("keep", pa.bool_())]
+    names = ["doc_id", "found"] + ["row"] * keep_rows
 
-    @F.pandas_udf("score double, p_text double, p_page double, keep boolean")
-    def scores(x: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame(held.value.scores(_array(x)), columns=["score", "p_text", "p_page"])
-        out["keep"] = (out["score"] >= KEEP) | (held.value.combination is None)
-        return out
-
-    return views.withColumn("found", scores("views"))
-
-
-def classify(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:
-    """``(doc_id, row, found)`` of every document."""
-    views = with_views(docs)
-    return score(views, fit(views, labels, **bounds)).select("doc_id", "row", "found")
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            found = held.value.scores(_array(_features(batch)).astype(np.float32))
+            keep = (found[:, 0] >= KEEP) | (held.value.combination is None)
+            columns = [pa.array(x, kind) for x, (_, kind) in zip([*found.T, keep], kinds, strict=True)]
+            struct = pa.StructArray.from_arrays(columns, [name for name, _ in kinds])
+            row = batch.columns[5:]
+            yield pa.RecordBatch.from_arrays([batch.column(0), struct, *row], names)
+
+    taken = _inputs(docs, keep_rows)
+    found = F.struct(*[F.lit(None).cast("boolean" if n == "keep" else "double").alias(n) for n, _ in kinds])
+    schema = taken.select("doc_id", found.alias("found"), *["row"] * keep_rows).schema
+    return taken.mapInArrow(score, schema)

@@ -61,7 +61,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality.classify(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+    found = quality.classify(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"), keep_rows=False)
     return found.select("doc_id", "found.*")
 
 
