@@ -42,8 +42,6 @@ WINDOW = 50
 GRAM = 16
 
 _TAG = np.uint64((1 << 32) - 1)
-_CONTEXT_BITS = np.uint64(44)
-_CONTEXT = np.uint64((1 << 44) - 1)
 
 _CLASSES = "grp int, bucket int, tags binary, contexts binary, docs binary"
 
@@ -78,7 +76,7 @@ class _Group:
         key = np.concatenate([none, *keys])
         bucket = (key >> np.uint64(32)) % np.uint64(buckets)
         self.anchor = (bucket << np.uint64(32)) | (key & _TAG)
-        self.context = np.concatenate([none, *contexts]) & _CONTEXT
+        self.context = np.concatenate([none, *contexts])
         self.doc = np.concatenate([none.astype(np.int64), *docs])
         order = np.lexsort((self.doc, self.context, self.anchor))
         a, c = self.anchor[order], self.context[order]
@@ -90,10 +88,11 @@ class _Group:
 
     def find(self, anchor: np.ndarray, context: np.ndarray) -> np.ndarray:
         """The class of each (anchor, windows) pair, all of which are there."""
-        own = self.anchor[self.classes]
-        known = np.unique(own)
-        wide = lambda a, c: (np.searchsorted(known, a).astype(np.uint64) << _CONTEXT_BITS) | c
-        return np.searchsorted(wide(own, self.context[self.classes]), wide(anchor, context))
+        own = self.anchor[self.classes], self.context[self.classes]
+        anchors, contexts = np.unique(own[0]), np.unique(own[1])
+        wide = lambda a, c: (np.searchsorted(anchors, a) << 32) | np.searchsorted(contexts, c)
+        # Classes are in order of anchor and windows, and so are these.
+        return np.searchsorted(wide(*own), wide(anchor, context))
 
 
 def _by_bucket(anchor: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -110,7 +109,7 @@ def _class_rows(rows: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]])
         pa.array([row[0] for row in rows], pa.int32()),
         pa.array([row[1] for row in rows], pa.int32()),
         pa.array([planes(row[2] & _TAG, 4) for row in rows], pa.binary()),
-        pa.array([planes(row[3], 6) for row in rows], pa.binary()),
+        pa.array([planes(row[3], 8) for row in rows], pa.binary()),
         pa.array([planes(row[4].astype(np.uint64), 8) for row in rows], pa.binary()),
     ]
     return pa.Table.from_arrays(columns, ["grp", "bucket", "tags", "contexts", "docs"])
@@ -123,7 +122,7 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
     sizes = [len(x) for x in tags]
     bucket = np.repeat(np.array(table.column("bucket").to_pylist(), np.uint64), sizes)
     anchor = (bucket << np.uint64(32)) | np.concatenate([none, *tags])
-    context = np.concatenate([none, *(from_planes(x, 6) for x in table.column("contexts").to_pylist())])
+    context = np.concatenate([none, *(from_planes(x, 8) for x in table.column("contexts").to_pylist())])
     doc = np.concatenate([none, *(from_planes(x, 8) for x in table.column("docs").to_pylist())]).astype(np.int64)
     return np.repeat(np.array(table.column("grp").to_pylist(), np.int64), sizes), anchor, context, doc
 
@@ -212,7 +211,7 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
                     "grp": key[0].as_py(),
                     "bucket": bucket,
                     "tags": planes(own.anchor[asked][some] & _TAG, 4),
-                    "contexts": planes(own.context[asked][some], 6),
+                    "contexts": planes(own.context[asked][some], 8),
                     "docs": planes(own.doc[asked][some].astype(np.uint64), 8),
                     "shape": np.stack([before[some], count[some]]).astype(np.uint8).tobytes(),
                     "bytes": np.concatenate([left[some], right[some]], axis=1).tobytes(),
