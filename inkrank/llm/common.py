@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import inkrank
-from inkrank.session import scratch_path
+from inkrank.session import checkpoint_folder
 
 # A task holds about this much text at a time, besides its largest single text.
 BATCH_BYTES = 4 << 20
@@ -33,7 +33,8 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
         for file in sorted(root.rglob("*.py")):
             archive.write(file, file.relative_to(root.parent))
-    path = f"{scratch_path(spark, 'code')}/inkrank.zip"
+    # Not a scratch path: executors that start later still fetch it.
+    path = f"{checkpoint_folder(spark).rstrip('/')}/code-{application}/inkrank.zip"
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
     out.write(packed.getvalue())
