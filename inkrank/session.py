@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 # Fewest cores per split from which a scan is rebalanced.
-_SPREAD = 4
+_SPREAD = 2
 
 
 def local_session(cores: int | str = "*", name: str = "inkrank", **conf: str) -> SparkSession:
