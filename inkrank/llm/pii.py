@@ -3,19 +3,25 @@
 The patterns give the base spans. A linear-chain conditional random field over
 the shapes of words then labels the words around every digit and at-sign, and
 adds what the patterns miss, such as a telephone number without its plus sign.
-It is trained here from a small table of such words with their labels, and
-decoded by Viterbi over many sequences at once.
+It is decoded by Viterbi over many sequences at once.
+
+It is trained on a small labelled table made by rule (``made_sequences``), which
+holds personal data in forms that the patterns know and in forms they miss, and
+look-alikes. Sequences of the corpus are added to it, labelled by the patterns but
+for those with a word that may be personal data although no pattern takes it.
 
 An added span never overlaps a base span of its kind, and has to be plausible for
 its kind (see ``_plausible``), so texts without personal data are left alone.
 
 Edge cases: null and empty texts have no spans; without any base span in the
-sample the field labels nothing; repeated rows get the same answer each.
+corpus the field is that of the made table; repeated rows get the same answer each.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,13 +50,15 @@ _DIGIT = re.compile(r"[0-9]")
 
 #: Words on each side of a marked word that belong to its sequence.
 CONTEXT = 3
-#: Documents and sequences that the field is trained on at most.
+#: Documents and sequences of the corpus that the field is trained on at most, beside
+#: the made ones.
 TRAINING_DOCS = 500
 TRAINING_SEQUENCES = 4000
+MADE_TEXTS = 2000
 
-_FEATURES = 1 << 12
+_FEATURES = 1 << 14
 _LABELS = len(KINDS) + 1
-_STEPS, _RATE, _PENALTY = 80, 0.15, 1e-4
+_STEPS, _RATE, _PENALTY = 100, 0.15, 1e-4
 
 Span = tuple[str, int, int]
 
@@ -255,14 +263,14 @@ def train(rows: list[np.ndarray], labels: list[np.ndarray]) -> Field:
         marginal = np.exp(np.minimum(ahead + behind - total, 0)) * live[:, :, None]
         through = ahead[:, :-1, :, None] + field.follow + (scores + behind)[:, 1:, None, :]
         expected = (np.exp(np.minimum(through - total[..., None], 0)) * pairs[:, :, None, None]).sum(axis=(0, 1))
-        change = np.zeros_like(field.emit)
-        np.add.at(change, numbers.reshape(-1), np.repeat((seen - marginal).reshape(-1, _LABELS), 5, axis=0))
+        missing = np.repeat((seen - marginal).reshape(-1, _LABELS), 5, axis=0)
+        change = np.stack([np.bincount(numbers.reshape(-1), column, _FEATURES + 1) for column in missing.T], axis=1)
         change[-1] = 0
         for i, grad in enumerate((change / count, (seen_pairs - expected) / count)):
             grad = grad - _PENALTY * weights[i]
             mean[i] = 0.9 * mean[i] + 0.1 * grad
             square[i] = 0.99 * square[i] + 0.01 * grad**2
-            weights[i] += _RATE * (mean[i] / (1 - 0.9**step)) / (np.sqrt(square[i] / (1 - 0.99**step)) + 1e-8)
+            weights[i] += _RATE * (1 - (step - 1) / _STEPS) * (mean[i] / (1 - 0.9**step)) / (np.sqrt(square[i] / (1 - 0.99**step)) + 1e-8)
     return field
 
 
@@ -279,21 +287,36 @@ def labels_of(found: Sequence, spans: list[Span]) -> np.ndarray:
 _TRIM = {"email": ".,;:!?()[]{}<>\"'|", "ip": ".,;:!?()[]{}<>\"'|", "card": ".,;:!?()[]{}<>\"'|-", "phone": ".,;:!?]}>[{<\"'|-"}
 
 
-def _plausible(kind: str, text: str) -> bool:
-    """Whether an added span can be what it is labelled."""
+def _formed(kind: str, text: str) -> bool:
+    """Whether a text has the form of its kind, whatever its check digits."""
     digits = _digits(text)
     if kind == "email":
         name, _, host = text.partition("@")
         return bool(name and _DOMAIN.fullmatch(host) and not any(c.isspace() for c in text))
     if kind == "ip":
         parts = re.split(r"\[?\.\]?", text)
-        return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
+        return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 for p in parts)
     if kind == "card":
-        return 13 <= len(digits) <= 19 and luhn(digits) and bool(re.fullmatch(r"[0-9][0-9 .\-/]*[0-9]", text))
+        return 13 <= len(digits) <= 19 and bool(re.fullmatch(r"[0-9][0-9 .\-/]*[0-9]", text))
     grouped = re.fullmatch(r"\(?[0-9]{1,4}\)?[ .\-/]\(?[0-9]{2,4}\)?(?:[ .\-/]?[0-9]{2,4})+", text)
     return 9 <= len(digits) <= 15 and bool(grouped)
 
 
+def _plausible(kind: str, text: str) -> bool:
+    """Whether an added span can be what it is labelled."""
+    if not _formed(kind, text):
+        return False
+    if kind == "ip":
+        return all(int(part) <= 255 for part in re.findall(r"[0-9]+", text))
+    return kind != "card" or luhn(_digits(text))
+
+
+def _trimmed(kind: str, text: str, a: int, b: int) -> tuple[int, int]:
+    part = text[a:b]
+    a += len(part) - len(part.lstrip(_TRIM[kind]))
+    return a, b - (len(part) - len(part.rstrip(_TRIM[kind] + "(")))
+
+
 def added_spans(text: str, found: Sequence, labels: np.ndarray, base: list[Span]) -> list[Span]:
     """Runs of equally labelled words, where plausible and free of the base's."""
     out, i = [], 0
@@ -303,10 +326,7 @@ def added_spans(text: str, found: Sequence, labels: np.ndarray, base: list[Span]
             j += 1
         if labels[i]:
             kind = KINDS[labels[i] - 1]
-            a, b = found.starts[i], found.ends[j - 1]
-            part = text[a:b]
-            a += len(part) - len(part.lstrip(_TRIM[kind]))
-            b -= len(part) - len(part.rstrip(_TRIM[kind] + "("))
+            a, b = _trimmed(kind, text, found.starts[i], found.ends[j - 1])
             clear = not any(x < b and a < y for _, x, y in base)
             if clear and a < b and _plausible(kind, text[a:b]):
                 out.append((kind, a, b))
@@ -314,15 +334,145 @@ def added_spans(text: str, found: Sequence, labels: np.ndarray, base: list[Span]
     return out
 
 
+# --- labelled words ---------------------------------------------------------
+
+
+def made_item(kind: str, rng: random.Random) -> str:
+    """Personal data of a kind, as the patterns know it or in a form they miss."""
+    d = lambda n: "".join(rng.choices(string.digits, k=n))
+    name = lambda: "".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 8)))
+    if kind == "email":
+        first = rng.choice([name(), f"{name()}.{name()}", f"{name().title()}{d(2)}", f"{name()}_{name()}", f"{name()}.{d(2)}"])
+        return f"{first}@" + rng.choice([f"{name()}.com", f"mail{d(1)}.{name()}.org", f"{name()}-{name()}.co.uk"])
+    if kind == "ip":
+        return rng.choice([".", ".", ".", "[.]"]).join(str(rng.randint(0, 255)) for _ in range(4))
+    if kind == "card":
+        sign = rng.choice([" ", "-", ".", "/"])
+        return rng.choice([
+            lambda: d(rng.choice([13, 14, 15, 16, 16, 16, 17, 18, 19])),
+            lambda: sign.join(d(4) for _ in range(4)),
+            lambda: sign.join([d(4), d(6), d(5)]),
+            lambda: sign.join([*(d(4) for _ in range(4)), d(3)]),
+        ])()
+    sign = rng.choice([" ", "-", ".", "/"])
+    return rng.choice([
+        lambda: f"+{d(rng.randint(1, 3))} ({d(3)}) {d(3)}-{d(4)}",
+        lambda: f"+{d(2)}{sign}{d(3)}{sign}{d(3)}{sign}{d(4)}",
+        lambda: f"+{d(rng.randint(10, 13))}",
+        lambda: f"({d(3)}) {d(3)}{rng.choice('-. ')}{d(4)}",
+        lambda: f"({d(3)}){sign}{d(3)}{sign}{d(4)}",
+        lambda: sign.join([d(3), d(3), d(4)]),
+        lambda: sign.join(["1", d(3), d(3), d(4)]),
+        lambda: f"0{d(rng.randint(2, 3))}{rng.choice([' ', '/', '-'])}{d(rng.randint(6, 8))}",
+        lambda: f"00{d(2)} {d(rng.randint(2, 3))} {d(rng.randint(6, 8))}",
+        lambda: " ".join([f"0{d(1)}", d(2), d(2), d(2), d(2)]),
+    ])()
+
+
+def made_other(rng: random.Random) -> str:
+    """Words with digits or at-signs that are nobody's."""
+    d = lambda n: "".join(rng.choices(string.digits, k=n))
+    hexa = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    n = lambda top: str(rng.randint(1, top))
+    date = (rng.randint(1, 12), rng.randint(1, 28))
+    return rng.choice([
+        lambda: str(rng.randint(1800, 2030)) + rng.choice(["", ".", ",", ")"]),
+        lambda: f"{rng.randint(1900, 2030)}-{date[0]:02}-{date[1]:02}" + rng.choice(["", f" {n(23)}:{d(2)}", f"T{d(2)}:{d(2)}:{d(2)}"]),
+        lambda: f"{date[1]}.{date[0]}.{rng.randint(1900, 2030)}",
+        lambda: f"{date[0]}/{date[1]}/{rng.randint(1900, 2030)}",
+        lambda: f"{n(23)}:{d(2)}" + rng.choice(["", f":{d(2)}"]),
+        lambda: rng.choice(["v", "", ""]) + ".".join([n(12), n(20), n(9)]),
+        lambda: f"{n(20)}.{n(99)}" + rng.choice(["", ".", "%", ","]),
+        lambda: n(999) + rng.choice(["", "", ".", ",", "%", "kg", "th", ")"]),
+        lambda: rng.choice(["$", "€", ""]) + f"{n(999)},{d(3)}" + rng.choice(["", f",{d(3)}", f".{d(2)}"]),
+        lambda: f"{n(99)}-{n(99)}",
+        lambda: f"{n(999)}x{n(999)}",
+        lambda: f"x{n(9)}y{n(99)}",
+        lambda: f"#{d(rng.randint(2, 7))}",
+        lambda: f"No. {rng.randint(1990, 2030)}-{d(5)}",
+        lambda: d(rng.randint(4, 11)),
+        lambda: d(rng.randint(24, 40)),
+        lambda: f"978-{n(9)}-{d(2)}-{d(6)}-{n(9)}",
+        lambda: f"10.{d(4)}/{d(rng.randint(2, 6))}",
+        lambda: f"{d(4)}.{d(5)}",
+        lambda: f"{n(89)}.{d(4)}, {n(179)}.{d(4)}",
+        lambda: rng.choice(["", '"']) + hexa(rng.choice([7, 12, 32, 40, 64])) + rng.choice(["", '"']),
+        lambda: "-".join(hexa(k) for k in (8, 4, 4, 4, 12)),
+        lambda: rng.choice(["@name", "@User", "@", "name@", "name@host", "@a_b", "@Override"]),
+        lambda: " ".join(n(rng.choice([9, 99, 999, 9999])) for _ in range(rng.randint(2, 7))),
+    ])()
+
+
+def made_sequences(count: int = MADE_TEXTS, seed: int = 5) -> list[tuple[list[str], list[int]]]:
+    """The labelled table kept with the operator: shapes and labels of the sequences of
+    ``count`` texts with items by themselves and in lists, and look-alikes."""
+    rng = random.Random(seed)
+    words = ["the", "of", "Wort", "une", "von,", "Est", "call", "Tel.", "phone:", "from", "IP", "mail:", "(see", "page",
+             "or", "and", "éti", "card", "No.", "Nter,", "THE", "ende.", "###", "-", "日本", "section", "year"]
+    around = [("", ""), ("", ""), ("", ""), ("", "."), ("", ","), ('"', '"'), ("<", ">"), ("", ";"), ("", "###"), ("", "!!")]
+    out = []
+    for _ in range(count):
+        text, spans = "", []
+        for _ in range(rng.randint(1, 3)):
+            text += "".join(f"{word} " for word in rng.choices(words, k=rng.randint(0, 4)))
+            if rng.random() < 0.45:
+                text += made_other(rng) + " "
+                continue
+            kind = rng.choice((*KINDS, "phone", "phone"))
+            one = [made_item(kind, rng) for _ in range(rng.choice([1, 1, 1, 1, 1, 2, 3]))]
+            before, after = rng.choice(around)
+            sign = rng.choice([" ", ", ", "; ", "\n", " or ", " / "])
+            text += before
+            for i, item in enumerate(one):
+                text += sign * (i > 0)
+                spans.append((kind, len(text), len(text) + len(item)))
+                text += item
+            text += f"{after} "
+        text += " ".join(rng.choices(words, k=rng.randint(0, 4)))
+        out += [(found.shapes, labels_of(found, spans).tolist()) for found in sequences(text)]
+    return out
+
+
+def _doubtful(text: str, found: Sequence, base: list[Span]) -> bool:
+    """Whether some words beside the base spans may be personal data: they have the form
+    of a kind, or a pattern takes them and a check fails."""
+    taken = [any(a < y and x < b for _, x, y in base) for a, b in zip(found.starts, found.ends, strict=True)]
+    for i, a in enumerate(found.starts):
+        for j in range(i, min(i + 20, len(taken))):
+            b = found.ends[j]
+            if taken[j] or j > i and b - a > 64:
+                break
+            if not _MARK.search(text, a, b):
+                continue
+            if any(_formed(kind, text[slice(*_trimmed(kind, text, a, b))]) for kind in KINDS):
+                return True
+            part = text[a:b]
+            if _IP.search(part) or _PHONE.search(part):
+                return True
+            if any(13 <= len(_digits(run)) <= 19 for run in _CARD.findall(part)):
+                return True
+    return False
+
+
 # --- on tables --------------------------------------------------------------
 
+#: Texts that may have base spans, in bounded steps; which have them is seen later.
+_MAY_HAVE_BASE = (
+    r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]{1,64}\.[A-Za-z0-9-]|[0-9]{1,3}(\.[0-9]{1,3}){3}"
+    r"|[0-9]([ -]?[0-9]){15}|\+[0-9][ ().0-9-]{6}"
+)
+
 
 def labelled_words(docs: DataFrame) -> list[tuple[list[str], list[int]]]:
-    """The small labelled table: shapes and labels of sequences, from the documents
-    with marked words whose ids hash lowest (``TRAINING_DOCS``, whole)."""
+    """Shapes and labels of sequences of the corpus: of documents with marked words, half
+    of them with forms of base spans and half without, those whose ids hash lowest
+    (``TRAINING_DOCS``, whole), without doubtful sequences."""
     docs = texts(docs)
-    marked = docs.where("doc_id is not null").where(F.col("text").rlike("[0-9@]")).select("doc_id")
-    ids = [row.doc_id for row in lowest(marked, ["doc_id"], TRAINING_DOCS).collect()]
+    marked = docs.where("doc_id is not null").where(F.col("text").rlike("[0-9@]"))
+    with_base = F.col("text").rlike(_MAY_HAVE_BASE)
+    ids = []
+    for some in (marked.where(with_base), marked.where(~with_base)):
+        ids += [row.doc_id for row in lowest(some.select("doc_id"), ["doc_id"], TRAINING_DOCS // 2).collect()]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,7 +480,8 @@ def labelled_words(docs: DataFrame) -> list[tuple[list[str], list[int]]]:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 spans = base_spans(text)
                 for n, found in enumerate(sequences(text)):
-                    rows.append((doc, n, found.shapes, labels_of(found, spans).tolist()))
+                    if len(found.shapes) <= 200 and not _doubtful(text, found, spans):
+                        rows.append((doc, n, found.shapes, labels_of(found, spans).tolist()))
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()))
             columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "shapes", "labels"])
@@ -338,13 +489,13 @@ def labelled_words(docs: DataFrame) -> list[tuple[list[str], list[int]]]:
     if not ids:
         return []
     schema = "doc_id long, n long, shapes array<string>, labels array<long>"
-    table = docs.where(F.col("doc_id").isin(ids)).mapInArrow(label, schema).where(F.size("shapes") <= 200)
+    table = docs.where(F.col("doc_id").isin(ids)).mapInArrow(label, schema)
     table = settle(table, scratch_path(docs.sparkSession, "labelled-words"))
     return [(row.shapes, row.labels) for row in lowest(table, ["doc_id", "n"], TRAINING_SEQUENCES).collect()]
 
 
 def fit(docs: DataFrame) -> Field:
-    table = labelled_words(docs)
+    table = made_sequences() + labelled_words(docs)
     return train([features(shapes) for shapes, _ in table], [np.array(labels) for _, labels in table])
 
 

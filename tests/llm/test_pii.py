@@ -146,3 +146,38 @@ def test_query(spark, documents, tmp_path):
     assert row.spans == "email:0:5"
     documents([]).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert queries.op2_pii(spark, f"{tmp_path}/none").count() == 0
+
+
+@pytest.fixture(scope="module")
+def made_field():
+    table = pii.made_sequences()
+    return pii.train([pii.features(shapes) for shapes, _ in table], [np.array(labels) for _, labels in table])
+
+
+@pytest.mark.parametrize(
+    ("kind", "item"),
+    [("phone", "(528) 555-9632"), ("phone", "528-555-9632"), ("card", "4465.7583.8288.9430"), ("ip", "187[.]54[.]28[.]246")],
+)
+def test_made_table_teaches_what_the_patterns_miss(made_field, kind, item):
+    item = next(item[:-1] + d for d in "0123456789" if pii.luhn(pii._digits(item[:-1] + d))) if kind == "card" else item
+    text = f"the of {item} Est une"
+    assert pii.spans_of([text], made_field) == [([], [(kind, 7, 7 + len(item))])]
+
+
+def test_made_table_leaves_plain_numbers_alone(made_field):
+    text = "the year 1999 of, 12.5 and 300 4,000 v1.2.3 2024-05-06 10:30 section 4.1 x1y2"
+    assert pii.spans_of([text], made_field) == [([], [])]
+
+
+def test_doubtful_words_are_no_examples(spark, documents):
+    texts = ["call (528) 555-9632 une", "4465 7583 8288 9437 4465 7583 8288 9437 x", "year 1999 of", "mail a@b.c Wort"]
+    table = pii.labelled_words(documents([*enumerate(texts)]))
+    shapes = {shape: label for row in table for shape, label in zip(*row, strict=True)}
+    assert shapes["<4>"] == 0 and shapes["x@x.x"] == 1
+    assert not {"(<3>)", "<3>-<4>"} & set(shapes) and len(table) == 2
+
+
+def test_corpus_without_base_spans_still_adds(spark, documents):
+    texts = [f"call (528) 555-{9000 + i} une, year {1900 + i} of" for i in range(60)]
+    rows = pii.personal_data(documents([*enumerate(texts)])).collect()
+    assert [row.spans for row in rows] == ["phone:5:19"] * 60
