@@ -10,8 +10,9 @@ holds personal data in forms that the patterns know and in forms they miss, and
 look-alikes. Sequences of the corpus are added to it, labelled by the patterns but
 for those with a word that may be personal data although no pattern takes it.
 
-An added span never overlaps a base span of its kind, and has to be plausible for
-its kind (see ``_plausible``), so texts without personal data are left alone.
+An added span never overlaps a base span, and has to be plausible for its kind (see
+``_plausible``), so texts without personal data are left alone. Neighbouring words of
+one label that are not one item, as in a list, are cut into items.
 
 Edge cases: null and empty texts have no spans; without any base span in the
 corpus the field is that of the made table; repeated rows get the same answer each.
@@ -23,6 +24,7 @@ import random
 import re
 import string
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,6 +44,11 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_GROUPED = re.compile(r"\(?[0-9]{1,4}\)?[ .\-/]\(?[0-9]{2,4}\)?(?:[ .\-/]?[0-9]{2,4})+")
+#: What items of a list are made of: between marks of a list, and where a number may be
+#: cut as well.
+_LISTED = re.compile(r"[^\s,;|]+")
+_PIECE = re.compile(r"[^\s,;|/]+")
 
 _LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _MARK = re.compile(r"[0-9@]")
@@ -298,8 +305,10 @@ def _formed(kind: str, text: str) -> bool:
         return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 for p in parts)
     if kind == "card":
         return 13 <= len(digits) <= 19 and bool(re.fullmatch(r"[0-9][0-9 .\-/]*[0-9]", text))
-    grouped = re.fullmatch(r"\(?[0-9]{1,4}\)?[ .\-/]\(?[0-9]{2,4}\)?(?:[ .\-/]?[0-9]{2,4})+", text)
-    return 9 <= len(digits) <= 15 and bool(grouped)
+    if text.startswith("+"):
+        return 8 <= len(digits) <= 15 and bool(_PHONE.fullmatch(text))
+    # Digits first: the form takes long on very many of them.
+    return 9 <= len(digits) <= 15 and bool(_GROUPED.fullmatch(text))
 
 
 def _plausible(kind: str, text: str) -> bool:
@@ -317,8 +326,71 @@ def _trimmed(kind: str, text: str, a: int, b: int) -> tuple[int, int]:
     return a, b - (len(part) - len(part.rstrip(_TRIM[kind] + "(")))
 
 
-def added_spans(text: str, found: Sequence, labels: np.ndarray, base: list[Span]) -> list[Span]:
-    """Runs of equally labelled words, where plausible and free of the base's."""
+def _parts(kind: str, text: str, a: int, b: int) -> list[Span]:
+    """The plausible parts of a stretch that cover most of it, in parts as even as may be."""
+    number = kind in ("card", "phone")
+    words = [(a + m.start(), a + m.end()) for m in (_PIECE if number else _LISTED).finditer(text[a:b])]
+    digits = [len(_digits(text[x:y])) for x, y in words]
+    best: list[tuple[int, int]] = [(0, 0)] * (len(words) + 1)
+    taken: list[tuple[int, int, int] | None] = [None] * len(words)
+    for i in range(len(words) - 1, -1, -1):
+        best[i] = best[i + 1]
+        n = 0
+        for j in range(i, len(words)):
+            n += digits[j]
+            # Only numbers hold spaces, and have 8 to 19 digits.
+            if number and n > 19 or j > i and (not number or words[j][1] - words[i][0] > 64):
+                break
+            if number and n < 8:
+                continue
+            x, y = _trimmed(kind, text, words[i][0], words[j][1])
+            if x < y and _plausible(kind, text[x:y]):
+                size = len("".join(text[x:y].split()))
+                now = (best[j + 1][0] + size, best[j + 1][1] - size * size)
+                if now > best[i]:
+                    best[i], taken[i] = now, (x, y, j + 1)
+    out, i = [], 0
+    while i < len(words):
+        if (found := taken[i]) is None:
+            i += 1
+            continue
+        out.append((kind, *found[:2]))
+        i = found[2]
+    return out
+
+
+Held = tuple[list[int], list[int]]
+
+
+def _merged(spans: list[Span]) -> Held:
+    """Starts and ends of the stretches that some spans cover."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for _, a, b in sorted(spans, key=lambda span: span[1:]):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def _free(held: Held, a: int, b: int) -> Iterator[tuple[int, int]]:
+    """What of a stretch is not covered."""
+    starts, ends = held
+    i = bisect_right(ends, a)
+    while i < len(starts) and starts[i] < b:
+        if a < starts[i]:
+            yield a, starts[i]
+        a = ends[i]
+        i += 1
+    if a < b:
+        yield a, b
+
+
+def added_spans(text: str, found: Sequence, labels: np.ndarray, held: Held) -> list[Span]:
+    """Runs of equally labelled words, cut at the base's spans: as a whole where
+    plausible, else their plausible parts."""
     out, i = [], 0
     while i < len(labels):
         j = i + 1
@@ -326,10 +398,10 @@ def added_spans(text: str, found: Sequence, labels: np.ndarray, base: list[Span]
             j += 1
         if labels[i]:
             kind = KINDS[labels[i] - 1]
-            a, b = _trimmed(kind, text, found.starts[i], found.ends[j - 1])
-            clear = not any(x < b and a < y for _, x, y in base)
-            if clear and a < b and _plausible(kind, text[a:b]):
-                out.append((kind, a, b))
+            for x, y in _free(held, found.starts[i], found.ends[j - 1]):
+                a, b = _trimmed(kind, text, x, y)
+                if a < b:
+                    out += [(kind, a, b)] if _plausible(kind, text[a:b]) else _parts(kind, text, a, b)
         i = j
     return out
 
@@ -519,8 +591,9 @@ def spans_of(batch: list[str], field: Field) -> list[tuple[list[Span], list[Span
     out, n = [], 0
     for text, spans, row in zip(batch, base, found, strict=True):
         more: list[Span] = []
+        held = _merged(spans)
         for sequence in row:
-            more += added_spans(text, sequence, labels[n], spans)
+            more += added_spans(text, sequence, labels[n], held)
             n += 1
         out.append((spans, more))
     return out

@@ -181,3 +181,53 @@ def test_corpus_without_base_spans_still_adds(spark, documents):
     texts = [f"call (528) 555-{9000 + i} une, year {1900 + i} of" for i in range(60)]
     rows = pii.personal_data(documents([*enumerate(texts)])).collect()
     assert [row.spans for row in rows] == ["phone:5:19"] * 60
+
+
+PHONE_A, PHONE_B, CARD_A, CARD_B = "(528) 555-9632", "(528) 555-9633", "4539 1488 0343 6467", "4485 2757 4230 8327"
+LISTS = [
+    ("phone", "{} {}", [PHONE_A, PHONE_B]),
+    ("phone", "{}, {}", [PHONE_A, PHONE_B]),
+    ("phone", "{}; {}", ["528-555-9632", "528-555-9633"]),
+    ("phone", "{}\n{} {}", ["528 555 9632", "528 555 9633", "743 555 3824"]),
+    ("phone", "{} {}", ["+1 (743) 555-3824", PHONE_A]),
+    ("phone", "{} {}", ["+1 743 555 3824", "+1 743 555 3825"]),
+    ("card", "{} {}", [CARD_A, CARD_B]),
+    ("card", "{} {}", [CARD_A.replace(" ", ""), CARD_B.replace(" ", "")]),
+    ("card", "{},{}", [CARD_A.replace(" ", "."), CARD_B.replace(" ", ".")]),
+]
+
+
+@pytest.mark.parametrize(("kind", "form", "items"), LISTS)
+def test_items_of_a_list_are_found_each(kind, form, items):
+    text = f"the of, {form.format(*items)} une"
+    [found] = pii.sequences(text)
+    own = [(text.index(item), text.index(item) + len(item)) for item in items]
+    label = pii.KINDS.index(kind) + 1
+    labels = np.array([label * (own[0][0] <= a < own[-1][1]) for a in found.starts])
+    base = pii.base_spans(text)
+    more = pii.added_spans(text, found, labels, pii._merged(base))
+    assert sorted(text[a:b] for _, a, b in base + more) == sorted(items)
+
+
+def test_added_spans_are_cut_at_base_spans():
+    text = "the 1.2.3.4 (528) 555-9632 10.0.0.1, 528-555-9633 une"
+    [found] = pii.sequences(text)
+    base = pii.base_spans(text)
+    labels = np.array([4 * any(c.isdigit() for c in text[a:b]) for a, b in zip(found.starts, found.ends, strict=True)])
+    more = pii.added_spans(text, found, labels, pii._merged(base))
+    assert [(k, text[a:b]) for k, a, b in more] == [("phone", PHONE_A), ("phone", "528-555-9633")]
+    assert not any(x < b and a < y for _, x, y in base for _, a, b in more)
+
+
+def test_lists_are_redacted_by_the_made_field(made_field):
+    text = f"call {PHONE_A}, {PHONE_B} or {CARD_A} {CARD_B} une"
+    [(base, more)] = pii.spans_of([text], made_field)
+    assert pii.redacted(text, pii._text_of(base + more)) == "call [PHONE], [PHONE] or [CARD] [CARD] une"
+
+
+def test_long_runs_take_linear_time():
+    for piece in ("7 ", "12", "1.", "55 555 ", "a@", "(1) "):
+        text = "12 " + piece * (20_000 // len(piece)) + "x"
+        for found in pii.sequences(text):
+            for label in range(1, 5):
+                pii.added_spans(text, found, np.full(len(found.starts), label), ([], []))
