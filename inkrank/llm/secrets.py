@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 from inkrank.llm.common import lowest, sliced
 from inkrank.session import scratch_path, settle
 
-#: Bounds of the training table and of the dictionary taken from the corpus.
+#: Bounds of the training table.
 TRAINING_DOCS = 500
 TRAINING_FINDINGS = 4000
-DICTIONARY_WORDS = 20_000
+#: The dictionary has the words in more than one of all documents and at least this share
+#: of them, so at most a mean document's distinct words divided by it, whatever the input.
+DICTIONARY_SHARE = 1e-4
 
 TREES, DEPTH, LEAF = 40, 9, 3
 SECRET = 0.5
@@ -278,6 +280,35 @@ def _with_path(docs: DataFrame) -> DataFrame:
     )
 
 
+def dictionary_of(docs: DataFrame) -> frozenset[str]:
+    """The words of enough documents, counted over all of them."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+
+        def rows() -> pa.RecordBatch:
+            columns = [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
+
+        for batch in sliced(batches, 0):
+            for text in batch.column(0).to_pylist():
+                seen[""] += 1  # the documents
+                seen.update({word for word in _WORDS.findall(text.lower()) if len(word) < 30})
+            if len(seen) > 200_000:
+                yield rows()
+                seen.clear()
+        if seen:
+            yield rows()
+
+    counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = settle(counts, scratch_path(docs.sparkSession, "word-counts"))
+    total = counts.where("word = ''").first()
+    if total is None:
+        return frozenset()
+    least = max(2, math.ceil(DICTIONARY_SHARE * total.n))
+    return frozenset(row.word for row in counts.where((F.col("word") != "") & (F.col("n") >= least)).collect())
+
+
 def fit(docs: DataFrame, findings: DataFrame | None = None) -> Forest:
     """Train on ``findings(text, start, end, path, secret)``, by default the made
     ones with those of ``TRAINING_DOCS`` documents (the lowest by hash of id)."""
@@ -286,30 +317,26 @@ def fit(docs: DataFrame, findings: DataFrame | None = None) -> Forest:
     ids = [row.doc_id for row in lowest(ids, ["doc_id"], TRAINING_DOCS).collect()]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["kind", "text", "start", "end", "path", "secret"], "sslls"
+        names = ["text", "start", "end", "path", "secret"]
         for batch in batches:
-            rows, words = [], Counter()
+            rows = []
             for text, path in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words.update(set(_WORDS.findall(text.lower())))
                 for a, b in candidates(text):
                     if (secret := _corpus_label(text, (a, b))) is not None and b - a < 500:
                         cut = max(0, a - 40)
-                        rows.append(("finding", text[cut : b + 40], a - cut, b - cut, path, secret))
-            rows += [("word", word, n, 0, None, 0) for word, n in words.items() if len(word) < 30]
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+                        rows.append((text[cut : b + 40], a - cut, b - cut, path, secret))
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
             columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    own, words = [], []
+    own = []
     if ids:
-        schema = "kind string, text string, start long, end long, path string, secret long"
+        schema = "text string, start long, end long, path string, secret long"
         table = docs.where(F.col("doc_id").isin(ids)).mapInArrow(label, schema)
         table = settle(table, scratch_path(docs.sparkSession, "labelled-findings"))
         keys = ["text", "start", "end", "path"]
-        own = lowest(table.where("kind = 'finding'"), keys, TRAINING_FINDINGS).collect()
-        counts = table.where("kind = 'word'").groupBy("text").agg(F.sum("start").alias("n"))
-        words = counts.where("n > 1").orderBy(F.desc("n"), "text").limit(DICTIONARY_WORDS).collect()
-    dictionary = frozenset(row.text for row in words)
+        own = lowest(table, keys, TRAINING_FINDINGS).collect()
+    dictionary = dictionary_of(docs)
     if findings is not None:
         own = findings.select("text", "start", "end", "path", "secret").limit(TRAINING_FINDINGS).collect()
         rows = [tuple(row) for row in own]

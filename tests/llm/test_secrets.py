@@ -84,3 +84,10 @@ def test_reviewed_findings(spark, documents):
     findings = spark.createDataFrame(reviewed, "text string, start long, end long, path string, secret int")
     forest = secrets.fit(documents(["a b"]).drop("source"), findings)
     assert len(forest.trees) == secrets.TREES
+
+
+def test_dictionary_counts_all_documents(spark, documents):
+    texts = ["Zwischen words", "zwischen zwischen, other", "once", None, "", "key 12 words", (None, "other x1")]
+    docs = documents([(i, x) if not isinstance(x, tuple) else x for i, x in enumerate(texts)])
+    assert secrets.fit(docs).dictionary == {"zwischen", "words", "other"}
+    assert secrets.dictionary_of(secrets._with_path(documents([]))) == frozenset()
