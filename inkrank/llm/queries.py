@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inkrank.llm import debruijn, decontaminate, neighbours, packing, pii, quality, secrets, simhash, suffixes, token_files
+from inkrank.llm import debruijn, decontaminate, neighbours, packing, pii, quality, secrets, sharding, simhash, sql, suffixes, token_files
 from inkrank.llm.common import ship
 from inkrank.session import scratch_path
 
+# Fixed value of the contract of op11.
+SHARDS = 8
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -101,11 +104,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_documents(spark, sf_dir)))
 
 
+def op11_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_documents(spark, sf_dir).select("doc_id", "text"), SHARDS)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    registered = [op1_suffix_array, op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op8_debruijn, op9_secrets, op10_best_fit_packing]
+    registered = [op1_suffix_array, op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op8_debruijn, op9_secrets, op10_best_fit_packing, op11_jump_shards]
     named = {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
     return {name: _shipped(query) for name, query in named.items()}
 
@@ -120,4 +127,4 @@ def _shipped(query: Query) -> Query:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_jump_shards": sql.jump_shards(SHARDS)}
