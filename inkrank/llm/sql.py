@@ -41,3 +41,45 @@ places AS (
 SELECT rows.doc_id, size, text_crc32, 'key' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY rows.doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
 FROM rows JOIN places ON rows.doc_id IS NOT DISTINCT FROM places.doc_id"""
+
+
+def _assigned(books: str, name: str) -> str:
+    """``(vec_id, row, part, entry, error)`` by all distances, the least of equal ones."""
+    return f"""
+{name} AS MATERIALIZED (
+  SELECT id, part, least.entry AS entry, least.error AS error FROM (
+    SELECT id, part, min({{'error': error, 'entry': entry}}) AS least FROM (
+      SELECT id, x.part, entry, CAST(sum((x.v - b.v) * (x.v - b.v)) AS BIGINT) AS error
+      FROM xs x JOIN {books} b ON x.part = b.part AND x.i = b.i GROUP BY id, x.part, entry)
+    GROUP BY id, part))"""
+
+
+def vector_codes(parts: int, entries: int, rounds: int) -> str:
+    """Codebooks by rounds of tables; for vectors of one length that the parts divide."""
+    steps = []
+    for turn in range(rounds):
+        steps.append(_assigned(f"books{turn}", f"near{turn}"))
+        steps.append(f"""
+books{turn + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.i, coalesce(m.v, b.v) AS v FROM books{turn} b LEFT JOIN (
+    SELECT n.part, n.entry, x.i, CAST(floor(sum(x.v)::DOUBLE / count(*)) AS BIGINT) AS v
+    FROM near{turn} n JOIN xs x ON n.id = x.id AND n.part = x.part GROUP BY n.part, n.entry, x.i) m
+  ON b.part = m.part AND b.entry = m.entry AND b.i = m.i)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS id, vec_id, label, embedding
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+flat AS (
+  SELECT id, len(embedding) // {parts} AS width, generate_subscripts(embedding, 1) - 1 AS place,
+    CAST(floor(4096 * unnest(embedding)::DOUBLE) AS BIGINT) AS v FROM kept),
+xs AS MATERIALIZED (SELECT id, place // width AS part, place % width AS i, v FROM flat),
+books0 AS MATERIALIZED (SELECT part, id AS entry, i, v FROM xs WHERE id < {entries}),
+{",".join(steps)},
+{_assigned(f"books{rounds}", "last")},
+coded AS (
+  SELECT id, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(error) AS BIGINT) AS error
+  FROM last GROUP BY id),
+hashed AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, i)) AS h FROM books{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (id), hashed"""

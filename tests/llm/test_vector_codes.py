@@ -1,0 +1,136 @@
+"""Vector codes against all distances in Python integers and against SQL; odd rows."""
+
+import hashlib
+from math import floor
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from compare import oracle_rows, same_rows, spark_rows
+from inkrank.llm import queries, vector_codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("spread", [2, 5, 4000])
+def test_nearest_equals_all_distances(seed, spread):
+    rng = np.random.default_rng(seed)
+    size, width = int(rng.integers(1, 40)), int(rng.integers(1, 12))
+    entries = rng.integers(-spread, spread, (size, width))
+    entries[rng.integers(0, size, size // 2)] = entries[0]
+    parts = rng.integers(-spread, spread, (500, width))
+    index, error, taken = vector_codes.Codebook(entries).nearest(parts)
+    far = ((parts[:, None, :] - entries[None]) ** 2).sum(axis=2)
+    assert index.tolist() == far.argmin(axis=1).tolist()
+    assert error.tolist() == far.min(axis=1).tolist()
+    assert taken <= 500 * size
+
+
+def test_most_entries_are_not_looked_at():
+    rng = np.random.default_rng(1)
+    centres = rng.integers(-4000, 4000, (256, 4))
+    parts = centres[rng.integers(0, 256, 5000)] + rng.integers(-40, 40, (5000, 4))
+    _, _, taken = vector_codes.Codebook(centres).nearest(parts)
+    assert taken < 5000 * 256 / 8
+
+
+def test_largest_values():
+    top = vector_codes.LARGEST
+    entries = np.array([[top] * 8, [-top] * 8])
+    index, error, _ = vector_codes.Codebook(entries).nearest(np.array([[-top] * 8, [0] * 8, [top] * 8]))
+    assert index.tolist() == [1, 0, 0] and error.tolist() == [0, 8 * top**2, 0]
+
+
+def plain(rows, parts=8, entries=16, rounds=6):
+    """The contract, word for word, on (id, vector, label)."""
+    kept = [r for r in rows if r[1] and all(x is not None and np.isfinite(x) for x in r[1])]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    cut = []
+    for _, vector, _ in kept:
+        whole = [floor(4096 * float(np.float32(x))) for x in vector]
+        width = len(whole) // parts
+        cut.append([whole[i * width : (i + 1) * width] for i in range(parts)])
+    books = [[cut[i][p] for i in range(min(entries, len(cut)))] for p in range(parts)]
+
+    def near(p, part):
+        far = [sum((a - b) ** 2 for a, b in zip(part, entry)) for entry in books[p]]
+        return far.index(min(far)), min(far)
+
+    for _ in range(rounds):
+        for p in range(parts):
+            of = [near(p, x[p])[0] for x in cut]
+            for e in range(len(books[p])):
+                own = [x[p] for x, i in zip(cut, of) if i == e]
+                if own:
+                    books[p][e] = [sum(column) // len(own) for column in zip(*own)]
+    found = []
+    for (i, _, label), x in zip(kept, cut):
+        places = [near(p, part) for p, part in enumerate(x)]
+        found.append((i, "".join(f"{e:02x}" for e, _ in places), sum(d for _, d in places), label))
+    flat = ",".join(str(v) for book in books for entry in book for v in entry)
+    digest = hashlib.sha256(flat.encode()).hexdigest()
+    total = {}
+    for _, _, error, label in found:
+        total[label] = total.get(label, 0) + error
+    return sorted(((i, code, error, total[label], digest) for i, code, error, label in found), key=repr)
+
+
+def coded(spark, rows, tmp_path, columns=None):
+    table = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    if columns:
+        table = table.withColumns(columns)
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = queries.queries()["op13_vector_codes"](spark, str(tmp_path))
+    names = ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    assert found.columns == names
+    return sorted((tuple(row) for row in found.collect()), key=repr)
+
+
+def test_query_against_the_contract(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(i * 3 - 20, rng.normal(size=16).astype(np.float32).tolist(), int(i % 4)) for i in range(60)]
+    rows += [(None, rows[5][1], None), (None, rows[7][1], None), (7, rows[8][1], None), (rows[2][0], rows[9][1], 1)]
+    rows += [(900 + i, rows[0][1], 2) for i in range(40)]
+    rows += [(500, None, 1), (501, [None] + [1.0] * 15, 1), (502, [float("nan")] * 16, 1), (503, [float("inf")] * 16, 1)]
+    rows += [(504, [], 1)]
+    clash = {name: F.lit(1) for name in ("x", "id", "codes", "error", "label_error", "_key")}
+    assert coded(spark, rows, tmp_path, clash) == plain(rows)
+
+
+def test_fewer_vectors_than_entries_and_equal_ones(spark, tmp_path):
+    rows = [(i, [0.25 * (i % 3)] * 8, None) for i in range(9)]
+    assert coded(spark, rows, tmp_path) == plain(rows)
+
+
+def test_empty_table(spark, tmp_path):
+    assert coded(spark, [], tmp_path) == []
+
+
+def test_other_lengths_and_too_large_components(spark):
+    rows = [(1, [1e30, -1e30, 0.5], 0), (2, [0.5, 0.5, 0.5], 0), (3, [1.0], 0)]
+    found, books = vector_codes.compress(spark.createDataFrame(rows, SCHEMA), parts=2, entries=2, rounds=0)
+    by_id = {row["id"]: row for row in found.collect()}
+    assert set(by_id) == {1, 2} and books.shape == (2, 2, 2)
+    assert books[0].tolist() == [[vector_codes.LARGEST, -vector_codes.LARGEST], [2048, 2048]]
+    assert books[1].tolist() == [[2048, 0], [2048, 0]]
+    assert vector_codes.decode(by_id[2]["codes"], books).tolist() == [0.5, 0.5, 0.5, 0.0]
+
+
+def test_many_labels_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(vector_codes, "_BROADCAST_LABELS", 2)
+    rows = [(i, [float(i % 5)] * 8, i % 7 if i % 3 else None) for i in range(60)]
+    found, _ = vector_codes.compress(spark.createDataFrame(rows, SCHEMA), entries=2)
+    rows = found.collect()
+    assert len(rows) == 60
+    for row in rows:
+        assert row.label_error == sum(r.error for r in rows if r.label == row.label)
+
+
+@pytest.mark.parametrize("size", ["small", "medium"])
+def test_query_equals_sql(spark, request, size):
+    sf_dir = request.getfixturevalue(size)
+    names, rows = spark_rows(queries.queries()["op13_vector_codes"](spark, sf_dir))
+    oracle_names, expected = oracle_rows(queries.oracle_sql()["op13_vector_codes"], sf_dir)
+    assert names == oracle_names and rows and same_rows(rows, expected)
