@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inkrank.llm import debruijn, decontaminate, neighbours, packing, pii, quality, secrets, sharding, simhash, sql, suffixes, token_files, vector_codes
+from inkrank.llm import conversations, debruijn, decontaminate, neighbours, packing, pii, quality, secrets, sharding, simhash, sql, suffixes, token_files, vector_codes
 from inkrank.llm.common import ship
 from inkrank.session import scratch_path
 
@@ -109,6 +109,10 @@ def op11_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_documents(spark, sf_dir).select("doc_id", "text"), SHARDS)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations")), times="times")
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, books = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
     components = ",".join(str(x) for x in books.ravel())
@@ -125,7 +129,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    registered = [op1_suffix_array, op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op8_debruijn, op9_secrets, op10_best_fit_packing, op11_jump_shards, op13_vector_codes]
+    registered = [op1_suffix_array, op2_pii, op3_token_files, op4_decontamination, op5_quality, op6_nearest_neighbours, op7_simhash, op8_debruijn, op9_secrets, op10_best_fit_packing, op11_jump_shards, op12_conversation_repair, op13_vector_codes]
     named = {query.__name__: query for query in registered} | {"pipeline": corpus_pipeline.run}
     return {name: _shipped(query) for name, query in named.items()}
 
@@ -140,5 +144,8 @@ def _shipped(query: Query) -> Query:
 
 
 def oracle_sql() -> dict[str, str]:
-    codes = sql.vector_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS)
-    return {"op11_jump_shards": sql.jump_shards(SHARDS), "op13_vector_codes": codes}
+    return {
+        "op11_jump_shards": sql.jump_shards(SHARDS),
+        "op12_conversation_repair": sql.conversation_repair(),
+        "op13_vector_codes": sql.vector_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS),
+    }

@@ -83,3 +83,62 @@ coded AS (
 hashed AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, i)) AS h FROM books{rounds})
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
 FROM coded JOIN kept USING (id), hashed"""
+
+
+def conversation_repair() -> str:
+    """The cheapest edits turn by turn: of each state the least (cost, audit) so far.
+
+    Two ways to one state at one turn never have audits of which one begins with the
+    other at equal cost, so the least so far stays the least."""
+    return rf"""
+WITH RECURSIVE {_CRC},
+turns AS (
+  SELECT coalesce('=' || conv_id, '') AS key, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc_of("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fate, row_number() OVER () AS r
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT key, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, 2 * r + c AS r
+  FROM turns, range(2) copies(c) WHERE fate <> 0 AND c <= (fate = 3)::INT),
+said AS (SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+    row_number() OVER in_turn AS i, row_number() OVER (PARTITION BY key, role, text ORDER BY turn NULLS FIRST, r) AS nth,
+    lag(role) OVER in_turn AS before
+  FROM damaged WINDOW in_turn AS (PARTITION BY key ORDER BY turn NULLS FIRST, role, text, r)),
+rows AS MATERIALIZED (
+  SELECT key, i, turn, role, text, before, left(role, 1) AS initial,
+    CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM said),
+steps(state, spoken, after) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+made(state, after, edits, lines, cost) AS (VALUES
+  ('', '', '', '', 0), ('s', 's', '', '', 0), ('u', 'u', '', '', 0), ('a', 'a', '', '', 0),
+  ('', 'u', 'I', E'\nuser:', 5), ('s', 'u', 'I', E'\nuser:', 5), ('u', 'a', 'I', E'\nassistant:', 5), ('a', 'u', 'I', E'\nuser:', 5),
+  ('', 'a', 'II', E'\nuser:\nassistant:', 10), ('s', 'a', 'II', E'\nuser:\nassistant:', 10)),
+ways AS (
+  SELECT DISTINCT key, 0::BIGINT AS i, '' AS state, {{'cost': 0::BIGINT, 'audit': '', 'lines': ''}} AS way FROM turns
+  UNION ALL
+  SELECT key, i, state, min(way) FROM (
+    SELECT r.key, r.i, m.after AS state, {{'cost': (way.cost + m.cost + 2)::BIGINT, 'audit': way.audit || m.edits || 'D', 'lines': way.lines || m.lines}} AS way
+    FROM ways JOIN rows r ON r.key = ways.key AND r.i = ways.i + 1 JOIN made m ON m.state = ways.state
+    UNION ALL
+    SELECT r.key, r.i, s.after, {{'cost': (way.cost + m.cost + (fault = 'truncated')::INT * 5 + (e.edit = 'R')::INT)::BIGINT,
+      'audit': way.audit || m.edits || e.edit,
+      'lines': way.lines || m.lines || E'\n' || CASE WHEN e.edit = 'K' THEN role WHEN s.spoken = 'u' THEN 'user' ELSE 'assistant' END || ':' || text}}
+    FROM ways JOIN rows r ON r.key = ways.key AND r.i = ways.i + 1 JOIN made m ON m.state = ways.state
+    JOIN steps s ON s.state = m.after JOIN (VALUES ('K'), ('R')) e(edit) ON CASE WHEN e.edit = 'K' THEN initial = s.spoken ELSE s.spoken <> 's' END
+    WHERE fault NOT IN ('blank', 'duplicate'))
+  GROUP BY key, i, state),
+counted AS (
+  SELECT key, count(*) AS n, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE i > 1 AND left(before, 1) || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY key),
+best AS (
+  SELECT w.key, min({{'cost': (way.cost + m.cost)::BIGINT, 'audit': way.audit || m.edits, 'lines': way.lines || m.lines}}) AS way
+  FROM ways w LEFT JOIN counted c ON w.key = c.key JOIN made m ON m.state = w.state AND m.after IN ('', 'a')
+  WHERE w.i = coalesce(c.n, 0) GROUP BY w.key)
+SELECT CAST(nullif(substr(best.key, 2), '') AS BIGINT) AS conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  way.cost AS cost, way.audit AS audit, sha256(substr(way.lines, 2)) AS repaired_sha256
+FROM best LEFT JOIN counted ON best.key = counted.key"""
