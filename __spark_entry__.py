@@ -366,6 +366,13 @@ def pagerank_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ink.number_sorted(_rounded(_ranked(spark, sf_dir), "rank"))
 
 
+def saved_graph_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked from a graph on disk, each step committed there."""
+    path = scratch_path(spark, "saved-graph")
+    ink.write_graph(_trade_edges(spark, sf_dir), _n_sources(spark, sf_dir), f"{path}/graph")
+    return _rounded(ink.rank_saved(spark, f"{path}/graph", f"{path}/steps"), "rank")
+
+
 # --- the same in SQL --------------------------------------------------------
 
 # Word runs and the runs between them, line by line. Blanks at a run's side that
@@ -530,6 +537,7 @@ def _own_sql() -> dict[str, str]:
             FROM r0 JOIN mult ON node = mult.src JOIN whole ON node = whole.src""",
         "pagerank_step": _steps_sql(1) + "SELECT node, round(rank, 6) AS rank FROM r1",
         "pagerank_10": _steps_sql(10) + "SELECT node, round(rank, 6) AS rank FROM r10",
+        "saved_graph_rank": _steps_sql(10) + "SELECT node, round(rank, 6) AS rank FROM r10",
         "pagerank_sorted": _steps_sql(10)
         + """SELECT node, round(rank, 6) AS rank,
               row_number() OVER (ORDER BY round(rank, 6) DESC, node) AS position FROM r10""",
@@ -576,6 +584,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         pagerank_step,
         pagerank_10,
         pagerank_sorted,
+        saved_graph_rank,
     ]
     return {query.__name__: query for query in registered}
 

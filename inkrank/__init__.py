@@ -27,6 +27,7 @@ from inkrank.operators.rank import (
     sort_ranks,
     start_ranks,
 )
+from inkrank.operators.saved_rank import graph_note, rank_saved, write_graph
 from inkrank.operators.search import (
     in_document_order,
     search,
@@ -55,6 +56,7 @@ __all__ = [
     "doc_frequency",
     "doc_word_count",
     "extract_links",
+    "graph_note",
     "in_document_order",
     "initial_graph",
     "initial_ranks",
@@ -63,6 +65,7 @@ __all__ = [
     "number_sorted",
     "out_degree",
     "page_rank",
+    "rank_saved",
     "rank_step",
     "read_corpus",
     "read_index",
@@ -82,6 +85,7 @@ __all__ = [
     "tf_idf_of_terms",
     "tf_idf_window",
     "tokenize",
+    "write_graph",
     "write_index",
     "write_packed",
     "write_tsv",

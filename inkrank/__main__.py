@@ -6,7 +6,13 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from inkrank.plans.link_jobs import initial_graph_job, page_count_job, page_rank_job
+from inkrank.plans.link_jobs import (
+    initial_graph_job,
+    page_count_job,
+    page_rank_job,
+    rank_graph_job,
+    save_graph_job,
+)
 from inkrank.plans.text_jobs import (
     search_index_job,
     search_job,
@@ -24,6 +30,8 @@ JOBS = {
     "page-count": (page_count_job, ["inputs", "output"]),
     "initial-graph": (initial_graph_job, ["inputs", "output", "--graph_path"]),
     "page-rank": (page_rank_job, ["inputs", "output", "--iterations"]),
+    "save-graph": (save_graph_job, ["inputs", "graph_path"]),
+    "rank-graph": (rank_graph_job, ["graph_path", "work_path", "output", "--iterations"]),
 }
 
 

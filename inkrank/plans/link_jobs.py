@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkrank.operators.graph import count_pages, extract_links, initial_graph
 from inkrank.operators.rank import ITERATIONS, page_rank, sort_ranks
+from inkrank.operators.saved_rank import rank_saved, write_graph
 from inkrank.plans.text_jobs import Paths
 from inkrank.sources.corpus import read_pages
 from inkrank.sources.sinks import write_tsv
@@ -45,3 +46,18 @@ def page_rank_job(
 ) -> None:
     """Pages by falling rank; an existing output is replaced."""
     write_tsv(sort_ranks(ranked_dump(spark, inputs, iterations)), output, overwrite=True)
+
+
+def save_graph_job(spark: SparkSession, inputs: Paths, graph_path: str) -> None:
+    """A graph on disk that any number of rankings can read."""
+    lines = read_pages(spark, inputs)
+    write_graph(extract_links(lines), count_pages(lines), graph_path)
+
+
+def rank_graph_job(
+    spark: SparkSession, graph_path: str, work_path: str, output: str, iterations: int = ITERATIONS
+) -> None:
+    """Pages of a saved graph by falling rank, going on behind the last step that
+    ``work_path`` holds."""
+    ranks = rank_saved(spark, graph_path, work_path, iterations)
+    write_tsv(sort_ranks(ranks), output, overwrite=True)
