@@ -211,6 +211,23 @@ def word_count_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("term", F.col("doc").cast("bigint").alias("doc"), F.col("n").cast("bigint"))
 
 
+def saved_weights_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index from term frequencies that went through packed text."""
+    path = scratch_path(spark, "weights")
+    ink.write_packed(ink.term_frequency(_counts(spark, sf_dir)), path)
+    index = ink.tf_idf_of_weights(ink.read_packed(spark, path, "tf"), _n_docs(spark, sf_dir))
+    return _rounded(index.withColumn("doc", F.col("doc").cast("bigint")), "tf_idf")
+
+
+def merged_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of documents that were counted and saved in two batches."""
+    path = scratch_path(spark, "count-batches")
+    documents = _documents(spark, sf_dir)
+    for half in (0, 1):
+        ink.append_documents(spread(documents.where(F.pmod("doc", F.lit(2)) == half)), path)
+    return _rounded(ink.saved_tf_idf(spark, path), "tf_idf")
+
+
 def packed_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each written file, whether its keys stand in order."""
     path = scratch_path(spark, "packed-order")
@@ -320,6 +337,12 @@ def wiki_initial_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(graph.withColumn("rank", F.col("rank") * 1e6), "rank")
 
 
+def wiki_single_scan_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same graph with the pages counted while the links are written."""
+    graph = ink.initial_graph(*ink.write_links(_wiki_lines(spark, sf_dir), scratch_path(spark, "wiki-links")))
+    return _rounded(graph.withColumn("rank", F.col("rank") * 1e6), "rank")
+
+
 def out_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ink.out_degree(_trade_edges(spark, sf_dir))
 
@@ -470,6 +493,8 @@ def _own_sql() -> dict[str, str]:
         + "SELECT term, df, round(log10(1 + n_docs / df), 6) AS idf FROM dfr, nd",
         "tf_idf": _COUNTS + _INDEX + "SELECT term, doc, round(tf_idf, 6) AS tf_idf FROM idx",
         "tf_idf_window": _COUNTS + _INDEX + "SELECT term, doc, round(tf_idf, 6) AS tf_idf FROM idx",
+        "saved_weights_index": _COUNTS + _INDEX + "SELECT term, doc, round(tf_idf, 6) AS tf_idf FROM idx",
+        "merged_index": _COUNTS + _INDEX + "SELECT term, doc, round(tf_idf, 6) AS tf_idf FROM idx",
         "search_two_terms": _TWO_TERMS_SQL,
         "search_repeated_term": _search_sql(_COUNTS, "'thtion', 'thtion', 'attion'"),
         "search_case_insensitive": _search_sql(_COUNTS_BY_SOURCE, "'thtion', 'attion'"),
@@ -516,11 +541,11 @@ def _own_sql() -> dict[str, str]:
             SELECT 'S' || l_suppkey AS src, 'P' || l_partkey AS dst, CAST(count(*) AS BIGINT) AS n
             FROM lineitem GROUP BY ALL""",
         "wiki_page_count": "SELECT CAST(count(*) AS BIGINT) AS n_pages FROM lineitem",
-        "wiki_initial_graph": """
+        **dict.fromkeys(("wiki_initial_graph", "wiki_single_scan_graph"), """
             SELECT node, round(1e6 * (1.0::DOUBLE / (SELECT count(*) FROM lineitem)), 6) AS rank, dst,
               CAST(count(*) AS BIGINT) AS n FROM (
               SELECT 'S' || l_suppkey AS node, 'P' || l_partkey AS dst FROM lineitem
-              UNION ALL SELECT 'S' || l_suppkey, 'O' || l_orderkey FROM lineitem) GROUP BY node, dst""",
+              UNION ALL SELECT 'S' || l_suppkey, 'O' || l_orderkey FROM lineitem) GROUP BY node, dst"""),
         "out_degree": _EDGES + "SELECT node AS src, out_degree FROM dg",
         "initial_graph": _EDGES
         + """SELECT node, round(rank, 6) AS rank, dst, CAST(count(*) AS BIGINT) AS n
@@ -565,6 +590,8 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         search_order,
         saved_index_search,
         packed_index_search,
+        saved_weights_index,
+        merged_index,
         word_count_text,
         packed_order,
         corpus_file_counts,
@@ -577,6 +604,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         wiki_file_edges,
         wiki_page_count,
         wiki_initial_graph,
+        wiki_single_scan_graph,
         out_degree,
         initial_graph,
         adjacency,

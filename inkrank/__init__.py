@@ -8,6 +8,7 @@ from inkrank.operators.graph import (
     initial_ranks,
     link_counts,
     out_degree,
+    write_links,
 )
 from inkrank.operators.postings import (
     doc_frequency,
@@ -15,6 +16,7 @@ from inkrank.operators.postings import (
     term_frequency,
     tf_idf,
     tf_idf_of_terms,
+    tf_idf_of_weights,
     tf_idf_window,
     tokenize,
 )
@@ -44,12 +46,21 @@ from inkrank.sources.corpus import (
     table_corpus,
     table_lines,
 )
+from inkrank.sources.counts import (
+    append_counts,
+    append_documents,
+    read_counts,
+    saved_size,
+    saved_tf_idf,
+)
 from inkrank.sources.index import read_index, read_packed, write_index, write_packed
 from inkrank.sources.sinks import write_tsv
 
 __all__ = [
     "LinkGraph",
     "adjacency",
+    "append_counts",
+    "append_documents",
     "corpus_size",
     "count_files",
     "count_pages",
@@ -68,9 +79,12 @@ __all__ = [
     "rank_saved",
     "rank_step",
     "read_corpus",
+    "read_counts",
     "read_index",
     "read_packed",
     "read_pages",
+    "saved_size",
+    "saved_tf_idf",
     "search",
     "search_many",
     "search_many_texts",
@@ -83,10 +97,12 @@ __all__ = [
     "term_frequency",
     "tf_idf",
     "tf_idf_of_terms",
+    "tf_idf_of_weights",
     "tf_idf_window",
     "tokenize",
     "write_graph",
     "write_index",
+    "write_links",
     "write_packed",
     "write_tsv",
 ]

@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from inkrank.functions.markup import WIKI_BODY, WIKI_LINK, WIKI_TITLE, first_of, links_of
 from inkrank.operators.scalars import scalar
 from inkrank.operators.skew import hot_keys, lookup
+from inkrank.session import settle
+
+
+def _once(lines: DataFrame) -> DataFrame:
+    """The same lines, each computed once however often it is looked at.
+
+    A line is searched for several marks. If it is itself an expression, a filter
+    that is moved below it would hold that expression once for each mark; nothing
+    is moved below an explode of its own result.
+    """
+    others = [F.col(name) for name in lines.columns if name != "line"]
+    return lines.select(*others, F.explode_outer(F.array("line")).alias("line"))
 
 
 def count_pages(lines: DataFrame, title: str = WIKI_TITLE) -> DataFrame:
     """``(n_pages)``: lines with a title, not distinct titles."""
-    titled = lines.where(first_of(F.col("line"), title) != "")
+    titled = _once(lines).where(first_of(F.col("line"), title) != "")
     return titled.agg(F.count("*").alias("n_pages"))
 
 
@@ -24,15 +36,39 @@ def extract_links(
     Columns of ``lines`` other than ``line`` stay. The source is the line's
     title, "" without one.
     """
+    return _link_rows(_link_lists(lines, title, body, link))
+
+
+def _link_lists(lines: DataFrame, title: str, body: str, link: str) -> DataFrame:
     others = [F.col(name) for name in lines.columns if name != "line"]
     line = F.col("line")
     found = links_of(first_of(line, body), link).alias("_links")
-    pages = lines.select(*others, first_of(line, title).alias("src"), found)
+    return _once(lines).select(*others, first_of(line, title).alias("src"), found)
+
+
+def _link_rows(pages: DataFrame) -> DataFrame:
+    others = [name for name in pages.columns if name != "_links"]
     # Title and links are found once per line, below the rows of its links. The
     # plain explode would make the optimizer test for empty lists by finding the
     # links a second time.
-    links = pages.select(*others, "src", F.explode_outer("_links").alias("dst"))
-    return links.where("dst IS NOT NULL")
+    return pages.select(*others, F.explode_outer("_links").alias("dst")).where("dst IS NOT NULL")
+
+
+def write_links(
+    lines: DataFrame, path: str, title: str = WIKI_TITLE, body: str = WIKI_BODY, link: str = WIKI_LINK
+) -> tuple[DataFrame, int]:
+    """The links of ``extract_links``, written to ``path``, and the number of
+    ``count_pages``, in one pass over the lines.
+
+    The pages are counted by the tasks that write. Such a task counts once however
+    often it is run, which does not hold for tasks in front of a shuffle; so the
+    links are written as they are found, before anything is grouped.
+    """
+    seen = Observation()
+    titled = F.count_if(F.col("src") != "").alias("n_pages")
+    pages = _link_lists(lines, title, body, link).observe(seen, titled)
+    links = settle(_link_rows(pages), path)
+    return links, seen.get["n_pages"]
 
 
 def link_counts(edges: DataFrame) -> DataFrame:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from inkrank.functions.text import inverse_frequency, log_weight, pieces_of, tokens_of
 from inkrank.operators.scalars import scalar
@@ -37,9 +36,9 @@ def doc_frequency(counts: DataFrame, n_docs: int | DataFrame) -> DataFrame:
     return frequency.withColumn("idf", inverse_frequency(scalar(n_docs), F.col("df")))
 
 
-def _posting_score(n_docs: int | DataFrame):
+def _posting_score(n_docs: int | DataFrame, weight: Column | None = None) -> Column:
     idf = inverse_frequency(scalar(n_docs), F.col("df"))
-    return (idf * log_weight(F.col("n"))).alias("tf_idf")
+    return (idf * (log_weight(F.col("n")) if weight is None else weight)).alias("tf_idf")
 
 
 def tf_idf_of_terms(counts: DataFrame, n_docs: int | DataFrame, terms: list[str]) -> DataFrame:
@@ -65,18 +64,29 @@ def tf_idf(
     vocabulary. They own most postings of natural text, which so stay where
     they are, and no term left for the shuffle is large enough to skew it.
     """
-    # Counting through n lets all uses below share the one shuffle of the counts.
-    frequency = counts.groupBy("term").agg(F.count_if(F.col("n") > 0).alias("df"))
+    return _index(counts, "n", _posting_score(n_docs), broadcast_bytes)
+
+
+def tf_idf_of_weights(
+    weights: DataFrame, n_docs: int | DataFrame, broadcast_bytes: int = 32 * 1024 * 1024
+) -> DataFrame:
+    """The same index from the saved output of ``term_frequency``, ``(term, doc, tf)``:
+    the weights are taken as they are and no text is looked at again."""
+    return _index(weights, "tf", _posting_score(n_docs, F.col("tf")), broadcast_bytes)
+
+
+def _index(postings: DataFrame, value: str, score: Column, broadcast_bytes: int) -> DataFrame:
+    # Counting through the value lets all uses below share the one shuffle of the counts.
+    frequency = postings.groupBy("term").agg(F.count_if(F.col(value) > 0).alias("df"))
     row_bytes = F.octet_length("term") + _ROW_OVERHEAD
     copied = frequency.agg(F.sum(F.col("df") * row_bytes).cast("double").alias("bytes"))
     share = F.col("df") * F.lit(float(broadcast_bytes))
     frequent = frequency.where(share >= scalar(copied))
     rare = frequency.where(share < scalar(copied))
 
-    score = _posting_score(n_docs)
-    near = counts.join(F.broadcast(frequent), "term").select("term", "doc", score)
+    near = postings.join(F.broadcast(frequent), "term").select("term", "doc", score)
     # An anti join would be moved below the counting and repeat the tokenizing.
-    rest = counts.join(F.broadcast(frequent), "term", "left").where("df IS NULL").drop("df")
+    rest = postings.join(F.broadcast(frequent), "term", "left").where("df IS NULL").drop("df")
     far = rest.join(rare, "term").select("term", "doc", score)
     return near.unionByName(far)
 

@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkrank.operators.graph import count_pages, extract_links, initial_graph
+from inkrank.operators.graph import count_pages, initial_graph, write_links
 from inkrank.operators.rank import ITERATIONS, page_rank, sort_ranks
 from inkrank.operators.saved_rank import rank_saved, write_graph
 from inkrank.plans.text_jobs import Paths
+from inkrank.session import scratch_path
 from inkrank.sources.corpus import read_pages
 from inkrank.sources.sinks import write_tsv
 
 
+def _links(spark: SparkSession, inputs: Paths) -> tuple[DataFrame, int]:
+    """Links and page count of a dump, which is read once."""
+    return write_links(read_pages(spark, inputs), scratch_path(spark, "dump-links"))
+
+
 def page_count_job(spark: SparkSession, inputs: Paths, output: str) -> None:
     """One line: ``Pages<TAB>count``."""
     count = count_pages(read_pages(spark, inputs))
@@ -27,8 +33,7 @@ def initial_graph_job(
     A tab in a link's text shifts the columns of its line; the parquet table, written
     if ``graph_path`` is given, keeps every text as it is.
     """
-    lines = read_pages(spark, inputs)
-    graph = initial_graph(extract_links(lines), count_pages(lines))
+    graph = initial_graph(*_links(spark, inputs))
     if graph_path:
         graph.write.mode("overwrite").parquet(graph_path)
         graph = spark.read.parquet(graph_path)
@@ -37,8 +42,7 @@ def initial_graph_job(
 
 def ranked_dump(spark: SparkSession, inputs: Paths, iterations: int = ITERATIONS) -> DataFrame:
     """``(node, rank)`` of a dump with one page per line."""
-    lines = read_pages(spark, inputs)
-    return page_rank(extract_links(lines), count_pages(lines), iterations)
+    return page_rank(*_links(spark, inputs), iterations)
 
 
 def page_rank_job(
@@ -50,8 +54,7 @@ def page_rank_job(
 
 def save_graph_job(spark: SparkSession, inputs: Paths, graph_path: str) -> None:
     """A graph on disk that any number of rankings can read."""
-    lines = read_pages(spark, inputs)
-    write_graph(extract_links(lines), count_pages(lines), graph_path)
+    write_graph(*_links(spark, inputs), graph_path)
 
 
 def rank_graph_job(

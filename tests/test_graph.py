@@ -117,3 +117,32 @@ def test_html_links(spark):
     page = '<title>T</title><a href="/x">x</a> <a class="c" href="/no">n</a><a href="">e</a>'
     found = ink.extract_links(frame(spark, [page]), body=HTML_BODY, link=HTML_LINK).collect()
     assert [(r.src, r.dst) for r in found] == [("T", "/x"), ("T", "")]
+
+
+def test_links_and_pages_in_one_pass(spark, wiki, tmp_path):
+    links, n_pages = ink.write_links(wiki, str(tmp_path / "links"))
+    assert n_pages == 6
+    assert sorted(map(tuple, links.collect())) == sorted(map(tuple, ink.extract_links(wiki).collect()))
+    assert all(str(tmp_path) in file for file in links.inputFiles())
+    empty, none = ink.write_links(frame(spark, []), str(tmp_path / "empty"))
+    assert none == 0 and empty.collect() == []
+
+
+def test_one_pass_has_one_scan(spark, tmp_path, monkeypatch):
+    """The dump is gone once the links are written."""
+    dump = tmp_path / "dump.xml"
+    dump.write_text("\n".join(WIKI) + "\n")
+    links, n_pages = ink.write_links(ink.read_pages(spark, str(dump)), str(tmp_path / "links"))
+    dump.unlink()
+    graph = {tuple(row) for row in ink.initial_graph(links, n_pages).collect()}
+    lines = frame(spark, WIKI)
+    assert graph == {tuple(row) for row in ink.initial_graph(ink.extract_links(lines), 6).collect()}
+
+
+def test_a_computed_line_is_computed_once(spark, plan):
+    from pyspark.sql import functions as F
+
+    lines = spark.range(5).select(F.format_string("<title>%d</title>", "id").alias("line"))
+    assert plan(ink.count_pages(lines)).count("format_string") == 1
+    graph = ink.initial_graph(ink.extract_links(lines), 5)
+    assert plan(graph).count("format_string") == 1
