@@ -62,13 +62,19 @@ def _wiki_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select(line.alias("line"))
 
 
+#: Orders whose line items go into one page line of a supplier: a bound on its links.
+ORDERS_PER_LINE = 1000
+
+
 def _hub_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One wiki page line per supplier, with a link for each of its line items."""
-    items = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
+    """Wiki page lines of each supplier, with a link for each of its line items. A
+    supplier has a line per range of orders, so no line grows with the table."""
+    items = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_orderkey")
     link = F.format_string("x [[P%d]] ] y", F.col("l_partkey"))
     text = F.array_join(F.collect_list(link), " ").alias("text")
     start = F.format_string('<page><title>S%d</title><text xml:space="preserve">', "l_suppkey")
-    pages = items.groupBy("l_suppkey").agg(text)
+    orders = F.floor(F.col("l_orderkey") / ORDERS_PER_LINE).alias("orders")
+    pages = items.groupBy("l_suppkey", orders).agg(text)
     return pages.select(F.concat(start, F.col("text"), F.lit(" [[</text></page>")).alias("line"))
 
 
@@ -184,6 +190,22 @@ def search_many_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(result, "score")
 
 
+def saved_index_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of queries joined with a saved index bucket by bucket."""
+    path = scratch_path(spark, "bucketed-index")
+    ink.write_bucketed_index(_index(spark, sf_dir), path)
+    found = ink.search_bucketed(spark, path, _table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return _rounded(found, "score")
+
+
+def sliced_index_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where only the folders of the queries' terms are read."""
+    path = scratch_path(spark, "sliced-index")
+    ink.write_sliced_index(_index(spark, sf_dir), path)
+    found = ink.search_sliced(spark, path, _table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return _rounded(found, "score")
+
+
 def search_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of each document in an ordered result, by its place in the plan's
     sorted partitions."""
@@ -262,34 +284,38 @@ def _numbered(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
 # --- text files -------------------------------------------------------------
 
 
-def _corpus_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """The documents as text files named by their source, in two folders."""
-    documents = _table(spark, sf_dir, "documents").where("text IS NOT NULL")
-    folder = F.when(F.col("doc_id") % 2 == 0, F.lit("even")).otherwise(F.lit("odd")).alias("folder")
-    rows = documents.select(folder, "source", "text").repartition("folder", "source")
+#: Documents of a folder, about; a file has at most as many, whatever its source.
+DOCS_PER_FOLDER = 1000
+
+
+def _corpus_files(spark: SparkSession, sf_dir: str) -> str:
+    """The documents as text files named by their source, in folders that each take
+    their share of every source; a glob of the folders."""
+    documents = _table(spark, sf_dir, "documents")
+    n_folders = 2 + documents.count() // DOCS_PER_FOLDER
+    folder = F.pmod("doc_id", F.lit(n_folders)).alias("folder")
+    rows = documents.where("text IS NOT NULL").select(folder, "source", "text").repartition("folder", "source")
     path = scratch_path(spark, "corpus-files")
-    rows.write.partitionBy("folder", "source").text(path)
+    rows.write.partitionBy("folder", "source").text(f"{path}/written")
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path
     files = hadoop_path(path).getFileSystem(context._jsc.hadoopConfiguration())
-    folders = []
-    for name in ("even", "odd"):
-        folders.append(f"{path}-{name}")
-        files.mkdirs(hadoop_path(folders[-1]))
-        for written in files.globStatus(hadoop_path(f"{path}/folder={name}/*/part-*")) or []:
-            source = written.getPath().getParent().getName().removeprefix("source=")
-            files.rename(written.getPath(), hadoop_path(f"{folders[-1]}/{source}"))
-    return folders[0], folders[1]
+    # Spark names a file by its task; a corpus names it by its document.
+    for written in files.globStatus(hadoop_path(f"{path}/written/folder=*/source=*/part-*")) or []:
+        place = written.getPath().getParent()
+        name = place.getName().removeprefix("source=")
+        target = f"{path}/named/{place.getParent().getName().removeprefix('folder=')}"
+        files.mkdirs(hadoop_path(target))
+        files.rename(written.getPath(), hadoop_path(f"{target}/{name}"))
+    return f"{path}/named/*"
 
 
 def corpus_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ink.doc_word_count(ink.tokenize(ink.read_corpus(spark, ",".join(_corpus_files(spark, sf_dir)))))
+    return ink.doc_word_count(ink.tokenize(ink.read_corpus(spark, _corpus_files(spark, sf_dir))))
 
 
 def corpus_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    even, odd = _corpus_files(spark, sf_dir)
-    common = even.removesuffix("-even")
-    n_files = ink.count_files(spark, f"{common}-{{even,odd}}")
+    n_files = ink.count_files(spark, _corpus_files(spark, sf_dir))
     return spark.range(1).select(F.lit(n_files).cast("bigint").alias("n_files"))
 
 
@@ -503,7 +529,7 @@ def _own_sql() -> dict[str, str]:
             SELECT item_id, term, CAST(count(*) AS BIGINT) AS times FROM (
               SELECT item_id, unnest(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+')) AS term
               FROM benchmark) WHERE term <> '' GROUP BY ALL""",
-        **dict.fromkeys(("search_many", "search_many_index", "search_many_grid"), _COUNTS
+        **dict.fromkeys(("search_many", "search_many_index", "search_many_grid", "saved_index_many", "sliced_index_many"), _COUNTS
         + _INDEX
         + r""", q AS (
               SELECT item_id, unnest(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+')) AS term
@@ -514,7 +540,7 @@ def _own_sql() -> dict[str, str]:
         "packed_order": _COUNTS + "SELECT true AS ordered, CAST(count(*) AS BIGINT) AS n_lines FROM cnt",
         "corpus_file_counts": _COUNTS_BY_FILE + "SELECT term, doc, n FROM cnt",
         "corpus_file_count": """
-            SELECT CAST(count(DISTINCT (doc_id % 2, source)) AS BIGINT) AS n_files
+            SELECT CAST(count(DISTINCT (doc_id % (2 + (SELECT count(*) // 1000 FROM documents)), source)) AS BIGINT) AS n_files
             FROM documents WHERE text IS NOT NULL""",
         "saved_index_search": _TWO_TERMS_SQL,
         "packed_index_search": _TWO_TERMS_SQL,
@@ -587,6 +613,8 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         search_many,
         search_many_index,
         search_many_grid,
+        saved_index_many,
+        sliced_index_many,
         search_order,
         saved_index_search,
         packed_index_search,
@@ -621,7 +649,9 @@ def _llm():
     """The training-data operators, or nothing where their folder is absent."""
     try:
         import inkrank.llm.queries as registered
-    except ModuleNotFoundError:
+    except ModuleNotFoundError as error:
+        if error.name not in ("inkrank.llm", "corpus_pipeline"):
+            raise
         return None
     return registered
 

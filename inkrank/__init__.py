@@ -30,6 +30,12 @@ from inkrank.operators.rank import (
     start_ranks,
 )
 from inkrank.operators.saved_rank import graph_note, rank_saved, write_graph
+from inkrank.operators.saved_search import (
+    search_bucketed,
+    search_sliced,
+    write_bucketed_index,
+    write_sliced_index,
+)
 from inkrank.operators.search import (
     in_document_order,
     search,
@@ -86,8 +92,10 @@ __all__ = [
     "saved_size",
     "saved_tf_idf",
     "search",
+    "search_bucketed",
     "search_many",
     "search_many_texts",
+    "search_sliced",
     "search_texts",
     "search_tokens",
     "sort_ranks",
@@ -100,9 +108,11 @@ __all__ = [
     "tf_idf_of_weights",
     "tf_idf_window",
     "tokenize",
+    "write_bucketed_index",
     "write_graph",
     "write_index",
     "write_links",
     "write_packed",
+    "write_sliced_index",
     "write_tsv",
 ]
