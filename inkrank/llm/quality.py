@@ -1,26 +1,35 @@
-"""Quality of documents by co-training two views, one of the text, one of the page.
+"""Quality and toxicity of documents by co-training two views, text and page.
 
-The text view sees what the words are like; the page view sees language, source,
-size and layout. Each is a logistic regression on labelled documents. In every
-round each view labels unlabelled documents it is sure of, and those join the
-other view's training rows. At the end both views are calibrated on labelled
-rows held out from training, and one logistic regression on the two calibrated
-log-odds scores every document.
+The text view sees the content: which words of a vocabulary occur in the whole
+text, how many words with a beginning of it do, and what its characters and
+repetitions are like. The page view sees the
+metadata alone: language, source and size. Each is a logistic regression on
+labelled documents. In every round each view labels unlabelled documents it is sure
+of, and those join the other view's training rows. At the end both views are
+calibrated on labelled rows held out from training, and one logistic regression on
+the two calibrated log-odds scores every document. This is done for two labels,
+quality and toxicity; a document is kept if it is good and not toxic.
+
+The vocabulary is learnt from the labelled documents: the words and beginnings, by
+a checksum of their small letters, that tell the classes of either label apart most.
 
 Bounds, all of them parameters: ``MAX_LABELLED`` labelled rows (those whose ids
-hash lowest), and about ``MAX_PSEUDO`` pseudo-labels per view and round. Scores
-cover every document, whatever those bounds are.
+hash lowest), ``MAX_WORDS`` words per label, and about ``MAX_PSEUDO`` pseudo-labels
+per label, view and round. Scores cover every document, whatever those bounds are.
 
 Edge cases: a null text counts as empty; null or absent page columns are a value
 of their own; labels without a document, or null, are ignored, and contradicting
-labels of one id are averaged; without labels of both classes there is nothing to
-learn: the score is the labels' mean (0.5 without any) and every document is kept.
+labels of one id are averaged; rows of one id train as one, that of the least
+checksum, and each has its own score; without labels of both classes of a label
+there is nothing to learn: the score is the labels' mean (quality 0.5 and toxicity 0
+without any) and no document is dropped for it.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,14 +43,33 @@ from inkrank.llm.common import lowest, sliced
 from inkrank.session import scratch_path, settle
 
 MAX_LABELLED = 20_000
+MAX_WORDS = 1_000
 MAX_PSEUDO = 1_000
 ROUNDS = 3
 SURE = 0.95
 KEEP = 0.5
 
+#: The labels and the score of each without any.
+LABELS = {"quality": 0.5, "toxic": 0.0}
+
 _LANGS, _SOURCES = 8, 32
 _PENALTY = 1e-2
 
+#: Of calibrations and combinations, which have one or two inputs.
+_LINK_PENALTY = 1e-3
+
+#: Spread that the weights of words are expected to have, as a variance; and the
+#: likelihood ratio (as a chi-square) that a word needs, as there are many words.
+_WORD_VARIANCE = 16.0
+_TELLING = 18.0
+
+#: Letters of a word's beginning, and how many different words with it make a step.
+_BEGINNING = 5
+_LEVELS = (1, 2, 3, 5, 8)
+
+#: Words whose checksum a worker remembers.
+_KNOWN_WORDS = 500_000
+
 _BYTES = np.arange(256)
 _LETTER = ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122) | (_BYTES >= 128)
 _UPPER = (_BYTES >= 65) & (_BYTES <= 90)
@@ -51,17 +79,49 @@ _STOP = np.isin(_BYTES, [ord(c) for c in ".,;:!?"])
 _MARK = ~(_LETTER | _DIGIT | _SPACE | _STOP)
 
 TEXT_FEATURES = 14
-PAGE_FEATURES = 6 + _LANGS + _SOURCES
+PAGE_FEATURES = 4 + _LANGS + _SOURCES
+
+
+_EDGES = "\"'`.,;:!?()[]{}<>*#$%&+-_=/\\|~^@0123456789«»“”„‘’…–—"
+
 
+class Words(dict):
+    """Checksums of a word, of its letters in small ones, and of its beginning; 0
+    for a word without letters and for one too short to have a beginning."""
 
-def text_view(text: str) -> list[float]:
-    """Shares of kinds of characters and of repeated words and lines."""
+    def __missing__(self, word: bytes) -> tuple[int, int]:
+        if len(self) >= _KNOWN_WORDS:
+            self.clear()
+        plain = word.decode("utf-8", "replace").lower().strip(_EDGES)
+        raw = plain.encode("utf-8", "replace")
+        begun = zlib.crc32(plain[:_BEGINNING].encode("utf-8", "replace"), 1) if len(plain) > _BEGINNING else 0
+        self[word] = found = (zlib.crc32(raw) if plain else 0, begun)
+        return found
+
+
+_words = Words()
+
+
+def _content(vocabulary: set[bytes]) -> set[int]:
+    """What different words a text has, and of which beginnings it has how many: a
+    step of ``_LEVELS`` is a feature of its own."""
+    known = list(map(_words.__getitem__, vocabulary))
+    found = {word for word, _ in known}
+    for begun, n in Counter(begun for _, begun in known).items():
+        if begun:
+            found.update((begun + level * 0x9E3779B1) & 0xFFFFFFFF for level in _LEVELS if n >= level)
+    return found - {0}
+
+
+def text_view(text: str) -> tuple[list[float], set[int]]:
+    """Shares of kinds of characters and of repeated words and lines, and the words."""
     raw = text.encode("utf-8", "surrogatepass")
     counts = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     size = max(1, len(raw))
     words = raw.split()
     n = max(1, len(words))
-    distinct = len(set(words))
+    vocabulary = set(words)
+    distinct = len(vocabulary)
     same = sum(map(bytes.__eq__, words, words[1:])) if len(words) > 1 else 0
     lines = raw.split(b"\n")
     letters = int(counts[_LETTER].sum())
@@ -81,19 +141,17 @@ def text_view(text: str) -> list[float]:
         min(40.0, size / n) / 10,
         long_words / n,
         float(not words),
-    ]
+    ], _content(vocabulary)
 
 
-def page_view(lang: str | None, source: str | None, n_chars: int | None, text: str) -> list[float]:
-    """Size and layout, and the language and source by hash."""
-    size = math.log1p(max(0, n_chars if n_chars is not None else len(text)))
-    lines = text.count("\n") + 1
-    row = [size / 5, (size / 5) ** 2, math.log1p(lines), math.log1p(len(text) / lines) / 5]
-    row += [float(lang is None), float(source is None)] + [0.0] * (_LANGS + _SOURCES)
+def page_view(lang: str | None, source: str | None, n_chars: int | None) -> list[float]:
+    """Size as the page states it, and the language and source by hash."""
+    size = math.log1p(max(0, n_chars or 0)) / 5
+    row = [size, size**2, float(lang is None), float(source is None)] + [0.0] * (_LANGS + _SOURCES)
     if lang is not None:
-        row[6 + zlib.crc32(lang.encode("utf-8", "surrogatepass")) % _LANGS] = 1.0
+        row[4 + zlib.crc32(lang.encode("utf-8", "surrogatepass")) % _LANGS] = 1.0
     if source is not None:
-        row[6 + _LANGS + zlib.crc32(source.encode("utf-8", "surrogatepass")) % _SOURCES] = 1.0
+        row[4 + _LANGS + zlib.crc32(source.encode("utf-8", "surrogatepass")) % _SOURCES] = 1.0
     return row
 
 
@@ -115,20 +173,41 @@ def _inputs(docs: DataFrame, keep_rows: bool) -> DataFrame:
     )
 
 
-def _features(batch: pa.RecordBatch) -> list[list[float]]:
-    columns = [batch.column(i).to_pylist() for i in (2, 3, 4, 1)]
-    return [[*text_view(t), *page_view(a, b, n, t)] for a, b, n, t in zip(*columns, strict=True)]
+def _features(batch: pa.RecordBatch) -> tuple[list[list[float]], list[set[int]]]:
+    langs, sources, sizes, texts = (batch.column(i).to_pylist() for i in (2, 3, 4, 1))
+    found = [text_view(text) for text in texts]
+    pages = map(page_view, langs, sources, sizes)
+    return [[*shape, *page] for (shape, _), page in zip(found, pages, strict=True)], [words for _, words in found]
 
 
-def views_of(docs: DataFrame) -> DataFrame:
-    """``(doc_id, views)``: the features of both views of each document."""
+def views_of(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFrame:
+    """``(doc_id, views, words)`` of each document: the features of both views, and
+    the places of its words in a sorted vocabulary; without one, all their
+    checksums."""
 
     def view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = _places(vocabulary) if vocabulary is not None else None
         for batch in sliced(batches):
-            found = pa.array(_features(batch), pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "views"])
+            rows, words = _features(batch)
+            kept = [sorted(own) for own in words] if places is None else [_known(own, places) for own in words]
+            columns = [batch.column(0), pa.array(rows, pa.list_(pa.float32())), pa.array(kept, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "views", "words"])
+
+    return _inputs(docs, keep_rows=False).mapInArrow(view, "doc_id long, views array<float>, words array<long>")
+
 
-    return _inputs(docs, keep_rows=False).mapInArrow(view, "doc_id long, views array<float>")
+def _places(vocabulary: np.ndarray) -> dict[int, int]:
+    return {int(word): i for i, word in enumerate(vocabulary)}
+
+
+def _known(words: set[int], places: dict[int, int]) -> list[int]:
+    return sorted(places[word] for word in words & places.keys())
+
+
+def _one_per_id(views: DataFrame) -> DataFrame:
+    """One row of each id, the same whenever it is asked for."""
+    row = F.struct(F.xxhash64("views", "words").alias("h"), "views", "words")
+    return views.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(row).alias("r")).select("doc_id", "r.views", "r.words")
 
 
 # --- the classifiers --------------------------------------------------------
@@ -171,129 +250,325 @@ class Logistic:
         return ((x - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1]
 
 
+@dataclass
+class Rows:
+    """Training or scoring rows: the features of both views, and words by row."""
+
+    dense: np.ndarray
+    row: np.ndarray
+    word: np.ndarray
+
+    @classmethod
+    def of(cls, views, words) -> Rows:
+        dense = np.stack([np.asarray(x, np.float64) for x in views]) if len(views) else np.zeros((0, TEXT_FEATURES + PAGE_FEATURES))
+        counts = np.array([len(x) for x in words], np.int64)
+        flat = np.concatenate([np.asarray(x, np.int64) for x in words]) if len(words) else np.zeros(0, np.int64)
+        return cls(dense, np.repeat(np.arange(len(words)), counts), flat)
+
+    def take(self, chosen: np.ndarray) -> Rows:
+        place = np.cumsum(chosen) - 1
+        inside = chosen[self.row]
+        return Rows(self.dense[chosen], place[self.row[inside]], self.word[inside])
+
+    def plus(self, other: Rows) -> Rows:
+        row = np.concatenate([self.row, other.row + len(self.dense)])
+        return Rows(np.vstack([self.dense, other.dense]), row, np.concatenate([self.word, other.word]))
+
+
+@dataclass
+class TextView:
+    """Logistic regression on the shape of a text and the words that occur in it."""
+
+    mean: np.ndarray
+    scale: np.ndarray
+    weights: np.ndarray
+    of_words: np.ndarray
+    bias: float
+
+    @classmethod
+    def fit(cls, rows: Rows, y: np.ndarray, n_words: int) -> TextView:
+        x = rows.dense[:, :TEXT_FEATURES]
+        mean, scale = x.mean(axis=0), x.std(axis=0)
+        scale = np.where(scale > 1e-9, scale, 1.0)
+        z = (x - mean) / scale
+        ridge = np.concatenate([np.full(TEXT_FEATURES, _PENALTY), np.full(n_words, 1 / (_WORD_VARIANCE * len(y))), [1e-6]])
+
+        def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+            odds = z @ w[:TEXT_FEATURES] + np.bincount(rows.row, w[TEXT_FEATURES:-1][rows.word], len(y)) + w[-1]
+            wrong = _sigmoid(odds) - y
+            grad = np.concatenate([z.T @ wrong, np.bincount(rows.word, wrong[rows.row], n_words), [wrong.sum()]])
+            value = (np.logaddexp(0, odds) - y * odds).mean() + (ridge * w * w).sum() / 2
+            return value, grad / len(y) + ridge * w
+
+        w = _minimum(loss, np.zeros(len(ridge)))
+        return cls(mean, scale, w[:TEXT_FEATURES], w[TEXT_FEATURES:-1], float(w[-1]))
+
+    def odds(self, rows: Rows) -> np.ndarray:
+        shape = ((rows.dense[:, :TEXT_FEATURES] - self.mean) / self.scale) @ self.weights
+        return shape + np.bincount(rows.row, self.of_words[rows.word], len(shape)) + self.bias
+
+
+def _minimum(loss, w: np.ndarray, steps: int = 200, memory: int = 10) -> np.ndarray:
+    """Of a smooth convex function, by quasi-Newton steps of limited memory."""
+    value, grad = loss(w)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        way = grad.copy()
+        parts = []
+        for moved, turned in reversed(pairs):
+            part = moved @ way / (moved @ turned)
+            parts.append(part)
+            way -= part * turned
+        if pairs:
+            moved, turned = pairs[-1]
+            way *= moved @ turned / (turned @ turned)
+        for (moved, turned), part in zip(pairs, reversed(parts), strict=True):
+            way += moved * (part - turned @ way / (moved @ turned))
+        size = 1.0
+        while True:
+            next_value, next_grad = loss(w - size * way)
+            if next_value <= value - 1e-4 * size * (grad @ way) or size < 1e-10:
+                break
+            size /= 2
+        moved, turned = -size * way, next_grad - grad
+        done = value - next_value < 1e-9
+        w, value, grad = w + moved, next_value, next_grad
+        if done:
+            break
+        if moved @ turned > 1e-12:
+            pairs = [*pairs, (moved, turned)][-memory:]
+    return w
+
+
+@dataclass
+class PageView:
+    """Logistic regression on the metadata."""
+
+    model: Logistic
+
+    @classmethod
+    def fit(cls, rows: Rows, y: np.ndarray, n_words: int) -> PageView:
+        return cls(Logistic.fit(rows.dense[:, TEXT_FEATURES:], y))
+
+    def odds(self, rows: Rows) -> np.ndarray:
+        return self.model.odds(rows.dense[:, TEXT_FEATURES:])
+
+
+_VIEWS = (TextView, PageView)
+
+
 @dataclass
 class Model:
-    """Both views, their calibrations and the combination; or a constant."""
+    """Both views of one label, their calibrations and the combination; or a constant."""
 
-    views: list[Logistic] = field(default_factory=list)
+    views: list = field(default_factory=list)
     calibrations: list[Logistic] = field(default_factory=list)
     combination: Logistic | None = None
     constant: float = 0.5
 
-    def calibrated(self, x: np.ndarray) -> np.ndarray:
-        cut = (x[:, :TEXT_FEATURES], x[:, TEXT_FEATURES:])
-        raw = [view.odds(part) for view, part in zip(self.views, cut, strict=True)]
-        both = zip(self.calibrations, raw, strict=True)
-        return np.stack([c.odds(odds[:, None]) for c, odds in both], axis=1)
+    def calibrated(self, rows: Rows) -> np.ndarray:
+        both = zip(self.calibrations, self.views, strict=True)
+        return np.stack([c.odds(view.odds(rows)[:, None]) for c, view in both], axis=1)
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
+    def scores(self, rows: Rows) -> np.ndarray:
         """Rows of: score, the text view's probability, the page view's."""
         if self.combination is None:
-            return np.full((len(x), 3), self.constant)
-        odds = self.calibrated(x)
+            return np.full((len(rows.dense), 3), self.constant)
+        odds = self.calibrated(rows)
         return np.column_stack([_sigmoid(self.combination.odds(odds)), _sigmoid(odds)])
 
 
-def _array(rows) -> np.ndarray:
-    return np.stack([np.asarray(row, np.float64) for row in rows]) if len(rows) else np.zeros((0, 0))
-
-
-def _sure(pool: DataFrame, views: list[Logistic], count: tuple[int, int], turn: int) -> list:
-    """For each view, about ``count`` unlabelled rows of each class that it is sure of."""
-    held = pool.sparkSession.sparkContext.broadcast(views)
+@dataclass
+class Training:
+    """What one label's views are trained on so far."""
+
+    label: str
+    rows: list[Rows]
+    y: list[np.ndarray]
+    held: Rows
+    held_y: np.ndarray
+    count: tuple[int, int]
+    views: list = field(default_factory=list)
+    taken: list[set[int]] = field(default_factory=lambda: [set(), set()])
+
+    def train(self, n_words: int) -> None:
+        self.views = [kind.fit(r, y, n_words) for kind, r, y in zip(_VIEWS, self.rows, self.y, strict=True)]
+
+    def model(self) -> Model:
+        found = Model(self.views)
+        for view in self.views:
+            found.calibrations.append(Logistic.fit(view.odds(self.held)[:, None], self.held_y, _LINK_PENALTY))
+        found.combination = Logistic.fit(found.calibrated(self.held), self.held_y, _LINK_PENALTY)
+        return found
+
+
+def _sure(pool: DataFrame, trainings: list[Training], turn: int) -> pa.Table:
+    """Of each label and view, about its ``count`` unlabelled rows of each class that
+    the view is sure of: ``(kind, doc_id, views, words)``."""
+    held = pool.sparkSession.sparkContext.broadcast([view for t in trainings for view in t.views])
 
     @F.pandas_udf("array<double>")
-    def probabilities(x: pd.Series) -> pd.Series:
-        rows = _array(x)
-        cut = (rows[:, :TEXT_FEATURES], rows[:, TEXT_FEATURES:])
-        return pd.Series(list(np.stack([_sigmoid(v.odds(c)) for v, c in zip(held.value, cut, strict=True)], axis=1)))
+    def probabilities(views: pd.Series, words: pd.Series) -> pd.Series:
+        rows = Rows.of(views, words)
+        return pd.Series(list(np.stack([_sigmoid(view.odds(rows)) for view in held.value], axis=1)))
 
-    scored = pool.withColumn("p", probabilities("views"))
-    places = [(view, y) for view in (0, 1) for y in (0, 1)]
+    scored = pool.withColumn("p", probabilities("views", "words"))
+    places = [(view, y) for view in range(2 * len(trainings)) for y in (0, 1)]
     sure = {(v, y): F.col("p")[v] >= SURE if y else F.col("p")[v] <= 1 - SURE for v, y in places}
     found = scored.agg(*[F.count_if(sure[place]).alias(f"n{i}") for i, place in enumerate(places)]).first()
     # The rows that hash lowest of each kind, cut off where they are read.
     picked = []
     for i, (view, y) in enumerate(places):
-        share = min(1.0, count[y] / max(1, found[i]))
+        share = min(1.0, trainings[view // 2].count[y] / max(1, found[i]))
         low = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(1 << 30)) < int(share * (1 << 30))
-        picked.append(F.when(sure[view, y] & low, F.lit(2 * view + y)))
+        picked.append(F.when(sure[view, y] & low, F.lit(i)))
     kinds = F.array_compact(F.array(*picked))
-    rows = scored.select("doc_id", "views", F.explode(kinds).alias("kind"))
-    # About four times MAX_PSEUDO rows.
-    return rows.select((F.col("kind") >= 2).cast("int").alias("view"), (F.col("kind") % 2).alias("y"), "doc_id", "views").collect()
+    # About four times MAX_PSEUDO rows of each label, one per id and kind.
+    return scored.select(F.explode(kinds).alias("kind"), "doc_id", "views", "words").toArrow()
+
+
+def _log_of(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    return seen * np.log(np.maximum(seen, 1e-300) / np.maximum(expected, 1e-300))
+
+
+def _vocabulary(words: list, labels: list[np.ndarray], most: int) -> np.ndarray:
+    """The words that tell a label's classes apart most, by the likelihood ratio of
+    their occurrence, of each label, as far as it is beyond chance."""
+    found, row_of = np.unique(np.concatenate([np.zeros(0, np.int64), *words]), return_inverse=True)
+    row = np.repeat(np.arange(len(words)), [len(x) for x in words])
+    kept: list[np.ndarray] = []
+    for y in labels:
+        known = ~np.isnan(y)
+        n, n_one = known.sum(), (y[known] >= 0.5).sum()
+        if not 0 < n_one < n:
+            continue
+        of = known[row]
+        seen = np.bincount(row_of[of], minlength=len(found))
+        one = np.bincount(row_of[of], (y[row[of]] >= 0.5).astype(float), len(found))
+        share = n_one / n
+        ratio = 2 * (_log_of(one, seen * share) + _log_of(seen - one, seen * (1 - share)))
+        order = np.lexsort((found, -ratio))[:most]
+        kept.append(found[order[ratio[order] >= _TELLING]])
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *kept]))
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, names: list[str], most: int) -> pa.Table:
+    """At most ``most`` documents with a label: ``doc_id``, a column per label,
+    ``views`` and ``words``."""
+    present = [name for name in names if name in labels.columns]
+    means = [(F.avg(name) if name in present else F.lit(None).cast("double")).alias(f"y_{name}") for name in names]
+    known = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.count("*"), *means)
+    known = known.select("doc_id", *[f"y_{name}" for name in names])
+    known = known.where(" OR ".join(f"y_{name} IS NOT NULL" for name in names))
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    there = settle(known.join(ids, "doc_id", "left_semi"), scratch_path(docs.sparkSession, "labels"))
+    # At most ``most`` rows of some 30 bytes.
+    chosen = F.broadcast(settle(lowest(there, ["doc_id"], most), scratch_path(docs.sparkSession, "labelled")))
+    own = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
+    return _one_per_id(views_of(own)).join(chosen, "doc_id").orderBy("doc_id").toArrow()
+
+
+def _training(label: str, rows: Rows, y: np.ndarray, max_pseudo: int) -> Training | float:
+    """A label's training and held-out rows; the mean if it has one class only."""
+    known = ~np.isnan(y)
+    if not known.any():
+        return LABELS[label]
+    binary = (y >= 0.5).astype(float)
+    if binary[known].min() == binary[known].max():
+        return float(y[known].mean())
+    # Every fifth of each class is held out; with very few rows they serve twice.
+    apart = np.zeros(len(y), bool)
+    for value in (0.0, 1.0):
+        apart[np.flatnonzero(known & (binary == value))[::5]] = True
+    own, held = known & ~apart, apart
+    if min((own & (binary == v)).sum() for v in (0.0, 1.0)) == 0:
+        own = held = known
+    share = binary[known].mean()
+    count = (max(1, int(max_pseudo * (1 - share))), max(1, int(max_pseudo * share)))
+    mine = rows.take(own)
+    return Training(label, [mine, mine], [binary[own]] * 2, rows.take(held), binary[held], count)
 
 
 def fit(
-    views: DataFrame,
+    docs: DataFrame,
     labels: DataFrame,
-    label: str = "quality",
     rounds: int = ROUNDS,
     max_labelled: int = MAX_LABELLED,
+    max_words: int = MAX_WORDS,
     max_pseudo: int = MAX_PSEUDO,
-) -> Model:
-    """Co-train on ``(doc_id, views)`` and ``labels(doc_id, <label>)``."""
-    spark = views.sparkSession
-    views = settle(views.select("doc_id", "views"), scratch_path(spark, "views"))
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
-    known = known.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.avg(label).alias("y"))
-    chosen = lowest(views.join(known, "doc_id"), ["doc_id"], max_labelled).collect()
-    if not chosen:
-        return Model()
-    x, y = _array([row["views"] for row in chosen]), np.array([row.y for row in chosen])
-    binary = (y >= 0.5).astype(float)
-    if binary.min() == binary.max():
-        return Model(constant=float(y.mean()))
-    # Every fifth of each class is held out; with very few rows they serve twice.
-    apart = np.zeros(len(y), bool)
-    for value in (0.0, 1.0):
-        apart[np.flatnonzero(binary == value)[::5]] = True
-    if min(((~apart) & (binary == v)).sum() for v in (0.0, 1.0)) == 0:
-        own, held = np.ones(len(y), bool), np.ones(len(y), bool)
-    else:
-        own, held = ~apart, apart
-    pool = views.join(known, "doc_id", "left_anti").where("doc_id is not null")
-    cut = (slice(0, TEXT_FEATURES), slice(TEXT_FEATURES, None))
-    rows = [(x[own][:, c], binary[own]) for c in cut]
-    taken: list[set[int]] = [set(), set()]
-    share = binary.mean()
-    count = (max(1, int(max_pseudo * (1 - share))), max(1, int(max_pseudo * share)))
-    trained = [Logistic.fit(*r) for r in rows]
-    for turn in range(rounds):
-        fresh: list[list] = [[], []]
-        for row in sorted(_sure(pool, trained, count, turn), key=lambda row: (row.doc_id, row.view)):
-            other = 1 - row.view
-            if row.doc_id not in taken[other]:
-                taken[other].add(row.doc_id)
-                fresh[other].append(row)
-        if not any(fresh):
-            break
-        for i, found in enumerate(fresh):
-            if found:
-                more = _array([row["views"] for row in found])[:, cut[i]]
-                rows[i] = (np.vstack([rows[i][0], more]), np.append(rows[i][1], [row.y for row in found]))
-        trained = [Logistic.fit(*r) for r in rows]
-    model = Model(trained)
-    model.calibrations = [
-        Logistic.fit(view.odds(x[held][:, c])[:, None], binary[held]) for view, c in zip(trained, cut, strict=True)
-    ]
-    model.combination = Logistic.fit(model.calibrated(x[held]), binary[held])
-    return model
+) -> tuple[np.ndarray, dict[str, Model]]:
+    """Co-train on the documents and ``labels(doc_id, quality, toxic)``: the
+    vocabulary, and the model of each label."""
+    names = list(LABELS)
+    table = _labelled(docs, labels, names, max_labelled)
+    ys = [table[f"y_{name}"].to_numpy().astype(float) for name in names]
+    checksums = [np.asarray(x, np.int64) for x in table["words"].to_pylist()]
+    vocabulary = _vocabulary(checksums, ys, max_words)
+    places = _places(vocabulary)
+    words = [_known(set(x.tolist()), places) for x in checksums]
+    rows = Rows.of(table["views"].to_pylist(), words)
+    started = {name: _training(name, rows, y, max_pseudo) for name, y in zip(names, ys, strict=True)}
+    trainings = [x for x in started.values() if isinstance(x, Training)]
+    for training in trainings:
+        training.train(len(vocabulary))
+    if trainings and rounds:
+        named = labels.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+        pool = _one_per_id(views_of(docs, vocabulary)).join(named, "doc_id", "left_anti")
+        pool = settle(pool, scratch_path(docs.sparkSession, "views"))
+        for turn in range(rounds):
+            if not _exchange(_sure(pool, trainings, turn), trainings, len(vocabulary)):
+                break
+    return vocabulary, {
+        name: x.model() if isinstance(x, Training) else Model(constant=x) for name, x in started.items()
+    }
+
+
+def _exchange(sure: pa.Table, trainings: list[Training], n_words: int) -> bool:
+    """Hand each view's sure rows to the other view and train again."""
+    found = sorted(sure.to_pylist(), key=lambda row: (row["kind"], row["doc_id"]))
+    moved = False
+    for at, training in enumerate(trainings):
+        for view in (0, 1):
+            fresh = [
+                row
+                for row in found
+                if row["kind"] // 4 == at and row["kind"] // 2 % 2 != view and row["doc_id"] not in training.taken[view]
+            ]
+            fresh = list({row["doc_id"]: row for row in fresh}.values())
+            if not fresh:
+                continue
+            moved = True
+            training.taken[view].update(row["doc_id"] for row in fresh)
+            more = Rows.of([row["views"] for row in fresh], [row["words"] for row in fresh])
+            training.rows[view] = training.rows[view].plus(more)
+            training.y[view] = np.append(training.y[view], [float(row["kind"] % 2) for row in fresh])
+    for training in trainings if moved else []:
+        training.train(n_words)
+    return moved
+
+
+_FOUND = ["score", "p_text", "p_page", "toxic", "toxic_text", "toxic_page"]
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep_rows: bool = True, **bounds: int) -> DataFrame:
-    """``(doc_id, found[, row])`` of every document: ``found`` has ``score``, ``p_text``,
-    ``p_page`` and ``keep``, ``row`` the document as it is."""
-    model = fit(views_of(docs), labels, **bounds)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = [("score", pa.float64()), ("p_text", pa.float64()), ("p_page", pa.float64()), ("keep", pa.bool_())]
+    """``(doc_id, found[, row])`` of every document: ``found`` has ``score``, ``p_text``
+    and ``p_page`` of quality, ``toxic``, ``toxic_text`` and ``toxic_page``, and
+    ``keep``; ``row`` is the document as it is."""
+    vocabulary, models = fit(docs, labels, **bounds)
+    held = docs.sparkSession.sparkContext.broadcast((vocabulary, models))
+    kinds = [*[(name, pa.float64()) for name in _FOUND], ("keep", pa.bool_())]
     names = ["doc_id", "found"] + ["row"] * keep_rows
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, models = held.value
+        places = _places(vocabulary)
         for batch in sliced(batches):
-            found = held.value.scores(_array(_features(batch)).astype(np.float32))
-            keep = (found[:, 0] >= KEEP) | (held.value.combination is None)
-            columns = [pa.array(x, kind) for x, (_, kind) in zip([*found.T, keep], kinds, strict=True)]
+            views, words = _features(batch)
+            rows = Rows.of(np.asarray(views, np.float32), [_known(own, places) for own in words])
+            good, bad = (models[name].scores(rows) for name in ("quality", "toxic"))
+            keep = (good[:, 0] >= KEEP) | (models["quality"].combination is None)
+            keep &= (bad[:, 0] < KEEP) | (models["toxic"].combination is None)
+            columns = [pa.array(x, kind) for x, (_, kind) in zip([*good.T, *bad.T, keep], kinds, strict=True)]
             struct = pa.StructArray.from_arrays(columns, [name for name, _ in kinds])
             row = batch.columns[5:]
             yield pa.RecordBatch.from_arrays([batch.column(0), struct, *row], names)

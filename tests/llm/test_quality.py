@@ -1,5 +1,7 @@
 """Co-training on held-out labels, and its edge cases."""
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -20,21 +22,92 @@ def test_held_out_accuracy(spark, medium):
     docs = spark.read.parquet(f"{medium}/documents.parquet")
     labels = spark.read.parquet(f"{medium}/labels.parquet").where("quality is not null")
     known, held = labels.where("doc_id % 3 > 0"), labels.where("doc_id % 3 = 0")
+    held = held.withColumnRenamed("toxic", "toxic_label")
     rows = quality.classify(docs, known).select("doc_id", "found.*").join(held, "doc_id").collect()
     assert len(rows) > 50
     right = np.mean([(row.score >= 0.5) == (row.quality == 1) for row in rows])
     usual = np.mean([row.quality for row in rows])
     assert right >= 0.95 and right > usual
-    clean = [row.keep for row in rows if row.quality == 1]
+    clean = [row.keep for row in rows if row.quality == 1 and row.toxic_label == 0]
     assert np.mean(clean) >= 0.98
 
 
+def test_held_out_toxic_documents_are_dropped(spark):
+    """In four languages; some hundred labelled toxic documents are enough."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1")
+    known, held = labels.where("doc_id % 3 > 0"), labels.where("doc_id % 3 = 0").select("doc_id", F.col("toxic").alias("y"))
+    known = known.unionByName(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 0"))
+    rows = quality.classify(docs, known).select("doc_id", "found.keep").join(held, "doc_id").collect()
+    toxic = [row.keep for row in rows if row.y == 1]
+    assert len(toxic) > 100 and np.mean(toxic) <= 0.1
+    assert np.mean([row.keep for row in rows if row.y == 0]) >= 0.98
+
+
+def test_the_least_of_a_convex_function():
+    rng = np.random.default_rng(2)
+    half = rng.normal(size=(30, 30))
+    bend, least = half @ half.T + np.eye(30), rng.normal(size=30)
+
+    def loss(w):
+        return (w - least) @ bend @ (w - least) / 2, bend @ (w - least)
+
+    assert np.allclose(quality._minimum(loss, np.zeros(30)), least, atol=1e-3)
+
+
+def test_words_are_those_of_the_whole_text():
+    _, words = quality.text_view("x " * 100_000 + "“Late”, LATE! 12 é. É")
+    assert words == {zlib.crc32(w.encode()) for w in ("x", "late", "é")}
+    _, one = quality.text_view("beginnings")
+    _, two = quality.text_view("Beginnings begin... begins, beginner")
+    assert len(one) == 2 and one < two and len(two) == 4 + 3
+
+
+def test_vocabulary_takes_the_telling_words():
+    words = [np.array([1, 2, 9 + i]) for i in range(20)] + [np.array([1, 3]) for _ in range(20)]
+    y = np.array([1.0] * 20 + [0.0] * 20)
+    assert quality._vocabulary(words, [y, np.full(40, np.nan)], 2).tolist() == [2, 3]
+
+
+def test_a_word_in_toxic_documents_only(spark, documents):
+    """Nothing but the word tells them apart, and it stands among many others."""
+    rng = np.random.default_rng(4)
+    plain = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(plain, 60)) for _ in range(600)]
+    texts = [t + " Vile, " + " ".join(rng.choice(plain, 60)) if i % 5 == 0 else t for i, t in enumerate(texts)]
+    docs = documents(texts)
+    labels = docs.where("doc_id < 300").selectExpr("doc_id", "1 quality", "cast(doc_id % 5 = 0 as int) toxic")
+    found = quality.classify(docs, labels).select("doc_id", "found.keep").collect()
+    held = [row for row in found if row.doc_id >= 300]
+    assert np.mean([row.keep for row in held if row.doc_id % 5]) >= 0.98
+    assert np.mean([row.keep for row in held if row.doc_id % 5 == 0]) <= 0.1
+
+
+def test_many_rows_of_one_id_change_nothing(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    more = spark.range(5000).select(F.lit(-5).cast("bigint").alias("doc_id"), F.concat(F.lit("same text "), "id").alias("text"))
+    wider = docs.unionByName(more, allowMissingColumns=True)
+    taken = []
+
+    def counted(table, trainings, n_words):
+        taken.append(table.num_rows)
+        return real(table, trainings, n_words)
+
+    real = quality._exchange
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "_exchange", counted)
+        quality.fit(docs, labels, rounds=1)
+        quality.fit(wider, labels, rounds=1)
+    assert abs(taken[0] - taken[1]) <= 4
+
+
 def test_query_scores_every_document(spark, small):
     rows = queries.op5_quality(spark, small).collect()
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert sorted(row.doc_id for row in rows) == sorted(row.doc_id for row in docs.select("doc_id").collect())
     assert all(0 <= value <= 1 for row in rows for value in (row.score, row.p_text, row.p_page))
-    assert rows[0].__fields__ == ["doc_id", "score", "p_text", "p_page", "keep"]
+    assert rows[0].__fields__ == ["doc_id", "score", "p_text", "p_page", "toxic", "toxic_text", "toxic_page", "keep"]
     again = queries.op5_quality(spark, small).collect()
     assert {r.doc_id: round(r.score, 9) for r in rows} == {r.doc_id: round(r.score, 9) for r in again}
 
