@@ -29,13 +29,13 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections .abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,9 +55,6 @@ LABELS = {"quality": 0.5, "toxic": 0.0}
 _LANGS, _SOURCES = 8, 32
 _PENALTY = 1e-2
 
-#: Of calibrations and combinations, which have one or two inputs.
-_LINK_PENALTY = 1e-3
-
 #: Spread that the weights of words are expected to have, as a variance; and the
 #: likelihood ratio (as a chi-square) that a word needs, as there are many words.
 _WORD_VARIANCE = 16.0
@@ -67,9 +64,6 @@ _TELLING = 18.0
 _BEGINNING = 5
 _LEVELS = (1, 2, 3, 5, 8)
 
-#: Words whose checksum a worker remembers.
-_KNOWN_WORDS = 500_000
-
 _BYTES = np.arange(256)
 _LETTER = ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122) | (_BYTES >= 128)
 _UPPER = (_BYTES >= 65) & (_BYTES <= 90)
@@ -85,43 +79,84 @@ PAGE_FEATURES = 4 + _LANGS + _SOURCES
 _EDGES = "\"'`.,;:!?()[]{}<>*#$%&+-_=/\\|~^@0123456789«»“”„‘’…–—"
 
 
-class Words(dict):
-    """Checksums of a word, of its letters in small ones, and of its beginning; 0
-    for a word without letters and for one too short to have a beginning."""
-
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        if len(self) >= _KNOWN_WORDS:
-            self.clear()
-        plain = word.decode("utf-8", "replace").lower().strip(_EDGES)
-        raw = plain.encode("utf-8", "replace")
-        begun = zlib.crc32(plain[:_BEGINNING].encode("utf-8", "replace"), 1) if len(plain) > _BEGINNING else 0
-        self[word] = found = (zlib.crc32(raw) if plain else 0, begun)
-        return found
-
-
-_words = Words()
-
-
-def _content(vocabulary: set[bytes]) -> set[int]:
-    """What different words a text has, and of which beginnings it has how many: a
-    step of ``_LEVELS`` is a feature of its own."""
-    known = list(map(_words.__getitem__, vocabulary))
-    found = {word for word, _ in known}
-    for begun, n in Counter(begun for _, begun in known).items():
-        if begun:
-            found.update((begun + level * 0x9E3779B1) & 0xFFFFFFFF for level in _LEVELS if n >= level)
-    return found - {0}
-
-
-def text_view(text: str) -> tuple[list[float], set[int]]:
-    """Shares of kinds of characters and of repeated words and lines, and the words."""
+#: Checksums have 40 bits: a polynomial of the bytes, mixed.
+_BASE, _MIX, _MASK = 0x100000001B3, 0x9E3779B97F4A7C15, (1 << 40) - 1
+
+
+def checksums(words: pa.Array) -> np.ndarray:
+    """A number for each word, the same everywhere; 0 for an empty one."""
+    starts = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[starts[0] : starts[-1]].astype(np.uint64)
+    starts -= starts[0]
+    sizes = np.diff(starts)
+    powers = np.cumprod(np.full(int(sizes.max(initial=0)) + 1, _BASE, np.uint64))
+    place = np.arange(len(data)) - np.repeat(starts[:-1], sizes)
+    found = np.zeros(len(words), np.uint64)
+    if len(data):
+        found[sizes > 0] = np.add.reduceat((data + np.uint64(1)) * powers[place], starts[:-1][sizes > 0])
+        mixed = (found ^ (found >> np.uint64(32))) * np.uint64(_MIX)
+        found = np.where(sizes > 0, (mixed >> np.uint64(24)) | np.uint64(1), np.uint64(0))
+    return found.astype(np.int64)
+
+
+def _step(begun: np.ndarray, level: int) -> np.ndarray:
+    return (begun + level * _BASE) & _MASK
+
+
+def _among(values: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(vocabulary, values)
+    return vocabulary[np.minimum(at, len(vocabulary) - 1)] == values if len(vocabulary) else np.zeros(len(values), bool)
+
+
+def contents(texts: pa.Array, vocabulary: np.ndarray | None = None) -> list[np.ndarray]:
+    """What different words each text has, and of which beginnings it has how many: a
+    step of ``_LEVELS`` is a feature of its own.
+
+    As checksums, or as places in a sorted vocabulary, where words that tell nothing
+    there are put aside before anything is sorted. A batch's different words are
+    looked at once.
+    """
+    cut = pc.ascii_split_whitespace(texts)
+    sizes = np.diff(cut.offsets.to_numpy())
+    coded = cut.flatten().dictionary_encode()
+    letters = pc.utf8_trim(pc.utf8_lower(coded.dictionary), _EDGES)
+    plain, first, of = np.unique(checksums(letters), return_index=True, return_inverse=True)
+    longer = pc.greater(pc.utf8_length(letters), _BEGINNING)
+    begun = checksums(pc.if_else(longer, pc.utf8_slice_codeunits(letters, 0, _BEGINNING), ""))[first]
+    telling = plain != 0
+    if vocabulary is not None:
+        steps = [_among(_step(begun, level), vocabulary) & (begun != 0) for level in _LEVELS]
+        telling &= _among(plain, vocabulary) | np.logical_or.reduce(steps)
+    word = of[coded.indices.to_numpy()]
+    doc = np.repeat(np.arange(len(texts)), sizes)
+    kept = telling[word]
+    each = np.unique(doc[kept] * len(plain) + word[kept]) if len(plain) else np.zeros(0, np.int64)
+    doc, word = each // max(1, len(plain)), each % max(1, len(plain))
+    docs, features = [doc], [plain[word]]
+    started = begun[word] != 0
+    starts, number = np.unique(begun[word[started]], return_inverse=True)
+    group, n = np.unique(doc[started] * len(starts) + number, return_counts=True)
+    for level in _LEVELS:
+        own = group[n >= level]
+        docs.append(own // max(1, len(starts)))
+        features.append(_step(starts[own % max(1, len(starts))], level))
+    doc, feature = np.concatenate(docs), np.concatenate(features)
+    if vocabulary is not None:
+        inside = _among(feature, vocabulary)
+        doc, feature = doc[inside], np.searchsorted(vocabulary, feature[inside])
+    order = np.lexsort((feature, doc))
+    counts = np.bincount(doc, minlength=len(texts))
+    return np.split(feature[order], np.cumsum(counts)[:-1]) if len(texts) else []
+
+
+def text_view(text: str) -> list[float]:
+    """Shares of kinds of characters and of repeated words and lines."""
     raw = text.encode("utf-8", "surrogatepass")
     counts = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     size = max(1, len(raw))
     words = raw.split()
     n = max(1, len(words))
-    vocabulary = set(words)
-    distinct = len(vocabulary)
+    distinct = len(set(words))
     same = sum(map(bytes.__eq__, words, words[1:])) if len(words) > 1 else 0
     lines = raw.split(b"\n")
     letters = int(counts[_LETTER].sum())
@@ -141,7 +176,7 @@ def text_view(text: str) -> tuple[list[float], set[int]]:
         min(40.0, size / n) / 10,
         long_words / n,
         float(not words),
-    ], _content(vocabulary)
+    ]
 
 
 def page_view(lang: str | None, source: str | None, n_chars: int | None) -> list[float]:
@@ -173,11 +208,11 @@ def _inputs(docs: DataFrame, keep_rows: bool) -> DataFrame:
     )
 
 
-def _features(batch: pa.RecordBatch) -> tuple[list[list[float]], list[set[int]]]:
+def _features(batch: pa.RecordBatch, vocabulary: np.ndarray | None) -> tuple[list[list[float]], list[np.ndarray]]:
     langs, sources, sizes, texts = (batch.column(i).to_pylist() for i in (2, 3, 4, 1))
-    found = [text_view(text) for text in texts]
     pages = map(page_view, langs, sources, sizes)
-    return [[*shape, *page] for (shape, _), page in zip(found, pages, strict=True)], [words for _, words in found]
+    dense = [[*text_view(text), *page] for text, page in zip(texts, pages, strict=True)]
+    return dense, contents(batch.column(1), vocabulary)
 
 
 def views_of(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFrame:
@@ -186,24 +221,14 @@ def views_of(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFrame
     checksums."""
 
     def view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = _places(vocabulary) if vocabulary is not None else None
         for batch in sliced(batches):
-            rows, words = _features(batch)
-            kept = [sorted(own) for own in words] if places is None else [_known(own, places) for own in words]
+            rows, kept = _features(batch, vocabulary)
             columns = [batch.column(0), pa.array(rows, pa.list_(pa.float32())), pa.array(kept, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "views", "words"])
 
     return _inputs(docs, keep_rows=False).mapInArrow(view, "doc_id long, views array<float>, words array<long>")
 
 
-def _places(vocabulary: np.ndarray) -> dict[int, int]:
-    return {int(word): i for i, word in enumerate(vocabulary)}
-
-
-def _known(words: set[int], places: dict[int, int]) -> list[int]:
-    return sorted(places[word] for word in words & places.keys())
-
-
 def _one_per_id(views: DataFrame) -> DataFrame:
     """One row of each id, the same whenever it is asked for."""
     row = F.struct(F.xxhash64("views", "words").alias("h"), "views", "words")
@@ -265,6 +290,14 @@ class Rows:
         flat = np.concatenate([np.asarray(x, np.int64) for x in words]) if len(words) else np.zeros(0, np.int64)
         return cls(dense, np.repeat(np.arange(len(words)), counts), flat)
 
+    @classmethod
+    def of_table(cls, table: pa.Table) -> Rows:
+        """Of the columns ``views`` and ``words``, without a Python object for each value."""
+        views, words = (table[name].combine_chunks() for name in ("views", "words"))
+        dense = views.flatten().to_numpy().astype(np.float64).reshape(len(views), TEXT_FEATURES + PAGE_FEATURES)
+        counts = np.diff(words.offsets.to_numpy())
+        return cls(dense, np.repeat(np.arange(len(words)), counts), words.flatten().to_numpy())
+
     def take(self, chosen: np.ndarray) -> Rows:
         place = np.cumsum(chosen) - 1
         inside = chosen[self.row]
@@ -396,9 +429,11 @@ class Training:
 
     def model(self) -> Model:
         found = Model(self.views)
+        # Few held-out rows say little, and then clean documents should stay.
+        penalty = 1 / len(self.held_y)
         for view in self.views:
-            found.calibrations.append(Logistic.fit(view.odds(self.held)[:, None], self.held_y, _LINK_PENALTY))
-        found.combination = Logistic.fit(found.calibrated(self.held), self.held_y, _LINK_PENALTY)
+            found.calibrations.append(Logistic.fit(view.odds(self.held)[:, None], self.held_y, penalty))
+        found.combination = Logistic.fit(found.calibrated(self.held), self.held_y, penalty)
         return found
 
 
@@ -427,45 +462,65 @@ def _sure(pool: DataFrame, trainings: list[Training], turn: int) -> pa.Table:
     return scored.select(F.explode(kinds).alias("kind"), "doc_id", "views", "words").toArrow()
 
 
-def _log_of(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
-    return seen * np.log(np.maximum(seen, 1e-300) / np.maximum(expected, 1e-300))
-
-
-def _vocabulary(words: list, labels: list[np.ndarray], most: int) -> np.ndarray:
+def _vocabulary(labelled: DataFrame, names: list[str], most: int) -> np.ndarray:
     """The words that tell a label's classes apart most, by the likelihood ratio of
-    their occurrence, of each label, as far as it is beyond chance."""
-    found, row_of = np.unique(np.concatenate([np.zeros(0, np.int64), *words]), return_inverse=True)
-    row = np.repeat(np.arange(len(words)), [len(x) for x in words])
-    kept: list[np.ndarray] = []
-    for y in labels:
-        known = ~np.isnan(y)
-        n, n_one = known.sum(), (y[known] >= 0.5).sum()
-        if not 0 < n_one < n:
+    their occurrence, of each label, as far as it is beyond chance; sorted.
+
+    Words are counted where they are read, and at most ``most`` of each label come
+    to the driver."""
+    found = [np.zeros(0, np.int64)]
+    words = labelled.select(F.explode("words").alias("word"), *[f"y_{name}" for name in names])
+    for name in names:
+        one, zero = (F.count_if(F.col(f"y_{name}") >= 0.5), F.count_if(F.col(f"y_{name}") < 0.5))
+        n_one, n_zero = labelled.agg(one, zero).first()
+        if not n_one or not n_zero:
             continue
-        of = known[row]
-        seen = np.bincount(row_of[of], minlength=len(found))
-        one = np.bincount(row_of[of], (y[row[of]] >= 0.5).astype(float), len(found))
-        share = n_one / n
-        ratio = 2 * (_log_of(one, seen * share) + _log_of(seen - one, seen * (1 - share)))
-        order = np.lexsort((found, -ratio))[:most]
-        kept.append(found[order[ratio[order] >= _TELLING]])
-    return np.unique(np.concatenate([np.zeros(0, np.int64), *kept]))
+        seen = words.groupBy("word").agg(one.alias("one"), zero.alias("zero"))
+        parts = []
+        for column, n in (("one", n_one), ("zero", n_zero)):
+            expected = (F.col("one") + F.col("zero")) * (n / (n_one + n_zero))
+            parts.append(F.when(F.col(column) > 0, F.col(column) * F.log(F.col(column) / expected)).otherwise(0.0))
+        told = seen.select("word", (2 * (parts[0] + parts[1])).alias("told")).where(F.col("told") >= _TELLING)
+        best = told.orderBy(F.desc("told"), "word").limit(most).collect()
+        found.append(np.array([row.word for row in best], np.int64))
+    return np.unique(np.concatenate(found))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, names: list[str], most: int) -> pa.Table:
+def _labelled(docs: DataFrame, labels: DataFrame, names: list[str], most: int) -> DataFrame:
     """At most ``most`` documents with a label: ``doc_id``, a column per label,
-    ``views`` and ``words``."""
-    present = [name for name in names if name in labels.columns]
-    means = [(F.avg(name) if name in present else F.lit(None).cast("double")).alias(f"y_{name}") for name in names]
-    known = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.count("*"), *means)
-    known = known.select("doc_id", *[f"y_{name}" for name in names])
-    known = known.where(" OR ".join(f"y_{name} IS NOT NULL" for name in names))
+    ``views`` and the checksums of all their ``words``."""
+    spark = docs.sparkSession
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    there = settle(known.join(ids, "doc_id", "left_semi"), scratch_path(docs.sparkSession, "labels"))
+    known = _known_labels(labels, names).join(ids, "doc_id", "left_semi")
     # At most ``most`` rows of some 30 bytes.
-    chosen = F.broadcast(settle(lowest(there, ["doc_id"], most), scratch_path(docs.sparkSession, "labelled")))
+    chosen = settle(lowest(settle(known, scratch_path(spark, "labels")), ["doc_id"], most), scratch_path(spark, "labelled"))
     own = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
-    return _one_per_id(views_of(own)).join(chosen, "doc_id").orderBy("doc_id").toArrow()
+    return settle(_one_per_id(views_of(own)).join(F.broadcast(chosen), "doc_id"), scratch_path(spark, "labelled-views"))
+
+
+def _known_labels(labels: DataFrame, names: list[str]) -> DataFrame:
+    """``(doc_id, y_<label>, …)``: the mean of each label of each id that has any."""
+    present = [name for name in names if name in labels.columns]
+    means = [(F.avg(name) if name in present else F.any_value(F.lit(None).cast("double"))).alias(f"y_{name}") for name in names]
+    by_id = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(*means)
+    return by_id.where(" OR ".join(f"y_{name} IS NOT NULL" for name in names))
+
+
+def _in_vocabulary(labelled: DataFrame, names: list[str], vocabulary: np.ndarray) -> pa.Table:
+    """The labelled rows with the places of their words, in the order of ids: some
+    500 bytes each."""
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for own in batch.column(2):
+                found = np.sort(own.values.to_numpy())
+                kept.append(np.searchsorted(vocabulary, found[_among(found, vocabulary)]))
+            words = pa.array(kept, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], words, *batch.columns[3:]], batch.schema.names)
+
+    rows = labelled.select("doc_id", "views", "words", *[f"y_{name}" for name in names])
+    return rows.mapInArrow(look_up, rows.schema).orderBy("doc_id").toArrow()
 
 
 def _training(label: str, rows: Rows, y: np.ndarray, max_pseudo: int) -> Training | float:
@@ -500,20 +555,17 @@ def fit(
     """Co-train on the documents and ``labels(doc_id, quality, toxic)``: the
     vocabulary, and the model of each label."""
     names = list(LABELS)
-    table = _labelled(docs, labels, names, max_labelled)
+    labelled = _labelled(docs, labels, names, max_labelled)
+    vocabulary = _vocabulary(labelled, names, max_words)
+    table = _in_vocabulary(labelled, names, vocabulary)
     ys = [table[f"y_{name}"].to_numpy().astype(float) for name in names]
-    checksums = [np.asarray(x, np.int64) for x in table["words"].to_pylist()]
-    vocabulary = _vocabulary(checksums, ys, max_words)
-    places = _places(vocabulary)
-    words = [_known(set(x.tolist()), places) for x in checksums]
-    rows = Rows.of(table["views"].to_pylist(), words)
+    rows = Rows.of_table(table)
     started = {name: _training(name, rows, y, max_pseudo) for name, y in zip(names, ys, strict=True)}
     trainings = [x for x in started.values() if isinstance(x, Training)]
     for training in trainings:
         training.train(len(vocabulary))
     if trainings and rounds:
-        named = labels.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
-        pool = _one_per_id(views_of(docs, vocabulary)).join(named, "doc_id", "left_anti")
+        pool = _one_per_id(views_of(docs, vocabulary)).join(_known_labels(labels, names), "doc_id", "left_anti")
         pool = settle(pool, scratch_path(docs.sparkSession, "views"))
         for turn in range(rounds):
             if not _exchange(_sure(pool, trainings, turn), trainings, len(vocabulary)):
@@ -561,10 +613,9 @@ def classify(docs: DataFrame, labels: DataFrame, keep_rows: bool = True, **bound
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, models = held.value
-        places = _places(vocabulary)
         for batch in sliced(batches):
-            views, words = _features(batch)
-            rows = Rows.of(np.asarray(views, np.float32), [_known(own, places) for own in words])
+            views, words = _features(batch, vocabulary)
+            rows = Rows.of(np.asarray(views, np.float32), words)
             good, bad = (models[name].scores(rows) for name in ("quality", "toxic"))
             keep = (good[:, 0] >= KEEP) | (models["quality"].combination is None)
             keep &= (bad[:, 0] < KEEP) | (models["toxic"].combination is None)

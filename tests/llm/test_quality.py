@@ -1,8 +1,7 @@
 """Co-training on held-out labels, and its edge cases."""
 
-import zlib
-
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,18 +54,32 @@ def test_the_least_of_a_convex_function():
     assert np.allclose(quality._minimum(loss, np.zeros(30)), least, atol=1e-3)
 
 
-def test_words_are_those_of_the_whole_text():
-    _, words = quality.text_view("x " * 100_000 + "“Late”, LATE! 12 é. É")
-    assert words == {zlib.crc32(w.encode()) for w in ("x", "late", "é")}
-    _, one = quality.text_view("beginnings")
-    _, two = quality.text_view("Beginnings begin... begins, beginner")
-    assert len(one) == 2 and one < two and len(two) == 4 + 3
+def words_of(*texts, vocabulary=None):
+    return [set(found.tolist()) for found in quality.contents(pa.array(texts, pa.string()), vocabulary)]
+
 
+def sums(*words):
+    return set(quality.checksums(pa.array(words)).tolist())
 
-def test_vocabulary_takes_the_telling_words():
-    words = [np.array([1, 2, 9 + i]) for i in range(20)] + [np.array([1, 3]) for _ in range(20)]
-    y = np.array([1.0] * 20 + [0.0] * 20)
-    assert quality._vocabulary(words, [y, np.full(40, np.nan)], 2).tolist() == [2, 3]
+
+def test_words_are_those_of_the_whole_text():
+    late = sums("x", "late", "é")
+    one, none, words, two = words_of("beginnings", "", "x " * 100_000 + "“Late”, LATE! 12 é. É", "Beginnings begin... begins, beginner")
+    assert words == late and none == set()
+    assert len(one) == 2 and one < two and len(two) == 4 + 3
+    vocabulary = np.unique([*two, 5, *late])
+    places = words_of("late", "Beginnings begin... begins, beginner 12", vocabulary=vocabulary)
+    assert [{int(vocabulary[i]) for i in found} for found in places] == [sums("late"), two]
+    assert 0 not in late and len(late) == 3 and sums("", "") == {0}
+    assert quality.checksums(pa.array(["", "a", "", "bc", ""]).slice(1, 3)).tolist() == quality.checksums(pa.array(["a", "", "bc"])).tolist()
+    assert words_of("late", "x", vocabulary=np.zeros(0, np.int64)) == [set(), set()]
+
+
+def test_vocabulary_takes_the_telling_words(spark):
+    rows = [([1, 2, 9 + i], 1.0, None) for i in range(20)] + [([1, 3], 0.0, None) for _ in range(20)]
+    table = spark.createDataFrame(rows, "words array<long>, y_quality double, y_toxic double")
+    assert quality._vocabulary(table, ["quality", "toxic"], 2).tolist() == [2, 3]
+    assert quality._vocabulary(table, ["quality", "toxic"], 1).tolist() == [2]
 
 
 def test_a_word_in_toxic_documents_only(spark, documents):
