@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 import inkrank as ink
 from inkrank.functions.markup import HTML_BODY, HTML_LINK, WIKI_TITLE, first_of
 from inkrank.functions.text import query_terms_of
-from inkrank.session import scratch_path, spread
+from inkrank.operators.skew import lookup
+from inkrank.session import scratch_path, settle, spread
 
 TWO_TERMS = "thtion attion"
 REPEATED_TERM = "thtion thtion attion"
@@ -422,6 +423,29 @@ def saved_graph_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(ink.rank_saved(spark, f"{path}/graph", f"{path}/steps"), "rank")
 
 
+def packed_graph_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the saved links packed as differences."""
+    path = scratch_path(spark, "packed-graph")
+    ink.write_graph(_trade_edges(spark, sf_dir), _n_sources(spark, sf_dir), f"{path}/graph", packed=True)
+    return _rounded(ink.rank_saved(spark, f"{path}/graph", f"{path}/steps"), "rank")
+
+
+def packed_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All links packed as differences of their pages' numbers, written and unpacked."""
+    path = scratch_path(spark, "packed-links")
+    counts = settle(ink.link_counts(_trade_edges(spark, sf_dir)), f"{path}/counts")
+    titles = counts.select(F.col("src").alias("title")).union(counts.select("dst")).distinct().sort("title")
+    numbers = settle(titles.withColumn("number", F.monotonically_increasing_id()), f"{path}/numbers")
+    sources = numbers.select(F.col("title").alias("src"), F.col("number").alias("from"))
+    targets = numbers.select(F.col("title").alias("dst"), F.col("number").alias("to"))
+    numbered = lookup(lookup(counts, sources, "src", "dst"), targets, "dst", "src")
+    links = numbered.select(F.col("from").alias("src"), F.col("to").alias("dst"), "n")
+    packed = settle(ink.pack_links(links, links_per_row=1000), f"{path}/packed")
+    flat = ink.unpack_links(packed).select(F.col("src").alias("from"), F.col("dst").alias("to"), "n")
+    titled = lookup(lookup(flat, sources, "from", "to"), targets, "to", "from")
+    return titled.select(F.col("src").alias("node"), "dst", "n")
+
+
 # --- the same in SQL --------------------------------------------------------
 
 # Word runs and the runs between them, line by line. Blanks at a run's side that
@@ -589,6 +613,9 @@ def _own_sql() -> dict[str, str]:
         "pagerank_step": _steps_sql(1) + "SELECT node, round(rank, 6) AS rank FROM r1",
         "pagerank_10": _steps_sql(10) + "SELECT node, round(rank, 6) AS rank FROM r10",
         "saved_graph_rank": _steps_sql(10) + "SELECT node, round(rank, 6) AS rank FROM r10",
+        "packed_graph_rank": _steps_sql(10) + "SELECT node, round(rank, 6) AS rank FROM r10",
+        "packed_adjacency": _EDGES
+        + "SELECT src AS node, dst, CAST(count(*) AS BIGINT) AS n FROM ed GROUP BY src, dst",
         "pagerank_sorted": _steps_sql(10)
         + """SELECT node, round(rank, 6) AS rank,
               row_number() OVER (ORDER BY round(rank, 6) DESC, node) AS position FROM r10""",
@@ -641,6 +668,8 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         pagerank_10,
         pagerank_sorted,
         saved_graph_rank,
+        packed_graph_rank,
+        packed_adjacency,
     ]
     return {query.__name__: query for query in registered}
 

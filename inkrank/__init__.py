@@ -8,6 +8,8 @@ from inkrank.operators.graph import (
     initial_ranks,
     link_counts,
     out_degree,
+    pack_links,
+    unpack_links,
     write_links,
 )
 from inkrank.operators.postings import (
@@ -81,6 +83,7 @@ __all__ = [
     "link_graph",
     "number_sorted",
     "out_degree",
+    "pack_links",
     "page_rank",
     "rank_saved",
     "rank_step",
@@ -108,6 +111,7 @@ __all__ = [
     "tf_idf_of_weights",
     "tf_idf_window",
     "tokenize",
+    "unpack_links",
     "write_bucketed_index",
     "write_graph",
     "write_index",

@@ -110,6 +110,16 @@ def initial_graph(edges: DataFrame, n_pages: int | DataFrame) -> DataFrame:
     return ranked.select(F.col("src").alias("node"), "rank", "dst", "n")
 
 
+def _in_blocks(links: DataFrame, links_per_row: int) -> DataFrame:
+    """The ``(src, dst, n)`` links with their ``block`` of the source's list."""
+    targets = links.groupBy("src").agg(F.count_if(F.col("n") > 0).alias("targets"))
+    blocks = F.ceil(F.col("targets") / F.lit(links_per_row)).cast("int")
+    large = targets.select("src", blocks.alias("blocks")).where("blocks > 1")
+    block = F.pmod(F.xxhash64("dst"), F.coalesce("blocks", F.lit(1))).cast("int")
+    hot = hot_keys(targets, "src", "targets")
+    return lookup(links, large, "src", "dst", "left", hot).withColumn("block", block)
+
+
 def adjacency(edges: DataFrame, n_pages: int | DataFrame, links_per_row: int = 10_000) -> DataFrame:
     """``(node, rank, block, outlinks)`` with ``outlinks`` an array of ``(dst, n)``.
 
@@ -117,15 +127,45 @@ def adjacency(edges: DataFrame, n_pages: int | DataFrame, links_per_row: int = 1
     targets; then its targets are dealt into blocks of about that many. No
     target is left out and none is in two blocks.
     """
-    links = link_counts(edges)
-    targets = links.groupBy("src").agg(F.count_if(F.col("n") > 0).alias("targets"))
-    blocks = F.ceil(F.col("targets") / F.lit(links_per_row)).cast("int")
-    large = targets.select("src", blocks.alias("blocks")).where("blocks > 1")
-    block = F.pmod(F.xxhash64("dst"), F.coalesce("blocks", F.lit(1))).cast("int")
-    hot = hot_keys(targets, "src", "targets")
-    placed = lookup(links, large, "src", "dst", "left", hot).withColumn("block", block)
+    placed = _in_blocks(link_counts(edges), links_per_row)
     packed = placed.groupBy(F.col("src").alias("node"), "block").agg(
         F.array_sort(F.collect_list(F.struct("dst", "n"))).alias("outlinks")
     )
     ranked = packed.withColumn("rank", initial_rank(n_pages)).where("rank IS NOT NULL")
     return ranked.select("node", "rank", "block", "outlinks")
+
+
+#: Links in one packed row. Unpacking adds up a row's gaps by lists that grow link by
+#: link, so its time per link follows this number.
+PACK_LINKS = 64
+
+
+def pack_links(links: DataFrame, links_per_row: int = 10_000) -> DataFrame:
+    """``(src, first, gaps, times)`` of ``(src, dst, n)`` links between numbers.
+
+    A source's targets are sorted and cut into rows of up to ``PACK_LINKS``: the first
+    target, the differences to each next one, and all multiplicities. Small
+    differences and equal multiplicities take a few bits each in parquet. Each
+    ``(src, dst)`` must be there once, and numbers are 0 or more. A source beyond
+    ``links_per_row`` targets is sorted in several blocks, as in ``adjacency``.
+    """
+    lists = _in_blocks(links, links_per_row).groupBy("src", "block").agg(
+        F.array_sort(F.collect_list(F.struct("dst", "n"))).alias("all")
+    )
+    starts = F.sequence(F.lit(1), F.size("all"), F.lit(PACK_LINKS))
+    cut = F.transform(starts, lambda at: F.slice("all", at, PACK_LINKS))
+    rows = lists.select("src", F.explode(cut).alias("row"))
+    targets = F.col("row.dst")
+    gaps = F.zip_with(F.slice(targets, 2, PACK_LINKS), F.slice(targets, F.lit(1), F.size(targets) - 1), lambda b, a: b - a)
+    return rows.select("src", targets[0].alias("first"), gaps.alias("gaps"), F.col("row.n").alias("times"))
+
+
+def unpack_links(packed: DataFrame) -> DataFrame:
+    """The ``(src, dst, n)`` links of ``pack_links``; other columns of a row are kept."""
+    others = [name for name in packed.columns if name not in ("first", "gaps", "times")]
+    begun = F.array(F.col("first"))
+    targets = F.aggregate("gaps", begun, lambda found, gap: F.concat(found, F.array(F.element_at(found, -1) + gap)))
+    # The outer explode keeps the optimizer from adding up the gaps once more to test
+    # for empty lists; there are none.
+    pairs = packed.select(*others, F.explode_outer(F.arrays_zip(targets.alias("dst"), F.col("times").alias("n"))).alias("link"))
+    return pairs.select(*others, "link.dst", "link.n")

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkrank.operators.graph import link_counts
+from inkrank.operators.graph import link_counts, pack_links, unpack_links
 from inkrank.operators.rank import DAMPING, ITERATIONS, LINKS_PER_TASK, numbered_links, numbered_nodes
 from inkrank.operators.skew import hot_keys
 from inkrank.session import scratch_folder, session_with, settle, shuffle_width
@@ -26,14 +26,19 @@ from inkrank.sources.saved import names_in, read_bucketed, read_note, write_buck
 
 _NOTE = "graph.json"
 _STATE = "number bigint, out_degree bigint, rank double"
+_FLAT = "src bigint, dst bigint, n bigint"
+_PACKED = "src bigint, first bigint, gaps array<bigint>, times array<bigint>"
 
 
-def write_graph(edges: DataFrame, n_pages: int | DataFrame, path: str) -> None:
+def write_graph(edges: DataFrame, n_pages: int | DataFrame, path: str, packed: bool = False) -> None:
     """Save the graph of ``(src, dst)`` links for any number of rankings.
 
     ``path`` gets ``nodes(node, number, out_degree)``, ``links`` and ``hot-links``,
     each ``(src, dst, n)`` in node numbers, and a note with their counts, which is
     written last. Links to pages that are not nodes are only in the out-degrees.
+
+    ``packed`` saves ``links`` as differences (``pack_links``). A step then joins one
+    row of many links instead of one row per link, and reads less.
     """
     spark = edges.sparkSession
     if read_note(spark, f"{path}/{_NOTE}"):
@@ -52,13 +57,15 @@ def write_graph(edges: DataFrame, n_pages: int | DataFrame, path: str) -> None:
         few = F.broadcast(hot.select("_slot", F.lit(True).alias("_hot")))
         marked = live.withColumn("_slot", F.xxhash64("src")).join(few, "_slot", "left").drop("_slot")
         cold = marked.where("_hot IS NULL").drop("_hot")
+        if packed:
+            cold = pack_links(cold)
         write_bucketed(cold.repartition(buckets, "src"), f"{path}/links", "src", buckets)
         marked.where("_hot").drop("_hot").write.mode("overwrite").parquet(f"{path}/hot-links")
         kept = nodes.select("node", "number", "out_degree")
         write_bucketed(kept.repartition(buckets, "number"), f"{path}/nodes", "number", buckets)
         node = kept.schema["node"].dataType.simpleString()
         counted = nodes.agg(F.count("*").alias("n_nodes"), F.sum("targets").alias("n_links")).first()
-        note = {"id": uuid.uuid4().hex, "buckets": buckets, "node": node, "n_pages": n_pages, "n_nodes": counted.n_nodes, "n_links": counted.n_links or 0}
+        note = {"id": uuid.uuid4().hex, "buckets": buckets, "node": node, "n_pages": n_pages, "n_nodes": counted.n_nodes, "n_links": counted.n_links or 0, "packed": packed}
         write_note(spark, f"{path}/{_NOTE}", note)
 
 
@@ -97,7 +104,10 @@ def _next(state: DataFrame, links: DataFrame, hot_links: DataFrame, damping: flo
     ``skew.hot_keys`` can name, of 16 bytes each."""
     shares = state.select(F.col("number").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share"))
     few = shares.join(F.broadcast(hot_links.select("src").distinct()), "src", "left_semi")
-    given = links.join(shares, "src").unionByName(hot_links.join(F.broadcast(few), "src"))
+    sent = links.join(shares, "src")
+    if "gaps" in links.columns:
+        sent = unpack_links(sent)
+    given = sent.unionByName(hot_links.join(F.broadcast(few), "src"))
     received = given.groupBy(F.col("dst").alias("number")).agg(F.sum(F.col("share") * F.col("n")).alias("received"))
     rank = F.lit(1 - damping) + F.lit(damping) * F.coalesce("received", F.lit(0.0))
     return state.select("number", "out_degree").join(received, "number", "left").select("number", "out_degree", rank.alias("rank"))
@@ -121,8 +131,8 @@ def rank_saved(
     buckets = note["buckets"]
     own = _bucket_session(spark, buckets)
     nodes = read_bucketed(own, f"{graph}/nodes", "number", buckets, f"node {note['node']}, number bigint, out_degree bigint")
-    links = read_bucketed(own, f"{graph}/links", "src", buckets, "src bigint, dst bigint, n bigint")
-    hot_links = own.read.schema(links.schema).parquet(f"{graph}/hot-links")
+    links = read_bucketed(own, f"{graph}/links", "src", buckets, _PACKED if note.get("packed") else _FLAT)
+    hot_links = own.read.schema(_FLAT).parquet(f"{graph}/hot-links")
     if not note["n_pages"]:
         return nodes.select("node", F.lit(None).cast("double").alias("rank")).where("false")
 
