@@ -28,6 +28,9 @@ from inkrank.session import scratch_path, settle
 
 WINDOW = 13
 
+#: A document is contaminated if one in so many of its words is hit.
+SHARE = 20
+
 #: Benchmark text in one automaton (about fifty times this in memory). A larger
 #: benchmark is dealt into parts of this size, one pass over the texts for each.
 PART_BYTES = 4 << 20
@@ -177,7 +180,7 @@ def find_passages(
     return out
 
 
-def contaminated(docs: DataFrame, items: DataFrame, share: int = 20, **names: str) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, share: int = SHARE, **names: str) -> DataFrame:
     """Flag documents of whose words one in ``share`` or more is hit.
 
     Adds ``n_words``, ``n_hit``, ``item_ids``, ``runs`` and ``contaminated``.

@@ -83,8 +83,9 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = debruijn.removable(_documents(spark, sf_dir))
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x.last - x.first)
+    place = F.transform("spans", lambda x: F.concat_ws(":", x.first.cast("string"), x.last.cast("string")))
     return found.select(
-        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"), "spans"
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"), F.array_join(place, ",").alias("spans")
     )
 
 
@@ -145,6 +146,9 @@ def _shipped(query: Query) -> Query:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_suffix_array": sql.repeated_bytes(suffixes.WINDOW),
+        "op4_decontamination": sql.contaminated(decontaminate.WINDOW, decontaminate.SHARE),
+        "op8_debruijn": sql.repeated_words(debruijn.WINDOW),
         "op11_jump_shards": sql.jump_shards(SHARDS),
         "op12_conversation_repair": sql.conversation_repair(),
         "op13_vector_codes": sql.vector_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 # CRC-32 of a text's bytes, by a table that a recursion over the eight bits makes.
 # 3988292384 and 4294967295 are fixed values of that checksum.
 _CRC = """
@@ -142,3 +144,84 @@ SELECT CAST(nullif(substr(best.key, 2), '') AS BIGINT) AS conv_id, coalesce(gaps
   coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
   way.cost AS cost, way.audit AS audit, sha256(substr(way.lines, 2)) AS repaired_sha256
 FROM best LEFT JOIN counted ON best.key = counted.key"""
+
+
+def repeated_bytes(window: int) -> str:
+    """Bytes in rows; a window is its bytes joined, and goes if a smaller id has it."""
+    return f"""
+WITH db AS (
+  SELECT doc_id, unnest(parts) AS byte, generate_subscripts(parts, 1) AS i, len(parts) AS size FROM (
+    SELECT doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS parts FROM documents)),
+win AS (
+  SELECT doc_id, i, md5(string_agg(byte, '') OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING)) AS gram, i + {window - 1} <= size AS whole FROM db),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY gram) AS least FROM win WHERE whole) WHERE doc_id > least),
+marked AS (
+  SELECT doc_id, i, byte, max(later.i) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM db LEFT JOIN later USING (doc_id, i)),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS starts FROM marked)
+SELECT doc_id, CAST(count(byte) AS BIGINT) AS n_bytes, CAST(count_if(gone) AS BIGINT) AS n_removed, CAST(count_if(starts) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), ''))) AS kept_sha256
+FROM (SELECT doc_id FROM documents) LEFT JOIN runs USING (doc_id) GROUP BY doc_id"""
+
+
+def contaminated(window: int, share: int) -> str:
+    """Windows of items and of documents as joined words, by each window length."""
+    folded = f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
+    words = f"regexp_extract_all({folded}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+    return f"""
+WITH dw AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM (
+    SELECT doc_id, {words} AS words FROM documents)),
+it AS (
+  SELECT item_id, words, least({window}, len(words)) AS size FROM (
+    SELECT item_id, {words} AS words FROM benchmark) WHERE len(words) > 0),
+win AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[a:a + size - 1], ' ') AS gram
+  FROM (SELECT item_id, words, size, unnest(range(1, len(words) - size + 2)) AS a FROM it)),
+sizes AS (SELECT DISTINCT size FROM win),
+wide AS (
+  SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING) AS words FROM dw),
+hits AS (
+  SELECT doc_id, i, size, item_id FROM (
+    SELECT doc_id, i, size, array_to_string(words[1:size], ' ') AS gram FROM wide, sizes WHERE len(words) >= size) g
+  JOIN win USING (size, gram)),
+covered AS (
+  SELECT doc_id, CAST(count(DISTINCT place) AS BIGINT) AS n_hit FROM (
+    SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, CAST(count(*) AS BIGINT) AS n_items, string_agg(name, ',' ORDER BY name) AS names FROM (
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id),
+sized AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_words FROM dw GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND {share} * coalesce(n_hit, 0) >= coalesce(n_words, 0) AS contaminated
+FROM (SELECT doc_id FROM documents) LEFT JOIN sized USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+def repeated_words(window: int) -> str:
+    """Words in rows; a window is its words joined, and goes if it is not its first."""
+    return f"""
+WITH dw AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i, len(words) AS size FROM (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents)),
+win AS (
+  SELECT doc_id, i, md5(string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING)) AS gram, i + {window - 1} <= size AS whole FROM dw),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) AS place FROM win WHERE whole) WHERE place > 1),
+marked AS (
+  SELECT doc_id, i, word, max(later.i) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM dw LEFT JOIN later USING (doc_id, i)),
+runs AS (
+  SELECT doc_id, min(i) - 1 AS first, max(i) AS last FROM (
+    SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked WHERE gone) GROUP BY doc_id, run),
+spans AS (SELECT doc_id, string_agg(first || ':' || last, ',' ORDER BY first) AS spans FROM runs GROUP BY doc_id)
+SELECT doc_id, CAST(count(word) AS BIGINT) AS n_words, CAST(count_if(gone) AS BIGINT) AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256,
+  coalesce(any_value(spans), '') AS spans
+FROM (SELECT doc_id FROM documents) LEFT JOIN marked USING (doc_id) LEFT JOIN spans USING (doc_id) GROUP BY doc_id"""
