@@ -6,8 +6,9 @@ several. Equal windows have equal anchors at equal places, so comparing windows
 with one anchor compares all that can be equal; neighbouring windows mostly share
 theirs, so there are far fewer anchors than windows.
 
-Texts are dealt once into groups of bounded size by id, compressed, and every
-pass over them reads that one shuffle again.
+Texts are dealt once into groups of bounded size by id and text, compressed, and every
+pass over them reads that one shuffle again. Rows without an id, or of one id, spread
+over the groups as others do; only equal rows share one.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ _ODD = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def group_of(doc: Column, groups: int) -> Column:
-    return F.pmod(F.xxhash64(doc), F.lit(groups)).cast("int")
+def group_of(doc: Column, text: Column, groups: int) -> Column:
+    return F.pmod(F.xxhash64(doc, text), F.lit(groups)).cast("int")
 
 
 def grouped(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -55,7 +56,7 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, int]:
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(packed, pa.binary())], ["grp", "doc", "packed"])
 
     key = F.coalesce("doc_id", F.lit(NO_ID))
-    dealt = docs.select(group_of(key, groups).alias("grp"), key.alias("doc"), "text")
+    dealt = docs.select(group_of(key, F.col("text"), groups).alias("grp"), key.alias("doc"), "text")
     return dealt.mapInArrow(compress, "grp int, doc long, packed binary").repartition(width, "grp"), groups
 
 

@@ -32,10 +32,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from inkrank.llm.anchors import NO_ID, Anchors, Ranges, byte_units, group_of, grouped, merged, slices
+from inkrank.llm.anchors import NO_ID, Anchors, Ranges, byte_units, grouped, merged, slices
 from inkrank.session import scratch_path, settle
 
 WINDOW = 20
@@ -44,7 +44,7 @@ GRAM = 6
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _FIRST = 0x9E3779B97F4A7C15
 _SECOND = 0xC2B2AE3D27D4EB4F
-_COPY = "source long, source_at int, size int, digest binary, grp int, doc long, at int"
+_COPY = "source long, source_at int, size int, digest binary, grp int, doc long, at int, home int"
 
 
 class _Words:
@@ -93,12 +93,14 @@ class _Group:
         order = np.argsort(mine)
         return order[np.searchsorted(mine[order], wide(run, path))]
 
-    def first(self, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        """First document and place of each path, by what the group was told."""
+    def first(self, told: pa.Table, grp: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Source of each path, by what this group ``grp`` was told: its document,
+        place and group."""
         doc, place = self.doc[self.paths].copy(), self.place[self.paths].copy()
+        home = np.full(len(self.paths), grp, np.int64)
         at = self.find(*_paths_of(told))
-        doc[at], place[at] = told.column("doc").to_numpy(), told.column("place").to_numpy()
-        return doc, place
+        doc[at], place[at], home[at] = (told.column(c).to_numpy() for c in ("doc", "place", "home"))
+        return doc, place, home
 
 
 def _paths_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +130,7 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     """
     if not 0 < gram <= window:
         raise ValueError("an anchor lies in a window")
-    texts, groups = grouped(docs)
+    texts, _ = grouped(docs)
 
     def paths(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         own = _Group(table, gram, window)
@@ -157,10 +159,10 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     def copies(key: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
         own = _Group(table, gram, window)
         is_edge = told.column("is_edge").to_numpy()
-        doc, place = own.first(told.filter(pa.array(~is_edge)))
-        # Later places of known edges, as (document, first word, source, its word).
-        later = [told.filter(pa.array(is_edge)).column(c).to_numpy() for c in ("own", "own_at", "doc", "place")]
-        source, source_at = doc[own.path_of], place[own.path_of]
+        doc, place, home = own.first(told.filter(pa.array(~is_edge)), key[0].as_py())
+        # Later places of known edges, as (document, first word, source, its word, group).
+        later = [told.filter(pa.array(is_edge)).column(c).to_numpy() for c in ("own", "own_at", "doc", "place", "home")]
+        source, source_at, source_grp = doc[own.path_of], place[own.path_of], home[own.path_of]
         copied = (source != own.doc) | (source_at != own.place)
         rows, done = [], 0
         for ids, words, found in own.parts:
@@ -168,11 +170,11 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
             done += len(found.at)
             mine = np.flatnonzero(copied[some])
             size = (found.last - found.first)[mine] + window
-            by_doc = [own.doc[some][mine], own.place[some][mine], source[some][mine], source_at[some][mine], size]
+            by_doc = [x[some][mine] for x in (own.doc, own.place, source, source_at, source_grp)] + [size]
             here = np.isin(later[0], ids)
             by_doc = [np.concatenate([a, b[here]]) for a, b in zip(by_doc, [*later, np.full(len(later[0]), window)], strict=True)]
             rows += _long_spans(key[0].as_py(), ids, words, by_doc)
-        return _table(_COPY, *(list(c) for c in zip(*rows, strict=True)) if rows else [[]] * 7)
+        return _table(_COPY, *(list(c) for c in zip(*rows, strict=True)) if rows else [[]] * 8)
 
     def confirm(key: tuple[pa.Scalar, ...], table: pa.Table, sent: pa.Table) -> pa.Table:
         wanted: dict[int, list[dict]] = {}
@@ -216,29 +218,25 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     of_run = Window.partitionBy("run")
     of_path = Window.partitionBy("run", "path").orderBy("doc", "place")
     again = seen.withColumns({"n": F.count("*").over(of_run), "branching": F.min("path").over(of_run) != F.max("path").over(of_run)})
-    # The source of a place is the one before it.
-    source = {"source": F.lag("doc").over(of_path), "source_at": F.lag("place").over(of_path)}
-    again = again.where("n > 1").drop("n").withColumns(source).where("branching or source is not null")
+    again = _with_source(again.where("n > 1").drop("n"), of_path, "doc", "place").where("branching or source is not null")
     again = settle(again, scratch_path(docs.sparkSession, "paths"))
     asked = again.where("branching and source is null").select("grp", "run", "path")
     told = again.where("source is not null")
-    told = told.select("grp", "run", "path", F.col("source").alias("doc"), F.col("source_at").alias("place"))
+    told = told.select("grp", "run", "path", F.col("source").alias("doc"), F.col("source_at").alias("place"), "home")
 
     listed = texts.groupBy("grp").cogroup(asked.groupBy("grp"))
     listed = listed.applyInArrow(edges, "grp int, edge long, edge2 long, doc long, at int")
     # Of an edge, too, each place but the first is a copy of the one before it.
     of_edge = Window.partitionBy("edge", "edge2").orderBy("doc", "at")
-    before = {"source": F.lag("doc").over(of_edge), "source_at": F.lag("at").over(of_edge)}
-    later = listed.withColumns(before).where("source < doc or source_at < at")
+    later = _with_source(listed, of_edge, "doc", "at").where("source is not null")
     later = later.select(
         "grp", F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("path"),
-        F.col("source").alias("doc"), F.col("source_at").alias("place"), F.lit(True).alias("is_edge"),
+        F.col("source").alias("doc"), F.col("source_at").alias("place"), "home", F.lit(True).alias("is_edge"),
         F.col("doc").alias("own"), F.col("at").alias("own_at"),
     )
     both = told.withColumns({"is_edge": F.lit(False), "own": F.lit(0).cast("bigint"), "own_at": F.lit(0)}).unionByName(later)
     sent = texts.groupBy("grp").cogroup(both.groupBy("grp")).applyInArrow(copies, _COPY)
-    placed = sent.withColumn("at_grp", group_of(F.col("source"), groups))
-    good = texts.groupBy("grp").cogroup(placed.groupBy("at_grp"))
+    good = texts.groupBy("grp").cogroup(sent.groupBy("home"))
     good = good.applyInArrow(confirm, "grp int, doc long, at int, size int, digest binary")
     schema = "doc long, n_words long, spans array<struct<first:int,last:int>>, kept binary"
     out = texts.groupBy("grp").cogroup(good.groupBy("grp")).applyInArrow(cut, schema)
@@ -246,15 +244,27 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     return out.select(doc_id, "n_words", "spans", "kept")
 
 
+def _with_source(rows: DataFrame, window: WindowSpec, doc: str, at: str) -> DataFrame:
+    """``source``, ``source_at`` and ``home`` of each place: document, word and group of
+    the place before it, null for the first. Rows of one id may stand at the same place
+    in several groups; they all have the source of the first of them."""
+    before = F.struct(F.lag(doc).over(window).alias("doc"), F.lag(at).over(window).alias("at"), F.lag("grp").over(window).alias("grp"))
+    same = F.col("_before.doc").eqNullSafe(F.col(doc)) & F.col("_before.at").eqNullSafe(F.col(at))
+    fresh = F.last(F.when(~same, F.col("_before")), ignorenulls=True).over(window)
+    found = rows.withColumn("_before", before).withColumn("_before", fresh)
+    source = {"source": F.col("_before.doc"), "source_at": F.col("_before.at"), "home": F.col("_before.grp")}
+    return found.withColumns(source).drop("_before")
+
+
 def _long_spans(grp: int, ids: np.ndarray, words: _Words, rows: list[np.ndarray]) -> list[tuple]:
     """Copies that follow each other at one distance from their source, as one."""
-    doc, at, source, source_at, size = rows
+    doc, at, source, source_at, home, size = rows
     if not len(doc):
         return []
     shift = source_at - at
-    order = np.lexsort((at, shift, source, doc))
-    doc, at, source, shift, size = (x[order] for x in (doc, at, source, shift, size))
-    fresh = np.concatenate([[True], (doc[1:] != doc[:-1]) | (source[1:] != source[:-1]) | (shift[1:] != shift[:-1])])
+    order = np.lexsort((at, shift, home, source, doc))
+    doc, at, source, home, shift, size = (x[order] for x in (doc, at, source, home, shift, size))
+    fresh = np.concatenate([[True], (doc[1:] != doc[:-1]) | (source[1:] != source[:-1]) | (home[1:] != home[:-1]) | (shift[1:] != shift[:-1])])
     # Within one distance, a copy that begins past the end so far begins a span.
     key = np.cumsum(fresh) - 1
     far = np.int64(1) << 32
@@ -271,5 +281,5 @@ def _long_spans(grp: int, ids: np.ndarray, words: _Words, rows: list[np.ndarray]
         for text in texts[int(doc[i])]:
             own = words.lists[text]
             if b <= len(own):
-                out.append((int(source[i]), a + int(shift[i]), b - a, _digest(own[a:b]), grp, int(doc[i]), a))
+                out.append((int(source[i]), a + int(shift[i]), b - a, _digest(own[a:b]), grp, int(doc[i]), a, int(home[i])))
     return out

@@ -27,6 +27,7 @@ equal id as one document, so neither removes from the other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,12 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkrank.llm import deepshallow
-from inkrank.llm.anchors import NO_ID, Anchors, byte_units, grouped, merged, slices
+from inkrank.llm.anchors import GROUP_BYTES, NO_ID, Anchors, byte_units, grouped, merged, slices
 from inkrank.session import shuffle_width
 
 WINDOW = 50
 GRAM = 16
 
+#: Text whose anchors share a bucket, about. A bucket is held in memory, with some 1.2
+#: bytes of classes per byte of text.
+BUCKET_BYTES = 256 << 20
+
 _TAG = np.uint64((1 << 32) - 1)
 
 _CLASSES = "grp int, bucket int, tags binary, contexts binary, docs binary"
@@ -189,8 +194,11 @@ def removable(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     """
     if not 0 < gram <= window <= 64:
         raise ValueError("windows have up to 64 bytes, and an anchor lies in one")
-    texts, _ = grouped(docs)
-    buckets = width = shuffle_width(docs.sparkSession)
+    texts, groups = grouped(docs)
+    width = shuffle_width(docs.sparkSession)
+    # A task takes its buckets one at a time, so memory follows the bucket's size, which
+    # follows the input and not the setting.
+    buckets = max(width, math.ceil(groups * GROUP_BYTES / BUCKET_BYTES))
 
     def classes(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         own = _Group(table, buckets, gram, window)

@@ -81,3 +81,14 @@ def test_rows_of_one_id_count_as_one_document(spark, tmp_path):
 
 def test_no_rows(spark, tmp_path):
     assert run(spark, tmp_path, []) == []
+
+
+def test_a_third_of_the_rows_without_id(spark, tmp_path, monkeypatch):
+    """They spread over the groups, and still count as one document before all others."""
+    monkeypatch.setattr(anchors, "GROUP_BYTES", 2000)
+    line = " ".join(f"w{i}" for i in range(25))
+    docs = [(None if i % 3 == 0 else i, f"{'n' * (i % 5)} {i} {line} {i * 31}") for i in range(240)]
+    assert run(spark, tmp_path, docs) == brute(docs)
+    texts, groups = anchors.grouped(spark.createDataFrame(docs, "doc_id long, text string"))
+    sizes = [row["count"] for row in texts.where(F.col("doc") == anchors.NO_ID).groupBy("grp").count().collect()]
+    assert groups > 10 and len(sizes) > 10 and max(sizes) < 25

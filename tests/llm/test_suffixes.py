@@ -123,3 +123,12 @@ def test_long_and_hot_texts(spark, tmp_path):
 
 def test_no_rows(spark, tmp_path):
     assert run(spark, tmp_path, []) == []
+
+
+def test_a_third_of_the_rows_without_id(spark, tmp_path, monkeypatch):
+    """They spread over the groups, and still count as one document before all others."""
+    monkeypatch.setattr(anchors, "GROUP_BYTES", 2000)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 500)
+    line = "one line of more than fifty bytes that stands in every document here"
+    docs = [(None if i % 3 == 0 else i, f"{'n' * (i % 5)} {i} {line} {i * 31}") for i in range(240)]
+    assert run(spark, tmp_path, docs) == brute(docs)
