@@ -6,7 +6,8 @@ holds one of the blocks of ``(WINDOW + 1) // 2`` words that start at multiples o
 that number, so the automaton holds those blocks (and the short items): it grows
 with the benchmark's text, not with the text times the window. A block that
 occurs in a document is extended word by word on both sides, and counts from
-``WINDOW`` equal words on.
+``WINDOW`` equal words on. A block at more than ``FEW`` places of the items is not tried
+at each of them: the windows that hold it are looked up by their words.
 
 Edge cases: null or empty texts have no words and hit nothing; an item without
 words occurs nowhere; items of equal id count once, items of null id not at all
@@ -31,6 +32,9 @@ WINDOW = 13
 #: A document is contaminated if one in so many of its words is hit.
 SHARE = 20
 
+#: Places of a block that are tried one by one.
+FEW = 8
+
 #: Benchmark text in one automaton (about fifty times this in memory). A larger
 #: benchmark is dealt into parts of this size, one pass over the texts for each.
 PART_BYTES = 4 << 20
@@ -58,7 +62,12 @@ class Matcher:
         import ahocorasick
 
         self._window, block = window, (window + 1) // 2
-        self._items = [(name, words) for name, text in items if (words := words_of(text))]
+        # Items of equal words are one, with all their names.
+        named: dict[tuple[str, ...], set[str]] = {}
+        for name, text in items:
+            if words := tuple(words_of(text)):
+                named.setdefault(words, set()).update(() if name is None else (name,))
+        self._items = [(names, list(words)) for words, names in named.items()]
         self._automaton = ahocorasick.Automaton()
         for item, (_, words) in enumerate(self._items):
             size = len(words) if len(words) < window else block
@@ -68,8 +77,23 @@ class Matcher:
                 if places is None:
                     self._automaton.add_word(key, places := (len(key), size, []))
                 places[2].append((item, at))
+        #: Of blocks at many places, the names of each window by its place before the block.
+        self._windows: dict[str, list[dict[str, set[str]]]] = {}
+        for key, (_, size, places) in self._automaton.items():
+            if size == block and len(places) > FEW:
+                self._windows[key] = self._windows_around(places, window - size)
         self._automaton.make_automaton()
 
+    def _windows_around(self, places: list[tuple[int, int]], reach: int) -> list[dict[str, set[str]]]:
+        found: list[dict[str, set[str]]] = [{} for _ in range(reach + 1)]
+        for item, at in places:
+            names, own = self._items[item]
+            for before in range(min(at, reach) + 1):
+                words = own[at - before : at - before + self._window]
+                if len(words) == self._window:
+                    found[before].setdefault(f" {' '.join(words)}", set()).update(names)
+        return found
+
     def hits(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
         """The number of words, the runs of hit words, and the items that occur."""
         words = folded(text).split()
@@ -84,8 +108,17 @@ class Matcher:
                 plain = [word.decode("latin-1") for word in words]
                 starts = [0, *np.cumsum([len(word) + 1 for word in words]).tolist()]
             first = bisect.bisect_left(starts, end - length + 1)
+            if len(places) > FEW and (known := self._windows.get(line[end - length + 1 : end + 1])):
+                for before, table in enumerate(known):
+                    a = first - before
+                    if a >= 0 and a + self._window < len(starts):
+                        found = table.get(line[starts[a] : starts[a + self._window]])
+                        if found is not None:
+                            runs.append((a, a + self._window))
+                            names |= found
+                continue
             for item, at in places:
-                name, own = self._items[item]
+                own_names, own = self._items[item]
                 a, b = first, first + size
                 if len(own) >= self._window:
                     if done.get((item, first - at), -1) >= b:
@@ -99,8 +132,7 @@ class Matcher:
                     if b - a < self._window:
                         continue
                 runs.append((a, b))
-                if name is not None:
-                    names.add(name)
+                names |= own_names
         return len(words), _merged(runs), names
 
 
@@ -136,7 +168,7 @@ def find_passages(
 ) -> DataFrame:
     """The documents with ``_n_words``, ``_runs`` of hit words and ``_items``."""
     spark = docs.sparkSession
-    items = items.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("text"))
+    items = items.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // PART_BYTES))
     part = F.pmod(F.xxhash64("name", "text"), F.lit(parts))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,3 +94,24 @@ def test_long_text(spark, documents):
     items = spark.createDataFrame([(1, "benchmark words " * 10)], "item_id long, text string")
     row = decontaminate.contaminated(documents([text]), items).select("n_words", "n_hit", F.col("contaminated")).first()
     assert tuple(row) == (300_020, 20, False)
+
+
+def test_items_that_begin_alike_are_not_tried_one_by_one():
+    head = "one two three four five six seven"
+    rng = random.Random(5)
+    tails = [" ".join(rng.choices("abcdefgh", k=10)) for _ in range(20_000)]
+    items = [(str(i), f"{head} {tail}") for i, tail in enumerate(tails)] + [("same", f"{head} {tails[7]}")]
+    matcher = decontaminate.Matcher(items)
+    text = " x ".join([f"{head} no more"] * 200 + [f"{head} {tails[7]}"])
+    started = time.process_time()
+    n, runs, names = matcher.hits(text)
+    assert time.process_time() - started < 0.2
+    start = len(text.split()) - 17
+    assert (n, runs) == (len(text.split()), [(start, start + 17)])
+    assert names >= {"7", "same"} and all(tails[int(i)][:11] == tails[7][:11] for i in names - {"same"})
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_every_block_by_its_windows(seed, monkeypatch):
+    monkeypatch.setattr(decontaminate, "FEW", 0)
+    test_matcher_equals_every_window(seed)
