@@ -45,6 +45,8 @@ _INDEX = np.dtype([("doc_id", "<i8"), ("is_null", "u1"), ("tokens", "<u4"), ("st
 DICTIONARY_DOCS = 512
 DICTIONARY_DOC_CHARS = 32 << 10
 DICTIONARY_BYTES = 112 << 10
+#: Frames that one read of a whole file takes, about.
+READ_BYTES = 4 << 20
 LEVEL = 3
 
 END_ID = 0
@@ -158,7 +160,11 @@ def write_token_files(
     # Ids are made and compressed where the texts are read; only frames are moved.
     frames = docs.mapInArrow(compress, "doc_id long, tokens long, frame binary")
     frames = settle(frames, f"{folder.rstrip('/')}/frames")
-    ordered = frames.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "frame")
+    # Rows of one id, or without one, are dealt by their frames and equal ones by their
+    # place in the written table, so no id fills a file. Ranges are drawn from short rows.
+    order = ["doc_id", "mark", "at"]
+    marked = frames.withColumns({"mark": F.xxhash64("frame"), "at": F.monotonically_increasing_id()})
+    ordered = marked.repartitionByRange(*order).sortWithinPartitions(*order).drop("mark", "at")
     manifest = ordered.mapInArrow(write, "part long, file string, rows long, tokens long")
     return settle(manifest, f"{folder.rstrip('/')}/manifest").where("rows > 0").orderBy("part")
 
@@ -193,6 +199,18 @@ class TokenFile:
         frame = self._file.read_at(int(self._ends[row]) - start, start)
         return np.frombuffer(self._unpacker.decompress(frame), self._kind).astype("<u4")
 
+    def runs(self) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """All documents in order, as the first's row and the ids of some: one read of
+        about ``READ_BYTES`` each."""
+        starts = self.index["start"].astype(np.int64)
+        a = 0
+        while a < len(starts):
+            b = max(a + 1, int(np.searchsorted(self._ends, starts[a] + READ_BYTES, "right")))
+            data = self._file.read_at(int(self._ends[b - 1] - starts[a]), int(starts[a]))
+            cuts = zip(starts[a:b] - starts[a], self._ends[a:b] - starts[a], strict=True)
+            yield a, [np.frombuffer(self._unpacker.decompress(data[x:y]), self._kind).astype("<u4") for x, y in cuts]
+            a = b
+
     def of(self, doc_id: int | None) -> list[np.ndarray]:
         """The ids of each document with this id, without reading the others."""
         same = (self.index["is_null"] == 0) & (self.index["doc_id"] == (doc_id or 0))
@@ -218,9 +236,8 @@ def read_token_files(manifest: DataFrame, folder: str, keep_ids: bool = True) ->
                 file = TokenFile(folder, name)
                 rows = file.index
                 starts = base + np.cumsum(rows["tokens"], dtype=np.int64) - rows["tokens"]
-                for at in range(0, len(rows), 1000):
-                    some = slice(at, at + 1000)
-                    ids = [file.ids(i) for i in range(at, min(at + 1000, len(rows)))]
+                for at, ids in file.runs():
+                    some = slice(at, at + len(ids))
                     columns = [
                         pa.array(rows["doc_id"][some], mask=rows["is_null"][some] == 1),
                         pa.array(starts[some], pa.int64()),

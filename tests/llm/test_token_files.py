@@ -150,3 +150,39 @@ def test_plan_does_not_grow_with_the_counts():
     small = packing.plan(histogram)
     large = packing.plan({length: n * 1_000_003 for length, n in histogram.items()})
     assert len(large) < 3 * len(small) + 10_000
+
+
+def test_a_hot_id_fills_several_files(spark, documents, plain):
+    """A third of the rows share an id, some of them their text as well."""
+    pairs = [(7 if i % 3 == 0 else i, f"text {i % 200} of some words") for i in range(3000)] + [(None, "x")] * 300
+    folder = scratch_path(spark, "test")
+    # So few rows would be put into one file.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_token_files(documents(pairs).repartition(4), folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = token_files.read_token_files(manifest, folder).collect()
+    files = [row.file for row in manifest.collect()]
+    held = [sum(int(x) == 7 for x in token_files.TokenFile(folder, name).index["doc_id"]) for name in files]
+    assert sum(n > 0 for n in held) > 1 and max(held) < 900
+    rows.sort(key=lambda row: row.start)
+    assert [row.doc_id for row in rows] == sorted((doc for doc, _ in pairs), key=lambda x: (x is not None, x or 0))
+    assert [row.start for row in rows] == np.cumsum([0, *(row.n_tokens for row in rows)])[:-1].tolist()
+    found = sorted((row.doc_id or -1, bytes(row.ids)) for row in rows)
+    assert found == sorted((doc or -1, np.array(plain(text), "<u4").tobytes()) for doc, text in pairs)
+
+
+@pytest.mark.parametrize("read_bytes", [1, 100, 4 << 20])
+def test_reads_of_any_size_give_the_same(spark, documents, monkeypatch, plain, read_bytes):
+    monkeypatch.setattr(token_files, "READ_BYTES", read_bytes)
+    folder = scratch_path(spark, "test")
+    pairs = [(i, f"{'word ' * (i * 7 % 50)}{i}") for i in range(80)]
+    manifest = token_files.write_token_files(documents(pairs), folder)
+    for row in manifest.collect():
+        file = token_files.TokenFile(folder, row.file)
+        runs = list(file.runs())
+        assert [a for a, _ in runs] == np.cumsum([0, *(len(ids) for _, ids in runs)])[:-1].tolist()
+        whole = [ids.tolist() for _, some in runs for ids in some]
+        assert whole == [file.ids(i).tolist() for i in range(row.rows)]
+        assert read_bytes > 1 or len(runs) == row.rows
