@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from inkrank.llm import golay
 from inkrank.llm.common import sliced, texts
 from inkrank.llm.components import components
-from inkrank.operators.skew import lookup
+from inkrank.operators.skew import hot_keys, lookup
 from inkrank.session import scratch_path, settle
 
 SHINGLE = 3
@@ -172,12 +172,15 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, cell: int = CELL) -> DataFra
         raise ValueError("three segments bring together up to two differing bits")
     spark = fps.sparkSession
     keyed = settle(fps.select("fp").mapInArrow(_keys, "key long, fp long, filed boolean"), scratch_path(spark, "keys"))
-    filed = keyed.where("filed").groupBy("key").agg(F.count("*").alias("n"))
-    # Keys beyond one cell are at most a 4096th of the rows; the rest has one cell.
-    large = filed.where(F.col("n") > cell).select("key", F.ceil(F.col("n") / cell).cast("int").alias("cells"))
-    dealt = keyed.join(large, "key", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
-    one = F.pmod(F.xxhash64("fp"), F.col("cells")).cast("int")
-    every = F.sequence(F.lit(0), F.col("cells") - 1)
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.count_if("filed").alias("n_filed"))
+    sizes = settle(sizes.where(F.col("n_filed") > cell), scratch_path(spark, "large-keys"))
+    # Keys beyond one cell are at most a 4096th of the rows; the rest has one cell. One
+    # of them may hold many rows, so they are told their cells by dealt joins.
+    large = sizes.select("key", F.ceil(F.col("n_filed") / cell).cast("int").alias("parts"))
+    dealt = lookup(keyed, large, "key", "fp", "left", hot_keys(sizes, "key", "n"))
+    dealt = dealt.withColumn("parts", F.coalesce("parts", F.lit(1)))
+    one = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
     dealt = dealt.select("key", F.explode(F.when(F.col("filed"), F.array(one)).otherwise(every)).alias("cell"), "fp", "filed")
     ordered = dealt.repartition("key", "cell").sortWithinPartitions("key", "cell", F.desc("filed"))
     return ordered.mapInArrow(_linked(max_bits), "a long, b long").distinct()

@@ -9,6 +9,10 @@ import xxhash
 
 from inkrank.llm import golay, queries, simhash
 from inkrank.llm.components import components
+from inkrank.operators.skew import hot_keys
+
+#: Differences of up to two bits.
+CLOSE = {1 << a | 1 << b for a in range(64) for b in range(64)}
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -118,3 +122,18 @@ def test_nulls_and_no_rows(spark, documents):
     assert simhash.near_duplicates(documents([])).count() == 0
     with pytest.raises(ValueError):
         simhash.links(documents([]).selectExpr("doc_id as fp"), max_bits=3)
+
+
+def test_a_key_with_a_third_of_the_fingerprints(spark, monkeypatch):
+    """Its cells are told by dealt joins; links stay whole."""
+    monkeypatch.setattr(hot_keys, "__defaults__", (None, 5))
+    rng = random.Random(11)
+    same = [rng.getrandbits(42) << 22 | 5 for _ in range(600)]
+    near = [fp ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for fp in same[:200]]
+    fps = sorted({*same, *near, *(rng.getrandbits(64) for _ in range(600))})
+    signed = [fp - (1 << 64) if fp >> 63 else fp for fp in fps]
+    table = spark.createDataFrame([(fp,) for fp in signed], "fp long")
+    found = {frozenset((row.a, row.b)) for row in simhash.links(table, cell=50).collect()}
+    near_by = brute_components(signed, lambda a, b: (a ^ b) % (1 << 64) in CLOSE)
+    assert brute_components(signed, lambda a, b: frozenset((a, b)) in found) == near_by
+    assert len(set(near_by.values())) < len(signed) - 150
