@@ -61,6 +61,8 @@ CONTEXT = 3
 #: the made ones.
 TRAINING_DOCS = 500
 TRAINING_SEQUENCES = 4000
+#: Words of a training sequence at most; longer ones are labelled, but not learnt from.
+TRAINING_WORDS = 200
 MADE_TEXTS = 2000
 
 _FEATURES = 1 << 14
@@ -123,7 +125,7 @@ def shape(word: str) -> str:
     """Capitals as X, other letters as x, digits as their number, marks as such."""
     out: list[str] = []
     digits = 0
-    for c in word[:64]:
+    for c in word:
         if "0" <= c <= "9":
             digits += 1
             continue
@@ -135,7 +137,7 @@ def shape(word: str) -> str:
             out.append(kind)
     if digits:
         out.append(f"<{min(digits, 20)}>")
-    return "".join(out[:24]) + ("~" if len(word) > 64 else "")
+    return "".join(out)
 
 
 @dataclass
@@ -552,7 +554,7 @@ def labelled_words(docs: DataFrame) -> list[tuple[list[str], list[int]]]:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 spans = base_spans(text)
                 for n, found in enumerate(sequences(text)):
-                    if len(found.shapes) <= 200 and not _doubtful(text, found, spans):
+                    if len(found.shapes) <= TRAINING_WORDS and not _doubtful(text, found, spans):
                         rows.append((doc, n, found.shapes, labels_of(found, spans).tolist()))
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()))
             columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]

@@ -111,11 +111,11 @@ def features(text: str, span: Finding, path: str | None, dictionary: frozenset[s
     before, after = left.split()[-1:] or [""], right.split()[:1] or [""]
     near = left.lower()[-24:]
     return [
-        float(min(len(value), 200)),
+        float(len(value)),
         *shares,
         changes,
-        _entropy(value[:200]),
-        len(set(value[:200])) / min(200, len(value)),
+        _entropy(value),
+        len(set(value)) / len(value),
         covered / len(value),
         vowels,
         float(all(c in "0123456789abcdef" for c in lowered)),
@@ -293,7 +293,7 @@ def dictionary_of(docs: DataFrame) -> frozenset[str]:
         for batch in sliced(batches, 0):
             for text in batch.column(0).to_pylist():
                 seen[""] += 1  # the documents
-                seen.update({word for word in _WORDS.findall(text.lower()) if len(word) < 30})
+                seen.update(set(_WORDS.findall(text.lower())))
             if len(seen) > 200_000:
                 yield rows()
                 seen.clear()
@@ -322,7 +322,7 @@ def fit(docs: DataFrame, findings: DataFrame | None = None) -> Forest:
             rows = []
             for text, path in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 for a, b in candidates(text):
-                    if (secret := _corpus_label(text, (a, b))) is not None and b - a < 500:
+                    if (secret := _corpus_label(text, (a, b))) is not None:
                         cut = max(0, a - 40)
                         rows.append((text[cut : b + 40], a - cut, b - cut, path, secret))
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
@@ -338,7 +338,8 @@ def fit(docs: DataFrame, findings: DataFrame | None = None) -> Forest:
         own = lowest(table, keys, TRAINING_FINDINGS).collect()
     dictionary = dictionary_of(docs)
     if findings is not None:
-        own = findings.select("text", "start", "end", "path", "secret").limit(TRAINING_FINDINGS).collect()
+        keys = ["text", "start", "end", "path"]
+        own = lowest(findings.select(*keys, "secret"), keys, TRAINING_FINDINGS).collect()
         rows = [tuple(row) for row in own]
     else:
         rows = made_findings() + [(row.text, row.start, row.end, row.path, row.secret) for row in own]
