@@ -61,7 +61,7 @@ from inkrank.sources.counts import (
     saved_size,
     saved_tf_idf,
 )
-from inkrank.sources.index import read_index, read_packed, write_index, write_packed
+from inkrank.sources.index import packed_order, read_index, read_packed, write_index, write_packed
 from inkrank.sources.sinks import write_tsv
 
 __all__ = [
@@ -84,6 +84,7 @@ __all__ = [
     "number_sorted",
     "out_degree",
     "pack_links",
+    "packed_order",
     "page_rank",
     "rank_saved",
     "rank_step",

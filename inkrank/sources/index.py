@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkrank.sources.sinks import as_text
 
 # Fixed value: what stands between term and document in the packed text form.
 PACK = "#####"
-PACKED_LINE = r"(?s)^(.*)" + PACK + r"(.*)\t([^\t]*)$"
 
 
 def write_index(index: DataFrame, path: str, overwrite: bool = False) -> None:
@@ -48,10 +51,82 @@ def write_packed(postings: DataFrame, path: str, overwrite: bool = False) -> Non
 
 
 def read_packed(spark: SparkSession, path: str, value: str = "tf_idf") -> DataFrame:
-    """Read packed text. The split is at the last mark, so a term may end in ``#``."""
+    """Read packed text. The split is at the last mark, so a term may end in ``#``.
+
+    A line is cut at its last tab and there at the last mark, counted from the right:
+    a pattern would go through the line once for each column and step back for each
+    mark. A line without a tab or a mark is no posting: empty names and no value.
+    """
     line = F.col("value")
-    return spark.read.text(path).select(
-        F.regexp_extract(line, PACKED_LINE, 1).alias("term"),
-        F.regexp_extract(line, PACKED_LINE, 2).alias("doc"),
-        F.regexp_extract(line, PACKED_LINE, 3).cast("double").alias(value),
+    number = F.substring_index(line, "\t", -1)
+    lines = spark.read.text(path).select(line, number.alias("_number"))
+    key = F.left(line, F.char_length(line) - F.char_length("_number") - 1)
+    keys = lines.select(F.when(F.contains(line, F.lit("\t")), key).alias("_key"), "_number")
+    keys = keys.withColumn("_found", F.coalesce(F.contains("_key", F.lit(PACK)), F.lit(False)))
+    parts = keys.withColumn("_doc", F.substring_index("_key", PACK, -1))
+    term = F.left("_key", F.char_length("_key") - F.char_length("_doc") - len(PACK))
+    return parts.select(
+        F.when(F.col("_found"), term).otherwise("").alias("term"),
+        F.when(F.col("_found"), F.col("_doc")).otherwise("").alias("doc"),
+        F.when(F.col("_found"), F.col("_number").cast("double")).alias(value),
+    )
+
+
+def packed_order(spark: SparkSession, path: str) -> DataFrame:
+    """``(ordered, n_lines)``: how many lines of packed text have a key that is not less
+    than the one before it in its file.
+
+    A task reads pieces of files from front to back and compares neighbours where they
+    are. Only the ends of each piece are moved, to be compared with the next piece.
+    """
+    meta = F.col("_metadata")
+    lines = spark.read.text(path).select(
+        F.regexp_extract("value", r"(?s)^(.*)\t", 1).alias("key"),
+        meta.file_path.alias("file"),
+        meta.file_block_start.alias("block"),
     )
+    pieces = lines.mapInArrow(_pieces, "file string, block long, first string, last string, kept long, broken long")
+    # As many rows as pieces; a block without lines has none and is stepped over.
+    before = F.lag("last").over(Window.partitionBy("file").orderBy("block"))
+    joined = (F.coalesce(before, F.lit("")) <= F.col("first")).alias("joined")
+    pieces = pieces.select("kept", "broken", joined)
+    kept, broken = F.col("kept") + F.col("joined").cast("long"), F.col("broken") + (~F.col("joined")).cast("long")
+    by_order = [F.struct(F.lit(order).alias("ordered"), n.alias("n")) for order, n in ((True, kept), (False, broken))]
+    counted = pieces.select(F.explode(F.array(*by_order)).alias("x"))
+    whole = counted.groupBy(F.col("x.ordered").alias("ordered")).agg(F.sum("x.n").alias("n_lines"))
+    return whole.where("n_lines > 0")
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per piece of a file: its ends and its pairs of neighbours in and out of order."""
+    piece = None
+    for batch in batches:
+        key, file, block = (batch.column(i) for i in range(3))
+        n = batch.num_rows
+        if not n:
+            continue
+        key = key.cast(pa.large_binary())
+        same = pc.and_(pc.equal(file[1:], file[:-1]), pc.equal(block[1:], block[:-1]))
+        ordered = pc.less_equal(key[:-1], key[1:])
+        starts = [0, *(pc.indices_nonzero(pc.invert(same)).to_numpy() + 1).tolist()]
+        for start, end in zip(starts, [*starts[1:], n], strict=True):
+            place = (file[start].as_py(), block[start].as_py())
+            first, last = key[start].as_py(), key[end - 1].as_py()
+            kept = pc.sum(ordered[start : end - 1]).as_py() or 0
+            counts = [kept, end - 1 - start - kept]
+            if piece and piece[0] == place:
+                counts[piece[2] > first] += 1
+                piece[2] = last
+                piece[3] = [a + b for a, b in zip(piece[3], counts, strict=True)]
+                continue
+            if piece:
+                yield _piece_row(piece)
+            piece = [place, first, last, counts]
+    if piece:
+        yield _piece_row(piece)
+
+
+def _piece_row(piece: list) -> pa.RecordBatch:
+    (file, block), first, last, (kept, broken) = piece
+    values = [file, block, first.decode(), last.decode(), kept, broken]
+    return pa.RecordBatch.from_pylist([dict(zip(("file", "block", "first", "last", "kept", "broken"), values, strict=True))])

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import inkrank as ink
+from inkrank.functions.text import folded
+from inkrank.operators.search import _wanted, scored_in_cells
 from inkrank.operators.search import query_weights
 
 GOLDEN_COUNTS = [
@@ -199,3 +201,66 @@ def test_table_of_queries_on_texts(spark, small, broadcast_bytes):
         )
     )
     assert found == pytest.approx(expected, abs=1e-9) and found
+
+
+def _many(spark):
+    rows = [(f"t{i % 7}", f"D{i % 31}", float(i % 5 + 1)) for i in range(31 * 7)] + [(None, "D1", 9.0)]
+    index = spark.createDataFrame(rows, "term STRING, doc STRING, tf_idf DOUBLE")
+    asked = [(None, "t1 T1 t2"), (3, "t0 t3 t4 zz"), (3, "t4"), (4, ""), (5, None), (6, "t6")]
+    return index, spark.createDataFrame(asked, "query_id BIGINT, query_text STRING")
+
+
+@pytest.mark.parametrize("bytes_", [0, 1 << 20])
+def test_matches_are_added_up_where_they_arise(spark, plan, bytes_):
+    index, queries = _many(spark)
+    result = ink.search_many(index, queries, broadcast_bytes=bytes_)
+    # Neither the matches nor their sums are moved.
+    joined = plan(result).split("Join")[0]
+    assert "Exchange" not in joined
+    expected = {}
+    for row in index.where("term IS NOT NULL").collect():
+        for query in queries.collect():
+            times = (query.query_text or "").lower().split().count(row.term)
+            if times:
+                key = (query.query_id, row.doc.lower())
+                expected[key] = expected.get(key, 0.0) + times * row.tf_idf
+    assert {(r.query_id, r.doc): r.score for r in result.collect()} == pytest.approx(expected)
+
+
+def test_queries_of_several_columns(spark, tmp_path):
+    index, queries = _many(spark)
+    whole = ink.search_many(index, queries)
+    path = str(tmp_path / "postings")
+    index.select(F.lower("doc").alias("doc"), F.coalesce("term", F.lit("")).alias("term"), "tf_idf").write.parquet(path)
+    cut = scored_in_cells(spark, path, _wanted(queries, "query_id", "query_text"), "query_id", cell_bytes=100)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_texts_are_split_once_for_many_queries(spark, plan):
+    texts = spark.createDataFrame([("a", "x y"), ("b", "y z")], "doc STRING, text STRING")
+    counts = ink.doc_word_count(ink.tokenize(texts))
+    index = ink.tf_idf(counts, 2)
+    postings = index.select(F.coalesce(folded(F.col("term")), F.lit("")).alias("t"))
+    wanted = spark.createDataFrame([("y",)], "t STRING")
+    assert "isnotnull(CASE" not in plan(postings.join(F.broadcast(wanted), "t"))
+
+
+def test_packed_lines_without_mark_or_tab(spark, tmp_path):
+    lines = ["a#####b\t2", "a######b\t1", "no mark\t3", "a#####no tab", "x\ty#####z\t4", "", "#####\t5", "a#####b#####c\tq"]
+    spark.createDataFrame([(line,) for line in lines], "value STRING").coalesce(1).write.text(str(tmp_path / "p"))
+    found = {(r.term, r.doc, r.n) for r in ink.read_packed(spark, str(tmp_path / "p"), "n").where("term <> 'a#####b'").collect()}
+    assert found == {("a", "b", 2.0), ("a#", "b", 1.0), ("", "", None), ("x\ty", "z", 4.0), ("", "", 5.0)}
+
+
+def test_order_of_packed_lines_moves_the_ends_only(spark, tmp_path, plan):
+    for name, lines in (("one", ["a#####1\t1", "c#####1\t1", "b#####1\t1", "b#####1\t2"]), ("two", ["é#####1\t1"])):
+        (tmp_path / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "15")
+    try:
+        found = ink.packed_order(spark, str(tmp_path))
+        assert {(r.ordered, r.n_lines) for r in found.collect()} == {(True, 4), (False, 1)}
+        text = plan(found)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert text.rindex("Window") < text.index("MapInArrow")
+    assert {(r.ordered, r.n_lines) for r in ink.packed_order(spark, str(tmp_path)).collect()} == {(True, 4), (False, 1)}
