@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -79,15 +80,18 @@ def packed_order(spark: SparkSession, path: str) -> DataFrame:
     A task reads pieces of files from front to back and compares neighbours where they
     are. Only the ends of each piece are moved, to be compared with the next piece.
     """
-    meta = F.col("_metadata")
+    meta, line = F.col("_metadata"), F.col("value")
+    key = F.left(line, F.char_length(line) - F.char_length(F.substring_index(line, "\t", -1)) - 1)
+    # A file's name as two hashes: its path with each line would outweigh the keys.
     lines = spark.read.text(path).select(
-        F.regexp_extract("value", r"(?s)^(.*)\t", 1).alias("key"),
-        meta.file_path.alias("file"),
+        F.when(F.contains(line, F.lit("\t")), key).otherwise("").alias("key"),
+        F.xxhash64(meta.file_path).alias("file"),
+        F.hash(meta.file_path).alias("more"),
         meta.file_block_start.alias("block"),
     )
-    pieces = lines.mapInArrow(_pieces, "file string, block long, first string, last string, kept long, broken long")
+    pieces = lines.mapInArrow(_pieces, "file long, more int, block long, first string, last string, kept long, broken long")
     # As many rows as pieces; a block without lines has none and is stepped over.
-    before = F.lag("last").over(Window.partitionBy("file").orderBy("block"))
+    before = F.lag("last").over(Window.partitionBy("file", "more").orderBy("block"))
     joined = (F.coalesce(before, F.lit("")) <= F.col("first")).alias("joined")
     pieces = pieces.select("kept", "broken", joined)
     kept, broken = F.col("kept") + F.col("joined").cast("long"), F.col("broken") + (~F.col("joined")).cast("long")
@@ -101,32 +105,34 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per piece of a file: its ends and its pairs of neighbours in and out of order."""
     piece = None
     for batch in batches:
-        key, file, block = (batch.column(i) for i in range(3))
+        key, *place = batch.columns
         n = batch.num_rows
         if not n:
             continue
         key = key.cast(pa.large_binary())
-        same = pc.and_(pc.equal(file[1:], file[:-1]), pc.equal(block[1:], block[:-1]))
+        same = reduce(pc.and_, [pc.equal(part[1:], part[:-1]) for part in place])
         ordered = pc.less_equal(key[:-1], key[1:])
         starts = [0, *(pc.indices_nonzero(pc.invert(same)).to_numpy() + 1).tolist()]
         for start, end in zip(starts, [*starts[1:], n], strict=True):
-            place = (file[start].as_py(), block[start].as_py())
+            at = [part[start].as_py() for part in place]
             first, last = key[start].as_py(), key[end - 1].as_py()
             kept = pc.sum(ordered[start : end - 1]).as_py() or 0
             counts = [kept, end - 1 - start - kept]
-            if piece and piece[0] == place:
+            if piece and piece[0] == at:
                 counts[piece[2] > first] += 1
                 piece[2] = last
                 piece[3] = [a + b for a, b in zip(piece[3], counts, strict=True)]
                 continue
             if piece:
                 yield _piece_row(piece)
-            piece = [place, first, last, counts]
+            piece = [at, first, last, counts]
     if piece:
         yield _piece_row(piece)
 
 
 def _piece_row(piece: list) -> pa.RecordBatch:
-    (file, block), first, last, (kept, broken) = piece
-    values = [file, block, first.decode(), last.decode(), kept, broken]
-    return pa.RecordBatch.from_pylist([dict(zip(("file", "block", "first", "last", "kept", "broken"), values, strict=True))])
+    place, first, last, counts = piece
+    values = [*place, first.decode(), last.decode(), *counts]
+    names = ("file", "more", "block", "first", "last", "kept", "broken")
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, types, strict=True)], names)
