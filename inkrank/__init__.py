@@ -7,6 +7,7 @@ from inkrank.operators.graph import (
     initial_graph,
     initial_ranks,
     link_counts,
+    numbered_titles,
     out_degree,
     pack_links,
     unpack_links,
@@ -82,6 +83,7 @@ __all__ = [
     "link_counts",
     "link_graph",
     "number_sorted",
+    "numbered_titles",
     "out_degree",
     "pack_links",
     "packed_order",

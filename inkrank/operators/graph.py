@@ -110,9 +110,10 @@ def initial_graph(edges: DataFrame, n_pages: int | DataFrame) -> DataFrame:
     return ranked.select(F.col("src").alias("node"), "rank", "dst", "n")
 
 
-def _in_blocks(links: DataFrame, links_per_row: int) -> DataFrame:
+def _in_blocks(links: DataFrame, links_per_row: int, targets: DataFrame | None = None) -> DataFrame:
     """The ``(src, dst, n)`` links with their ``block`` of the source's list."""
-    targets = links.groupBy("src").agg(F.count_if(F.col("n") > 0).alias("targets"))
+    if targets is None:
+        targets = links.groupBy("src").agg(F.count_if(F.col("n") > 0).alias("targets"))
     blocks = F.ceil(F.col("targets") / F.lit(links_per_row)).cast("int")
     large = targets.select("src", blocks.alias("blocks")).where("blocks > 1")
     block = F.pmod(F.xxhash64("dst"), F.coalesce("blocks", F.lit(1))).cast("int")
@@ -140,7 +141,17 @@ def adjacency(edges: DataFrame, n_pages: int | DataFrame, links_per_row: int = 1
 PACK_LINKS = 64
 
 
-def pack_links(links: DataFrame, links_per_row: int = 10_000) -> DataFrame:
+def numbered_titles(counts: DataFrame) -> DataFrame:
+    """``(title, number, targets, sources)``: all ends of ``(src, dst, n)`` links,
+    numbered in the order of titles, with how many distinct titles each links to and
+    is linked from."""
+    out = counts.select(F.col("src").alias("title"), F.lit(1).alias("targets"), F.lit(0).alias("sources"))
+    into = counts.select(F.col("dst").alias("title"), F.lit(0).alias("targets"), F.lit(1).alias("sources"))
+    ends = out.union(into).groupBy("title").agg(F.sum("targets").alias("targets"), F.sum("sources").alias("sources"))
+    return ends.sort("title").select("title", F.monotonically_increasing_id().alias("number"), "targets", "sources")
+
+
+def pack_links(links: DataFrame, links_per_row: int = 10_000, targets: DataFrame | None = None) -> DataFrame:
     """``(src, first, gaps, times)`` of ``(src, dst, n)`` links between numbers.
 
     A source's targets are sorted and cut into rows of up to ``PACK_LINKS``: the first
@@ -148,8 +159,9 @@ def pack_links(links: DataFrame, links_per_row: int = 10_000) -> DataFrame:
     differences and equal multiplicities take a few bits each in parquet. Each
     ``(src, dst)`` must be there once, and numbers are 0 or more. A source beyond
     ``links_per_row`` targets is sorted in several blocks, as in ``adjacency``.
+    ``targets`` is ``(src, targets)``, the number of each source's, if that is known.
     """
-    lists = _in_blocks(links, links_per_row).groupBy("src", "block").agg(
+    lists = _in_blocks(links, links_per_row, targets).groupBy("src", "block").agg(
         F.array_sort(F.collect_list(F.struct("dst", "n"))).alias("all")
     )
     starts = F.sequence(F.lit(1), F.size("all"), F.lit(PACK_LINKS))

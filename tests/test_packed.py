@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import inkrank as ink
+from __spark_entry__ import own_queries
 from inkrank.operators import saved_rank
 from inkrank.operators.graph import PACK_LINKS
 from inkrank.operators.skew import hot_keys
@@ -107,3 +108,28 @@ def test_a_step_joins_rows_and_shuffles_sums(spark, tmp_path, plan):
     moved = [line for line in text.splitlines() if "Exchange" in line]
     assert len(moved) == 1 and "hashpartitioning(dst" in moved[0]
     assert text.index("Generate explode") < text.index("SortMergeJoin [src") and text.count("aggregate(gaps") == 1
+
+
+def test_titles_are_numbered_in_order_with_their_links(spark):
+    counts = spark.createDataFrame([("b", "a", 2), ("b", "d", 1), ("a", "a", 1), ("c", "d", 5)], "src string, dst string, n bigint")
+    rows = ink.numbered_titles(counts).orderBy("number").collect()
+    assert [(r.title, r.targets, r.sources) for r in rows] == [("a", 1, 2), ("b", 2, 0), ("c", 1, 0), ("d", 0, 2)]
+    assert len({r.number for r in rows}) == 4
+
+
+def test_known_list_lengths_pack_the_same(spark):
+    rows = [(0, 3 * i, 1 + i % 2) for i in range(700)] + [(i, 0, 1) for i in range(1, 30)]
+    links = spark.createDataFrame(rows, LINKS)
+    sizes = links.groupBy("src").agg(F.count("*").alias("targets"))
+
+    def rows_of(packed):
+        return sorted((r.src, r.first, tuple(r.gaps), tuple(r.times)) for r in packed.collect())
+
+    known = ink.pack_links(links, links_per_row=100, targets=sizes)
+    assert rows_of(known) == rows_of(ink.pack_links(links, links_per_row=100))
+    assert sorted(tuple(row) for row in ink.unpack_links(known).collect()) == sorted(rows)
+
+
+def test_packed_adjacency_unpacks_its_links_once(spark, small, plan):
+    text = plan(own_queries()["packed_adjacency"](spark, small))
+    assert text.count("aggregate(gaps") == 1
