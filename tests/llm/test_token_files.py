@@ -186,3 +186,14 @@ def test_reads_of_any_size_give_the_same(spark, documents, monkeypatch, plain, r
         whole = [ids.tolist() for _, some in runs for ids in some]
         assert whole == [file.ids(i).tolist() for i in range(row.rows)]
         assert read_bytes > 1 or len(runs) == row.rows
+
+
+def test_words_with_marks_and_words_not_there():
+    """A miss is told by the dict itself; letters and marks of a word may be there before it."""
+    words = Encoder(default_tokenizer())
+    texts = ["so it", "so, it goes. (so) ,, .so so.)", ", so,", "goes.)\nso, ...", "", "so  it,"]
+    whole = [list(x) for x in words._whole(texts)]
+    assert type(words._places) is dict and words._at(["so", "it"]).tolist() == [-1, -1]
+    assert [list(words.encode([text])[0]) for text in texts] == whole
+    assert [list(x) for x in words.encode(texts)] == whole
+    assert words._at(["so", "nowhere"])[0] >= 0 > words._at(["so", "nowhere"])[1]
