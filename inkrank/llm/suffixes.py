@@ -62,6 +62,21 @@ def from_planes(data: bytes, width: int) -> np.ndarray:
     return out.view(np.uint64).reshape(-1)
 
 
+def _by_class(anchor: np.ndarray, context: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """An order by anchor, windows and id. Most anchors are there once, so they are sorted
+    alone, and only rows that share one are sorted by all three."""
+    order = np.argsort(anchor)
+    a = anchor[order]
+    same = a[1:] == a[:-1]
+    shared = np.zeros(len(order), bool)
+    shared[1:] = same
+    shared[:-1] |= same
+    at = np.flatnonzero(shared)
+    rows = order[at]
+    order[at] = rows[np.lexsort((doc[rows], context[rows], anchor[rows]))]
+    return order
+
+
 class _Group:
     """The anchors of one group of texts, by class: anchor and windows."""
 
@@ -83,21 +98,29 @@ class _Group:
         self.anchor = (bucket << np.uint64(32)) | (key & _TAG)
         self.context = np.concatenate([none, *contexts])
         self.doc = np.concatenate([none.astype(np.int64), *docs])
-        order = np.lexsort((self.doc, self.context, self.anchor))
+        order = _by_class(self.anchor, self.context, self.doc)
         a, c = self.anchor[order], self.context[order]
         fresh = np.concatenate([np.ones(min(1, len(a)), bool), (a[1:] != a[:-1]) | (c[1:] != c[:-1])])
         #: One row per class: an anchor of it in a least document.
         self.classes = order[fresh]
+        self._own = a[fresh], c[fresh]
         self.class_of = np.zeros(len(order), np.int64)
         self.class_of[order] = np.cumsum(fresh) - 1
 
     def find(self, anchor: np.ndarray, context: np.ndarray) -> np.ndarray:
         """The class of each (anchor, windows) pair, all of which are there."""
-        own = self.anchor[self.classes], self.context[self.classes]
-        anchors, contexts = np.unique(own[0]), np.unique(own[1])
-        wide = lambda a, c: (np.searchsorted(anchors, a) << 32) | np.searchsorted(contexts, c)
-        # Classes are in order of anchor and windows, and so are these.
-        return np.searchsorted(wide(*own), wide(anchor, context))
+        # Classes are in order of anchor and windows: an anchor's are halved until one is left.
+        anchors, contexts = self._own
+        low = np.searchsorted(anchors, anchor)
+        high = np.searchsorted(anchors, anchor, "right")
+        several = np.flatnonzero(high - low > 1)
+        while len(several):
+            middle = (low[several] + high[several]) >> 1
+            above = contexts[middle] <= context[several]
+            low[several[above]] = middle[above]
+            high[several[~above]] = middle[~above]
+            several = several[high[several] - low[several] > 1]
+        return low
 
 
 def _by_bucket(anchor: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -135,7 +158,7 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
 def _settled(table: pa.Table) -> pa.Table:
     """Of one bucket: what the groups need to know, with the least id overall."""
     grp, anchor, context, doc = _unpacked(table)
-    order = np.lexsort((doc, context, anchor))
+    order = _by_class(anchor, context, doc)
     a, c = anchor[order], context[order]
     new_anchor = np.concatenate([np.ones(min(1, len(a)), bool), a[1:] != a[:-1]])
     fresh = new_anchor.copy()

@@ -132,3 +132,22 @@ def test_a_third_of_the_rows_without_id(spark, tmp_path, monkeypatch):
     line = "one line of more than fifty bytes that stands in every document here"
     docs = [(None if i % 3 == 0 else i, f"{'n' * (i % 5)} {i} {line} {i * 31}") for i in range(240)]
     assert run(spark, tmp_path, docs) == brute(docs)
+
+
+@pytest.mark.parametrize("kinds", [1, 3, 40])
+def test_classes_in_order_and_found_among_many(kinds):
+    """Anchors of one row and of many, with equal windows and equal ids among them."""
+    rng = np.random.default_rng(kinds)
+    anchor = rng.integers(0, 60, 500).astype(np.uint64) << np.uint64(58)
+    context = rng.integers(0, kinds, 500).astype(np.uint64) << np.uint64(57)
+    doc = rng.integers(-3, 3, 500)
+    order = suffixes._by_class(anchor, context, doc)
+    by_hand = np.lexsort((doc, context, anchor))
+    for column in (anchor, context, doc):
+        assert (column[order] == column[by_hand]).all()
+    pairs = sorted(set(zip(anchor.tolist(), context.tolist(), strict=True)))
+    group = object.__new__(suffixes._Group)
+    group._own = tuple(np.array(column, np.uint64) for column in zip(*pairs, strict=True))
+    found = group.find(anchor, context)
+    assert [pairs[i] for i in found] == list(zip(anchor.tolist(), context.tolist(), strict=True))
+    assert len(suffixes._by_class(anchor[:0], context[:0], doc[:0])) == len(group.find(anchor[:0], context[:0])) == 0
