@@ -52,6 +52,9 @@ KEEP = 0.5
 #: The labels and the score of each without any.
 LABELS = {"quality": 0.5, "toxic": 0.0}
 
+#: Words whose sums are made at a time.
+_PART = 1 << 17
+
 _LANGS, _SOURCES = 8, 32
 _PENALTY = 1e-2
 
@@ -277,35 +280,68 @@ class Logistic:
 
 @dataclass
 class Rows:
-    """Training or scoring rows: the features of both views, and words by row."""
+    """Training or scoring rows: the features of both views, how many words each row
+    has, and all their words. The driver holds them for each label and view, so they
+    stay as small as they came, and sums over words are made in parts."""
 
     dense: np.ndarray
-    row: np.ndarray
+    counts: np.ndarray
     word: np.ndarray
 
     @classmethod
     def of(cls, views, words) -> Rows:
-        dense = np.stack([np.asarray(x, np.float64) for x in views]) if len(views) else np.zeros((0, TEXT_FEATURES + PAGE_FEATURES))
+        dense = np.stack([np.asarray(x, np.float32) for x in views]) if len(views) else np.zeros((0, TEXT_FEATURES + PAGE_FEATURES), np.float32)
         counts = np.array([len(x) for x in words], np.int64)
         flat = np.concatenate([np.asarray(x, np.int64) for x in words]) if len(words) else np.zeros(0, np.int64)
-        return cls(dense, np.repeat(np.arange(len(words)), counts), flat)
+        return cls(dense, counts, flat)
 
     @classmethod
     def of_table(cls, table: pa.Table) -> Rows:
         """Of the columns ``views`` and ``words``, without a Python object for each value."""
         views, words = (table[name].combine_chunks() for name in ("views", "words"))
-        dense = views.flatten().to_numpy().astype(np.float64).reshape(len(views), TEXT_FEATURES + PAGE_FEATURES)
-        counts = np.diff(words.offsets.to_numpy())
-        return cls(dense, np.repeat(np.arange(len(words)), counts), words.flatten().to_numpy())
+        dense = views.flatten().to_numpy().reshape(len(views), TEXT_FEATURES + PAGE_FEATURES)
+        return cls(dense, np.diff(words.offsets.to_numpy()).astype(np.int64), words.flatten().to_numpy())
 
     def take(self, chosen: np.ndarray) -> Rows:
-        place = np.cumsum(chosen) - 1
-        inside = chosen[self.row]
-        return Rows(self.dense[chosen], place[self.row[inside]], self.word[inside])
+        return Rows(self.dense[chosen], self.counts[chosen], self.word[np.repeat(chosen, self.counts)])
 
     def plus(self, other: Rows) -> Rows:
-        row = np.concatenate([self.row, other.row + len(self.dense)])
-        return Rows(np.vstack([self.dense, other.dense]), row, np.concatenate([self.word, other.word]))
+        both = ((getattr(self, name), getattr(other, name)) for name in ("dense", "counts", "word"))
+        return Rows(*map(np.concatenate, both))
+
+    def wordless(self) -> Rows:
+        """What the page view needs of them."""
+        return Rows(self.dense, np.zeros_like(self.counts), self.word[:0].copy())
+
+    def text(self) -> np.ndarray:
+        return self.dense[:, :TEXT_FEATURES].astype(np.float64)
+
+    def page(self) -> np.ndarray:
+        return self.dense[:, TEXT_FEATURES:].astype(np.float64)
+
+    def _parts(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Runs of rows with some ``_PART`` words: their bounds and their words."""
+        ends = np.concatenate([[0], np.cumsum(self.counts)])
+        cuts = np.searchsorted(ends, np.arange(_PART, ends[-1], _PART))
+        bounds = np.unique([0, *cuts, len(self.counts)])
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield a, b, self.word[ends[a] : ends[b]]
+
+    def by_row(self, of_words: np.ndarray) -> np.ndarray:
+        """The sum of a value of words over each row."""
+        found = np.zeros(len(self.counts))
+        for a, b, words in self._parts():
+            found[a:b] = np.bincount(np.repeat(np.arange(b - a), self.counts[a:b]), of_words[words], b - a)
+        return found
+
+    def by_word(self, of_rows: np.ndarray, n_words: int) -> np.ndarray:
+        """The sum of a value of rows over each word; a part goes on from the sums before
+        it, so that how the rows are parted changes no digit."""
+        found, each = np.zeros(n_words), np.arange(n_words)
+        for a, b, words in self._parts():
+            values = np.repeat(of_rows[a:b], self.counts[a:b])
+            found = np.bincount(np.concatenate([each, words]), np.concatenate([found, values]), n_words)
+        return found
 
 
 @dataclass
@@ -320,16 +356,16 @@ class TextView:
 
     @classmethod
     def fit(cls, rows: Rows, y: np.ndarray, n_words: int) -> TextView:
-        x = rows.dense[:, :TEXT_FEATURES]
+        x = rows.text()
         mean, scale = x.mean(axis=0), x.std(axis=0)
         scale = np.where(scale > 1e-9, scale, 1.0)
         z = (x - mean) / scale
         ridge = np.concatenate([np.full(TEXT_FEATURES, _PENALTY), np.full(n_words, 1 / (_WORD_VARIANCE * len(y))), [1e-6]])
 
         def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
-            odds = z @ w[:TEXT_FEATURES] + np.bincount(rows.row, w[TEXT_FEATURES:-1][rows.word], len(y)) + w[-1]
+            odds = z @ w[:TEXT_FEATURES] + rows.by_row(w[TEXT_FEATURES:-1]) + w[-1]
             wrong = _sigmoid(odds) - y
-            grad = np.concatenate([z.T @ wrong, np.bincount(rows.word, wrong[rows.row], n_words), [wrong.sum()]])
+            grad = np.concatenate([z.T @ wrong, rows.by_word(wrong, n_words), [wrong.sum()]])
             value = (np.logaddexp(0, odds) - y * odds).mean() + (ridge * w * w).sum() / 2
             return value, grad / len(y) + ridge * w
 
@@ -337,8 +373,8 @@ class TextView:
         return cls(mean, scale, w[:TEXT_FEATURES], w[TEXT_FEATURES:-1], float(w[-1]))
 
     def odds(self, rows: Rows) -> np.ndarray:
-        shape = ((rows.dense[:, :TEXT_FEATURES] - self.mean) / self.scale) @ self.weights
-        return shape + np.bincount(rows.row, self.of_words[rows.word], len(shape)) + self.bias
+        shape = ((rows.text() - self.mean) / self.scale) @ self.weights
+        return shape + rows.by_row(self.of_words) + self.bias
 
 
 def _minimum(loss, w: np.ndarray, steps: int = 200, memory: int = 10) -> np.ndarray:
@@ -381,10 +417,10 @@ class PageView:
 
     @classmethod
     def fit(cls, rows: Rows, y: np.ndarray, n_words: int) -> PageView:
-        return cls(Logistic.fit(rows.dense[:, TEXT_FEATURES:], y))
+        return cls(Logistic.fit(rows.page(), y))
 
     def odds(self, rows: Rows) -> np.ndarray:
-        return self.model.odds(rows.dense[:, TEXT_FEATURES:])
+        return self.model.odds(rows.page())
 
 
 _VIEWS = (TextView, PageView)
@@ -459,7 +495,8 @@ def _sure(pool: DataFrame, trainings: list[Training], turn: int) -> pa.Table:
         picked.append(F.when(sure[view, y] & low, F.lit(i)))
     kinds = F.array_compact(F.array(*picked))
     # About four times MAX_PSEUDO rows of each label, one per id and kind.
-    return scored.select(F.explode(kinds).alias("kind"), "doc_id", "views", "words").toArrow()
+    words = F.col("words").cast("array<int>").alias("words")
+    return scored.select(F.explode(kinds).alias("kind"), "doc_id", "views", words).toArrow()
 
 
 def _vocabulary(labelled: DataFrame, names: list[str], most: int) -> np.ndarray:
@@ -508,7 +545,7 @@ def _known_labels(labels: DataFrame, names: list[str]) -> DataFrame:
 
 def _in_vocabulary(labelled: DataFrame, names: list[str], vocabulary: np.ndarray) -> pa.Table:
     """The labelled rows with the places of their words, in the order of ids: some
-    500 bytes each."""
+    700 bytes each."""
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -516,11 +553,12 @@ def _in_vocabulary(labelled: DataFrame, names: list[str], vocabulary: np.ndarray
             for own in batch.column(2):
                 found = np.sort(own.values.to_numpy())
                 kept.append(np.searchsorted(vocabulary, found[_among(found, vocabulary)]))
-            words = pa.array(kept, pa.list_(pa.int64()))
+            words = pa.array(kept, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], words, *batch.columns[3:]], batch.schema.names)
 
     rows = labelled.select("doc_id", "views", "words", *[f"y_{name}" for name in names])
-    return rows.mapInArrow(look_up, rows.schema).orderBy("doc_id").toArrow()
+    schema = rows.withColumn("words", F.col("words").cast("array<int>")).schema
+    return rows.mapInArrow(look_up, schema).orderBy("doc_id").toArrow()
 
 
 def _training(label: str, rows: Rows, y: np.ndarray, max_pseudo: int) -> Training | float:
@@ -541,7 +579,13 @@ def _training(label: str, rows: Rows, y: np.ndarray, max_pseudo: int) -> Trainin
     share = binary[known].mean()
     count = (max(1, int(max_pseudo * (1 - share))), max(1, int(max_pseudo * share)))
     mine = rows.take(own)
-    return Training(label, [mine, mine], [binary[own]] * 2, rows.take(held), binary[held], count)
+    return Training(label, [mine, mine.wordless()], [binary[own]] * 2, rows.take(held), binary[held], count)
+
+
+def _started(table: pa.Table, names: list[str], max_pseudo: int) -> dict[str, Training | float]:
+    """Of each label; what the table holds beside it can go."""
+    rows = Rows.of_table(table)
+    return {name: _training(name, rows, table[f"y_{name}"].to_numpy().astype(float), max_pseudo) for name in names}
 
 
 def fit(
@@ -557,10 +601,7 @@ def fit(
     names = list(LABELS)
     labelled = _labelled(docs, labels, names, max_labelled)
     vocabulary = _vocabulary(labelled, names, max_words)
-    table = _in_vocabulary(labelled, names, vocabulary)
-    ys = [table[f"y_{name}"].to_numpy().astype(float) for name in names]
-    rows = Rows.of_table(table)
-    started = {name: _training(name, rows, y, max_pseudo) for name, y in zip(names, ys, strict=True)}
+    started = _started(_in_vocabulary(labelled, names, vocabulary), names, max_pseudo)
     trainings = [x for x in started.values() if isinstance(x, Training)]
     for training in trainings:
         training.train(len(vocabulary))
@@ -577,23 +618,21 @@ def fit(
 
 def _exchange(sure: pa.Table, trainings: list[Training], n_words: int) -> bool:
     """Hand each view's sure rows to the other view and train again."""
-    found = sorted(sure.to_pylist(), key=lambda row: (row["kind"], row["doc_id"]))
+    kinds, ids = sure["kind"].to_numpy(), sure["doc_id"].to_numpy()
+    order = np.lexsort((ids, kinds))
     moved = False
     for at, training in enumerate(trainings):
         for view in (0, 1):
-            fresh = [
-                row
-                for row in found
-                if row["kind"] // 4 == at and row["kind"] // 2 % 2 != view and row["doc_id"] not in training.taken[view]
-            ]
-            fresh = list({row["doc_id"]: row for row in fresh}.values())
-            if not fresh:
+            # A view is sure of one class of an id at most, so no id comes twice.
+            chosen = order[kinds[order] // 2 == 2 * at + 1 - view]
+            chosen = chosen[[i not in training.taken[view] for i in ids[chosen].tolist()]]
+            if not len(chosen):
                 continue
             moved = True
-            training.taken[view].update(row["doc_id"] for row in fresh)
-            more = Rows.of([row["views"] for row in fresh], [row["words"] for row in fresh])
-            training.rows[view] = training.rows[view].plus(more)
-            training.y[view] = np.append(training.y[view], [float(row["kind"] % 2) for row in fresh])
+            training.taken[view].update(ids[chosen].tolist())
+            more = Rows.of_table(sure.take(chosen))
+            training.rows[view] = training.rows[view].plus(more.wordless() if view else more)
+            training.y[view] = np.append(training.y[view], kinds[chosen] % 2.0)
     for training in trainings if moved else []:
         training.train(n_words)
     return moved

@@ -1,5 +1,7 @@
 """Co-training on held-out labels, and its edge cases."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -54,6 +56,64 @@ def test_the_least_of_a_convex_function():
     assert np.allclose(quality._minimum(loss, np.zeros(30)), least, atol=1e-3)
 
 
+def training_table(rng, n, n_words, **columns):
+    """Rows as the driver gets them: words that tell the label, and many that don't."""
+    words = [np.flatnonzero(rng.random(n_words) < 0.3).astype(np.int32) for _ in range(n)]
+    views = rng.random((n, quality.TEXT_FEATURES + quality.PAGE_FEATURES)).astype(np.float32)
+    kinds = {"views": pa.list_(pa.float32()), "words": pa.list_(pa.int32())}
+    table = {"doc_id": pa.array(range(n)), "views": pa.array(list(views), kinds["views"]), "words": pa.array(words, kinds["words"]), **columns}
+    return pa.table(table), np.array([float(0 in row) for row in words])
+
+
+def test_training_takes_a_few_times_its_table(monkeypatch):
+    rng = np.random.default_rng(6)
+    n, n_words = 4000, 400
+    table, y = training_table(rng, n, n_words)
+    sure, _ = training_table(rng, n // 2, n_words, kind=pa.array(np.arange(n // 2, dtype=np.int32) % 8))
+    monkeypatch.setattr(quality, "_PART", 1 << 12, raising=False)
+    tracemalloc.start()
+    rows = quality.Rows.of_table(table)
+    trainings = [quality._training(label, rows, y, 1000) for label in ("quality", "toxic")]
+    for training in trainings:
+        training.train(n_words)
+    assert quality._exchange(sure, trainings, n_words)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 4 * (table.nbytes + sure.nbytes)
+    assert [len(y) for t in trainings for y in t.y] == [n - len(trainings[0].held_y) + n // 8] * 4
+    assert np.argmax(np.abs(trainings[0].views[0].of_words)) == 0
+
+
+def test_sure_rows_join_the_other_view_once():
+    rng = np.random.default_rng(8)
+    table, y = training_table(rng, 200, 20)
+    sure, _ = training_table(rng, 12, 20, kind=pa.array([3, 2, 1, 0, 7, 6, 5, 4, 0, 1, 2, 2], pa.int32()))
+    trainings = [quality._training(label, quality.Rows.of_table(table), y, 100) for label in ("quality", "toxic")]
+    before = [len(y) for t in trainings for y in t.y]
+    assert quality._exchange(sure, trainings, 20) and not quality._exchange(sure, trainings, 20)
+    assert [t.taken for t in trainings] == [[{0, 1, 10, 11}, {2, 3, 8, 9}], [{4, 5}, {6, 7}]]
+    added = [y[n:].tolist() for y, n in zip([y for t in trainings for y in t.y], before, strict=True)]
+    assert added == [[0, 0, 0, 1], [0, 0, 1, 1], [0, 1], [0, 1]]
+    # By class and id: 1, 10, 11, 0.
+    views = np.array(sure["views"].to_pylist(), np.float32)
+    assert np.array_equal(trainings[0].rows[0].dense[-4:], views[[1, 10, 11, 0]])
+    assert trainings[0].rows[0].word[-len(sure["words"][0]) :].tolist() == sure["words"][0].as_py()
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 17])
+def test_sums_of_words_in_parts_are_the_same(monkeypatch, size):
+    rng = np.random.default_rng(7)
+    words = [[], *[np.flatnonzero(rng.random(30) < 0.4) for _ in range(50)], [], []]
+    rows = quality.Rows.of([np.zeros(3)] * len(words), words)
+    row, word = np.repeat(np.arange(len(words)), [len(x) for x in words]), np.concatenate(words).astype(int)
+    of_words, of_rows = rng.normal(size=30), rng.normal(size=len(words))
+    monkeypatch.setattr(quality, "_PART", size)
+    assert np.array_equal(rows.by_row(of_words), np.bincount(row, of_words[word], len(words)))
+    assert np.array_equal(rows.by_word(of_rows, 30), np.bincount(word, of_rows[row], 30))
+    none = quality.Rows.of([], [])
+    assert none.by_row(of_words).tolist() == [] and none.by_word(np.zeros(0), 2).tolist() == [0, 0]
+
+
 def words_of(*texts, vocabulary=None):
     return [set(found.tolist()) for found in quality.contents(pa.array(texts, pa.string()), vocabulary)]
 
