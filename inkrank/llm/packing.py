@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkrank.llm.common import numbered, sliced, texts
-from inkrank.llm.tokens import default_tokenizer, encoder
+from inkrank.llm.tokens import default_tokenizer, encoder, release
 from inkrank.session import scratch_path, settle, shuffle_width
 
 SEQUENCE = 2048
@@ -138,6 +138,7 @@ def pack(cut: DataFrame, sequence: int = SEQUENCE, salts: int | None = None) ->
 
     @F.pandas_udf("sequence_id long, offset long")
     def slot(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        release()
         keys, ranks, first, offset = planned.value
         at = np.searchsorted(keys, (length.to_numpy() << shift) | rank.to_numpy(), "right") - 1
         return pd.DataFrame({"sequence_id": first[at] + rank.to_numpy() - ranks[at], "offset": offset[at]})
