@@ -1,11 +1,14 @@
 """Tables of queries against saved indexes: results, plans, hot terms."""
 
+import json
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import inkrank as ink
+from inkrank.functions.text import folded
 from inkrank.operators import skew
 from inkrank.operators.skew import hot_keys
 
@@ -84,3 +87,50 @@ def test_an_unfinished_index_is_an_error(spark, tmp_path):
     for search in (ink.search_sliced, ink.search_bucketed):
         with pytest.raises(FileNotFoundError):
             search(spark, str(tmp_path / "s"), queries)
+
+
+@pytest.mark.parametrize("bytes_", [0, 1 << 20])
+@pytest.mark.parametrize("cell_rows", [10_000, 5])
+def test_matches_in_buckets_are_added_up_where_they_arise(spark, tmp_path, plan, monkeypatch, bytes_, cell_rows):
+    """With and without hot terms, with query terms broadcast and in cells."""
+    index, queries = tables(spark, 3)
+    asked = [(None, "the THE cat"), (7, "of"), (7, "none"), (8, ""), (9, None)]
+    queries = queries.unionByName(spark.createDataFrame(asked, queries.schema))
+    monkeypatch.setattr(hot_keys, "__defaults__", (None, cell_rows))
+    path = str(tmp_path / "b")
+    ink.write_bucketed_index(index, path, 4)
+    assert spark.read.parquet(f"{path}/hot-terms").isEmpty() == (cell_rows > 5)
+    found = ink.search_bucketed(spark, path, queries, broadcast_bytes=bytes_)
+    # Neither the matches nor their sums are moved.
+    assert "Exchange" not in plan(found).split("Join")[0]
+    assert scores(found) == pytest.approx(scores(ink.search_many(index, queries)), abs=1e-12)
+
+
+def test_buckets_are_in_order_and_not_sorted_again(spark, tmp_path, plan):
+    index, queries = tables(spark, 4)
+    path = str(tmp_path / "b")
+    ink.write_bucketed_index(index, path, 2)
+    files = sorted((tmp_path / "b" / "terms").glob("*.parquet"))
+    assert len(files) == 2
+    for file in files:
+        terms = [term.encode() for term in pq.read_table(file).column("term").to_pylist()]
+        assert terms == sorted(terms) and len(set(terms)) > 1
+    lines = plan(ink.search_bucketed(spark, path, queries)).splitlines()
+    scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    assert not any("Sort " in line for line in lines[join:scan])
+
+
+def test_an_index_saved_without_sizes(spark, tmp_path):
+    index, queries = tables(spark, 5)
+    path = tmp_path / "b"
+    ink.write_bucketed_index(index, str(path), 4)
+    sizes = {row.term: row.n for row in spark.read.parquet(str(path / "sizes")).collect()}
+    assert sizes == dict(index.groupBy(folded(F.col("term"))).count().collect())
+    note = json.loads((path / "index.json").read_text())
+    for crc in path.glob(".index.json*"):
+        crc.unlink()
+    (path / "index.json").write_text(json.dumps({name: note[name] for name in ("buckets", "n_hot")}))
+    (path / "sizes").rename(path / "other")
+    expected = pytest.approx(scores(ink.search_many(index, queries)), abs=1e-12)
+    assert scores(ink.search_bucketed(spark, str(path), queries)) == expected
