@@ -2,6 +2,7 @@
 
 import json
 import random
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -11,6 +12,7 @@ import inkrank as ink
 from inkrank.functions.text import folded
 from inkrank.operators import skew
 from inkrank.operators.skew import hot_keys
+from inkrank.session import checkpoint_folder
 
 WORDS = ["the", "cat", "dog", "ıs", "straße", "#", "of", "Σίσυφος"]
 
@@ -134,3 +136,13 @@ def test_an_index_saved_without_sizes(spark, tmp_path):
     (path / "sizes").rename(path / "other")
     expected = pytest.approx(scores(ink.search_many(index, queries)), abs=1e-12)
     assert scores(ink.search_bucketed(spark, str(path), queries)) == expected
+
+
+def test_writing_an_index_leaves_nothing_in_the_shared_folder(spark, tmp_path):
+    index, _ = tables(spark, 6)
+    scratch = Path(checkpoint_folder(spark).removeprefix("file:"))
+    before = set(scratch.iterdir())
+    ink.write_bucketed_index(index.withColumn("doc", F.upper("doc")), str(tmp_path / "b"), 4)
+    assert set(scratch.iterdir()) == before
+    saved = spark.read.parquet(str(tmp_path / "b" / "terms"))
+    assert saved.columns == ["term", "doc", "tf_idf"] and saved.where("doc <> lower(doc)").isEmpty()
